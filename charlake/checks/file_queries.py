@@ -117,9 +117,15 @@ def output_manifest(spark, d):
     ])
 
 
-@query("file_inventory")
+@query("file_inventory", S.with_(*USER_TABLES, select=(
+    "SELECT 'csv' AS extension, count(*) > 0 AS con_datos, CAST(0 AS BIGINT) AS vacios FROM users"
+)))
 def file_inventory_query(spark, d):
-    return file_inventory(spark, _csv(spark, d)).select("archivo", "bytes")
+    """File names differ from run to run, so only what must hold for them is shown."""
+    extension = F.element_at(F.split("archivo", r"\."), -1)
+    return file_inventory(spark, _csv(spark, d)).groupBy(extension.alias("extension")).agg(
+        (F.sum("bytes") > 0).alias("con_datos"), F.count_if(F.col("bytes") == 0).alias("vacios")
+    )
 
 
 @query("schema_evolution_merge", S.with_(*FEEDBACK_TABLES, select=(

@@ -26,7 +26,7 @@ CFG = ChatConfig(
 
 TURNS_PER_ITEM = 1_000
 
-K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+K = "CAST(replace(substr(props, 7), '}', '') AS INT)"
 
 KIND = "CASE event_type WHEN 'signup' THEN 'REGISTER' WHEN 'error' THEN 'FEEDBACK' WHEN 'purchase' THEN 'FEEDBACK' ELSE 'VISIT' END"
 

@@ -82,14 +82,15 @@ def user_rollup(spark, d):
     return users(spark, d)
 
 
+_TALK = "coalesce(t.transcript, '')"
 _COUNT = "((length({0}) - length(replace({0}, '{1}', ''))) // {2})"
 
 # The user's last feedback stands on each conversation; counts come from the rendered text.
 BASE_LATEST = (
     "base AS (SELECT k.usuario_id, k.sk, k.item_ts, k.fecha, false AS es_feedback, k.nombre, k.ciudad, k.gerencia, k.oficinas_asesoras, "
     "k.subgerencia, k.nivel_directivo, coalesce(t.transcript, '') AS transcript, coalesce(a.preguntas, '') AS pregunta, "
-    f"greatest({_COUNT.format('transcript', 'bot', 3)}, {_COUNT.format('transcript', 'user', 4)}, 1) AS turnos, "
-    f"{_COUNT.format('lower(transcript)', 'user:', 5)} AS n_preguntas, l.f.t AS fb_type, l.f.c AS fb_comment, l.f.o AS fb_option, "
+    f"greatest({_COUNT.format(_TALK, 'bot', 3)}, {_COUNT.format(_TALK, 'user', 4)}, 1) AS turnos, "
+    f"{_COUNT.format(f'lower({_TALK})', 'user:', 5)} AS n_preguntas, l.f.t AS fb_type, l.f.c AS fb_comment, l.f.o AS fb_option, "
     f"{_PART} AS parte FROM kept k LEFT JOIN talk t ON t.conv_id = k.conv_id AND t.segmento = k.segmento "
     "LEFT JOIN asked a ON a.conv_id = k.conv_id AND a.segmento = k.segmento "
     "LEFT JOIN latest l ON l.usuario_id = k.usuario_id AND k.kind = 'CONVERSATION' WHERE NOT k.es_feedback)"

@@ -115,8 +115,8 @@ _BY_ROLE = " ".join([
     "CAST(count(*) FILTER (WHERE who = 'bot' AND txt <> '') AS INTEGER) AS n_bot FROM msg GROUP BY conv_id, segmento"
 )))
 def texts_by_role(spark, d):
-    t = F.col("t")
-    return rendered(spark, d).select(
+    t = F.col("m")
+    return rendered(spark, d).select(*KEY, split_transcript(F.col("t")).alias("m")).select(
         *KEY,
         join_texts(texts_by_prefix(t, USER_PREFIXES)).alias("usuario"),
         join_texts(texts_by_prefix(t, BOT_PREFIXES)).alias("bot"),
@@ -139,8 +139,9 @@ def last_exchange_query(spark, d):
 )))
 def tokens_by_role(spark, d):
     """Straight from the turns: summed per task before the shuffle."""
-    return turns(spark, d).groupBy("conv_id", _who().alias("who")).agg(
-        F.sum(estimate_tokens(message_text(F.col("text")))).alias("tokens"), F.count(F.lit(1)).alias("mensajes")
+    spoken = turns(spark, d).select("conv_id", _who().alias("who"), message_text(F.col("text")).alias("text"))
+    return spoken.groupBy("conv_id", "who").agg(
+        F.sum(estimate_tokens(F.col("text"))).alias("tokens"), F.count(F.lit(1)).alias("mensajes")
     )
 
 

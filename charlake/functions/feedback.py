@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from charlake.config import FEEDBACK_CLASSES, MESSAGE_SEPARATOR
-from charlake.functions.text import count_of, is_blank, strip
+from charlake.functions.text import count_of, is_blank, let, strip
 
 _EMPTY = "array<string>"
 
 
 def _quoted(c: Column) -> Column:
-    listed = F.to_json(F.array(F.coalesce(c, F.lit(""))))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return F.regexp_replace(F.to_json(F.array(F.coalesce(c, F.lit("")))), r"(?s)^\[(.*)\]$", "$1")
 
 
 def feedback_text(type_: Column, comment: Column, option: Column) -> Column:
@@ -39,12 +38,16 @@ def class_of(has_like: Column, has_dislike: Column) -> Column:
 
 def count_text(c: Column) -> Column:
     """Likes and dislikes named in the text; other text above 10 characters counts as one."""
-    s = strip(F.coalesce(c, F.lit("")))
-    low = F.lower(s)
-    total = F.lit(0)
-    for word in ("like", "dislike"):
-        total = total + count_of(low, f"'type': '{word}'") + count_of(low, f'"type": "{word}"')
-    return F.when(is_blank(c), F.lit(0)).when((total == 0) & (F.length(s) > 10), F.lit(1)).otherwise(total)
+
+
+    def count(low: Column) -> Column:
+        total = F.lit(0)
+        for word in ("like", "dislike"):
+            total = total + count_of(low, f"'type': '{word}'") + count_of(low, f'"type": "{word}"')
+        other = ~is_blank(low) & (F.length(low) > 10)
+        return let(total, lambda t: F.when((t == 0) & other, F.lit(1)).otherwise(t))
+
+    return let(F.lower(strip(F.coalesce(c, F.lit("")))), count)
 
 
 def _values(s: Column, key: str) -> Column:
@@ -56,24 +59,24 @@ def _values(s: Column, key: str) -> Column:
 
 def class_text(c: Column) -> Column:
     """like, dislike, mixed or empty, from the types in the text."""
-    s = strip(F.coalesce(c, F.lit("")))
 
-    def has(types: Column, word: str) -> Column:
-        return F.coalesce(F.exists(types, lambda t: F.lower(strip(t)) == word), F.lit(False))
 
-    quoted = _values(s, "type")
-    parsed = F.coalesce(
-        F.when(s.startswith("[") & s.endswith("]"), F.from_json(s, "array<struct<type:string>>")["type"]),
-        F.when(s.startswith("{") & s.endswith("}"), F.array(F.get_json_object(s, "$.type"))),
-        F.array().cast(_EMPTY),
-    )
-    named = has(quoted, "like") | has(quoted, "dislike")
-    return F.when(is_blank(c), F.lit("")).otherwise(
-        class_of(
-            F.when(named, has(quoted, "like")).otherwise(has(parsed, "like")),
-            F.when(named, has(quoted, "dislike")).otherwise(has(parsed, "dislike")),
+    def known(types: Column) -> Column:
+        words = F.transform(types, lambda t: F.lower(strip(t)))
+        return F.filter(words, lambda w: w.isin("like", "dislike"))
+
+    def parsed(s: Column) -> Column:
+        return F.coalesce(
+            F.when(s.startswith("[") & s.endswith("]"), F.from_json(s, "array<struct<type:string>>")["type"]),
+            F.when(s.startswith("{") & s.endswith("}"), F.array(F.get_json_object(s, "$.type"))),
+            F.array().cast(_EMPTY),
         )
-    )
+
+    def named(s: Column) -> Column:
+        return let(known(_values(s, "type")), lambda q: F.when(F.size(q) > 0, q).otherwise(known(parsed(s))))
+
+    words = let(strip(F.coalesce(c, F.lit(""))), named)
+    return let(words, lambda w: class_of(F.array_contains(w, "like"), F.array_contains(w, "dislike")))
 
 
 def _said(values: Column) -> Column:
@@ -83,12 +86,17 @@ def _said(values: Column) -> Column:
 
 def answers_text(c: Column) -> Column:
     """Comments, then options, in the text; each once, joined by ` | `."""
-    s = strip(F.coalesce(c, F.lit("")))
-    quoted = F.concat(_said(_values(s, "comment")), _said(_values(s, "option")))
-    parts = F.transform(F.split(s, r"\|"), lambda p: F.from_json(strip(p), "comment string, option string"))
-    parsed = F.flatten(F.transform(parts, lambda p: _said(F.array(p["comment"], p["option"]))))
-    found = F.when(F.size(quoted) > 0, quoted).otherwise(F.coalesce(parsed, F.array().cast(_EMPTY)))
-    return F.when(is_blank(c), F.lit("")).otherwise(distinct_answers(F.array_join(found, MESSAGE_SEPARATOR)))
+
+
+    def parsed(s: Column) -> Column:
+        parts = F.transform(F.split(s, r"\|"), lambda p: F.from_json(strip(p), "comment string, option string"))
+        return F.flatten(F.transform(parts, lambda p: _said(F.array(p["comment"], p["option"]))))
+
+    def found(s: Column) -> Column:
+        quoted = F.concat(_said(_values(s, "comment")), _said(_values(s, "option")))
+        return let(quoted, lambda q: F.when(F.size(q) > 0, q).otherwise(F.coalesce(parsed(s), F.array().cast(_EMPTY))))
+
+    return distinct_answers(F.array_join(let(strip(F.coalesce(c, F.lit(""))), found), MESSAGE_SEPARATOR))
 
 
 def distinct_answers(c: Column) -> Column:

@@ -1,11 +1,25 @@
-"""Text clean-up as native column expressions."""
+"""Text clean-up as native column expressions.
+
+Each function uses its input once where it can: the optimizer copies an input expression to every
+place that uses it, so two uses of a derived column cost twice.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from charlake.config import BLANK_WORDS, WHITE_SPACE
 
+_SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITE_SPACE) + "]"
+_BLANK = f"(?i)^{_SPACE}*(?:{'|'.join(w for w in BLANK_WORDS if w)})?{_SPACE}*$"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value worked out once."""
+    return F.transform(F.array(value), body)[0]
+
 
 def strip(c: Column) -> Column:
     """Trim all white space, not only the space character."""
@@ -13,11 +27,16 @@ def strip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return c.isNull() | F.lower(strip(c)).isin(*BLANK_WORDS)
+    return F.coalesce(c.rlike(_BLANK), F.lit(True))
 
 
 def blank_to_empty(c: Column) -> Column:
-    return F.when(is_blank(c), F.lit("")).otherwise(strip(c))
+    return strip(F.regexp_replace(F.coalesce(c, F.lit("")), _BLANK, ""))
+
+
+def empty_to(c: Column, label: str) -> Column:
+    """The label for an empty text."""
+    return F.regexp_replace(c, "^$", label.replace("\\", r"\\").replace("$", r"\$"))
 
 
 def count_of(c: Column, word: str) -> Column:
@@ -27,16 +46,14 @@ def count_of(c: Column, word: str) -> Column:
 
 
 def drop_parenthesis(c: Column) -> Column:
-    """`Norte (zona 3)` -> `Norte`."""
-    return F.when(c.contains("(") & c.contains(")"), strip(F.substring_index(c, "(", 1))).otherwise(c)
+    """`Norte (zona 3)` -> `Norte`. Needs both brackets."""
+    return F.regexp_replace(c, rf"(?s)^{_SPACE}*(?=.*\))([^(]*?){_SPACE}*\(.*$", "$1")
 
 
 def single_line(c: Column, max_chars: int | None = 10_000) -> Column:
     """One line without control or unprintable characters, at most `max_chars` long plus `...`."""
     flat = F.btrim(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\p{C}\p{Z}]+", " "))
-    if max_chars is None:
-        return flat
-    return F.when(F.length(flat) > max_chars, F.concat(F.substring(flat, 1, max_chars), F.lit("..."))).otherwise(flat)
+    return flat if max_chars is None else F.regexp_replace(flat, f"(?s)^(.{{{max_chars}}}).+$", "$1...")
 
 
 def normalize_transcript(c: Column) -> Column:

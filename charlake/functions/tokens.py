@@ -17,7 +17,10 @@ from charlake.config import (
 
 
 def estimate_tokens(c: Column) -> Column:
-    """Characters / 3.8, raised by the shares of spaces, punctuation and special characters."""
+    """Characters / 3.8, raised by the shares of spaces, punctuation and special characters.
+
+    The text is used several times: select a derived text first, or use `sum_tokens`.
+    """
     chars = F.length(c)
 
     def share(pattern: str | None) -> Column:

@@ -5,12 +5,13 @@ An item's messages sit in one row, so everything here is row-local: no shuffle,
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
 from charlake.config import BOT_PREFIXES, DIALOGUE_SEPARATOR, MESSAGE_SEPARATOR, USER_PREFIXES
-from charlake.functions.text import count_of, is_blank, strip
+from charlake.functions.text import count_of, is_blank, let, strip
 
 # --- message arrays ---------------------------------------------------------
 
@@ -18,10 +19,10 @@ from charlake.functions.text import count_of, is_blank, strip
 def canonical_role(role: Column, role_words: Mapping[str, str]) -> Column:
     """Known role words become `user` or `bot`; others stay, lower-cased."""
     name = F.lower(strip(F.coalesce(role, F.lit(""))))
-    chain = F.when(F.lit(False), name)
     for target in dict.fromkeys(role_words.values()):
-        chain = chain.when(name.isin(*[w for w, t in role_words.items() if t == target]), F.lit(target))
-    return chain.otherwise(name)
+        words = "|".join(re.escape(w) for w, t in role_words.items() if t == target)
+        name = F.regexp_replace(name, f"^(?:{words})$", target)
+    return name
 
 
 def message_text(text: Column) -> Column:
@@ -94,14 +95,18 @@ def _json_lines(parsed: Column, role_words: Mapping[str, str]) -> Column:
 
 def render_text(c: Column, role_words: Mapping[str, str]) -> Column:
     """Render a conversation stored as text: a JSON list or object, plain or typed, else as it is."""
-    s = strip(c)
-    is_list = s.startswith("[") & s.endswith("]")
-    is_map = s.startswith("{") & s.endswith("}")
-    listed = F.when(is_list, F.from_json(s, f"array<{_JSON_MESSAGE}>"))
-    wrapped = F.when(is_map, F.from_json(s, f"struct<L:array<{_JSON_MESSAGE}>>")["L"])
-    single = F.when(is_map, F.from_json(F.concat(F.lit("["), s, F.lit("]")), f"array<{_JSON_MESSAGE}>"))
-    lines = _json_lines(F.coalesce(listed, wrapped, single), role_words)
-    return F.when(is_blank(c), F.lit("")).otherwise(F.coalesce(F.array_join(lines, MESSAGE_SEPARATOR), s))
+
+
+    def render(s: Column) -> Column:
+        is_list = s.startswith("[") & s.endswith("]")
+        is_map = s.startswith("{") & s.endswith("}")
+        listed = F.when(is_list, F.from_json(s, f"array<{_JSON_MESSAGE}>"))
+        wrapped = F.when(is_map, F.from_json(s, f"struct<L:array<{_JSON_MESSAGE}>>")["L"])
+        single = F.when(is_map, F.from_json(F.concat(F.lit("["), s, F.lit("]")), f"array<{_JSON_MESSAGE}>"))
+        lines = _json_lines(F.coalesce(listed, wrapped, single), role_words)
+        return F.when(is_blank(s), F.lit("")).otherwise(F.coalesce(F.array_join(lines, MESSAGE_SEPARATOR), s))
+
+    return let(strip(c), render)
 
 
 def split_transcript(c: Column) -> Column:
@@ -113,20 +118,20 @@ def split_transcript(c: Column) -> Column:
     return F.filter(F.transform(parts, strip), lambda m: m != "")
 
 
-def texts_by_prefix(c: Column, prefixes: Sequence[str], skip_invisible: bool = False) -> Column:
-    """The texts of the messages that begin with a prefix, in any case."""
+def texts_by_prefix(messages: Column, prefixes: Sequence[str], skip_invisible: bool = False) -> Column:
+    """The texts of the split messages that begin with a prefix, in any case."""
     start = r"^[\s\x{200b}\x{feff}]*" if skip_invisible else r"^"
     pattern = start + "(?i:" + "|".join(prefixes) + ")"
-    mine = F.filter(split_transcript(c), lambda m: m.rlike(pattern))
+    mine = F.filter(messages, lambda m: m.rlike(pattern))
     return F.filter(F.transform(mine, lambda m: strip(F.regexp_replace(m, pattern, ""))), lambda t: t != "")
 
 
-def user_texts(c: Column) -> Column:
-    return texts_by_prefix(c, USER_PREFIXES, skip_invisible=True)
+def user_texts(messages: Column) -> Column:
+    return texts_by_prefix(messages, USER_PREFIXES, skip_invisible=True)
 
 
-def bot_texts(c: Column) -> Column:
-    return texts_by_prefix(c, BOT_PREFIXES)
+def bot_texts(messages: Column) -> Column:
+    return texts_by_prefix(messages, BOT_PREFIXES)
 
 
 def join_texts(texts: Column) -> Column:
@@ -135,11 +140,15 @@ def join_texts(texts: Column) -> Column:
 
 def infer_question(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """The label of the first rule the reply matches; NULL for none or a reply below 10 characters."""
-    text = F.lower(c)
-    chain = F.when(c.isNull() | (F.length(strip(c)) < 10), F.lit(None).cast("string"))
-    for pattern, label in rules:
-        chain = chain.when(text.rlike("(?U)" + pattern), F.lit(label))
-    return chain
+
+
+    def first_match(text: Column) -> Column:
+        chain = F.when(text.isNull() | (F.length(strip(text)) < 10), F.lit(None).cast("string"))
+        for pattern, label in rules:
+            chain = chain.when(text.rlike("(?U)" + pattern), F.lit(label))
+        return chain
+
+    return let(F.lower(c), first_match)
 
 
 def _questions_of_dialogue(dialogue: Column) -> Column:
@@ -150,29 +159,30 @@ def _questions_of_dialogue(dialogue: Column) -> Column:
 
 def questions_text(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """The user's questions in a rendered transcript, each once, in order, joined by ` | `."""
-    s = strip(c)
-    low = F.lower(s)
-    found = (
-        F.when(is_blank(c), F.array().cast("array<string>"))
-        .when(
-            s.contains(DIALOGUE_SEPARATOR),
-            F.flatten(F.transform(F.split(s, r" \|\| "), lambda d: _questions_of_dialogue(strip(d)))),
-        )
-        .when(s.contains(MESSAGE_SEPARATOR), _questions_of_dialogue(s))
-        .when(low.startswith("user:"), F.array(strip(F.substring(s, 6, 2_147_483_647))))
-        .when(low.startswith("bot:"), F.array_compact(F.array(infer_question(s, rules))))
-        .otherwise(
-            F.transform(F.regexp_extract_all(s, F.lit(r"(?i)user:\s*([^|]+?)(?:\s*\|\s*bot:|$)"), F.lit(1)), strip)
+    none = F.array().cast("array<string>")
+
+    def found(s: Column) -> Column:
+        return (
+            F.when(is_blank(s), none)
+            .when(
+                s.contains(DIALOGUE_SEPARATOR),
+                F.flatten(F.transform(F.split(s, r" \|\| "), lambda d: _questions_of_dialogue(strip(d)))),
+            )
+            .when(s.contains(MESSAGE_SEPARATOR), _questions_of_dialogue(s))
+            .when(s.rlike("^(?i:user:)"), F.array(strip(F.substring(s, 6, 2_147_483_647))))
+            .when(s.rlike("^(?i:bot:)"), F.array_compact(F.array(infer_question(s, rules))))
+            .otherwise(
+                F.transform(F.regexp_extract_all(s, F.lit(r"(?i)user:\s*([^|]+?)(?:\s*\|\s*bot:|$)"), F.lit(1)), strip)
+            )
         )
-    )
-    return F.array_join(F.array_distinct(F.filter(found, lambda q: q != "")), MESSAGE_SEPARATOR)
+
+    return F.array_join(F.array_distinct(F.filter(let(strip(c), found), lambda q: q != "")), MESSAGE_SEPARATOR)
 
 
 def count_turns_text(c: Column) -> Column:
     """The larger of the raw counts of `bot` and `user` in the text, at least 1."""
-    text = F.coalesce(c, F.lit(""))
-    return F.greatest(count_of(text, "bot"), count_of(text, "user"), F.lit(1))
+    return let(F.coalesce(c, F.lit("")), lambda t: F.greatest(count_of(t, "bot"), count_of(t, "user"), F.lit(1)))
 
 
 def count_questions_text(c: Column) -> Column:
-    return count_of(F.lower(F.coalesce(c, F.lit(""))), "user:")
+    return let(F.lower(F.coalesce(c, F.lit(""))), lambda t: count_of(t, "user:"))

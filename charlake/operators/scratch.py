@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folders made for local sessions that name none, by application.
+_made: dict[str, str] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
@@ -16,9 +19,10 @@ def scratch_root(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="charlake-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _made:
+        _made[app] = tempfile.mkdtemp(prefix="charlake-")
+    return _made[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -30,9 +30,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None
     return hot
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(
+    df: DataFrame, keys: Sequence[str], limit: int, counted: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame | None]:
     """(rows of the small keys, rows of the large keys or None). Rows with a NULL key are small."""
-    hot = hot_keys(df.select(*keys).na.drop(), keys, limit)
+    sized = df if counted is None else counted
+    hot = hot_keys(sized.select(*keys).na.drop(), keys, limit)
     if hot is None:
         return df, None
     return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from charlake.config import USER_TABLE_TYPES, ChatConfig
 from charlake.functions.text import strip
 from charlake.functions.tokens import estimate_tokens, sum_tokens
-from charlake.functions.transcripts import bot_texts, user_texts
+from charlake.functions.transcripts import bot_texts, split_transcript, user_texts
 from charlake.operators.shape import typed_columns
 
 TRANSCRIPT = "conversacion_completa"
@@ -24,7 +24,7 @@ def type_user_table(
 ) -> DataFrame:
     """Typed columns plus `token_pregunta` and `token_respuesta`; rows without a transcript are dropped.
 
-    One filter and one select, so it runs in the scan's own stage. `tokenizer` takes a text column
+    A filter and two selects, so it runs in the scan's own stage. `tokenizer` takes a text column
     and gives its tokens. Without a transcript column the token columns are NULL.
     """
     if TRANSCRIPT not in users.columns:
@@ -33,8 +33,9 @@ def type_user_table(
             *typed_columns(users, USER_TABLE_TYPES, cfg.zero_as_null),
             missing.alias("token_pregunta"), missing.alias("token_respuesta"),
         )
-    return users.where(has_transcript()).select(
+    split = users.where(has_transcript()).select("*", split_transcript(F.col(TRANSCRIPT)).alias("_messages"))
+    return split.select(
         *typed_columns(users, USER_TABLE_TYPES, cfg.zero_as_null),
-        sum_tokens(user_texts(F.col(TRANSCRIPT)), tokenizer).cast("int").alias("token_pregunta"),
-        sum_tokens(bot_texts(F.col(TRANSCRIPT)), tokenizer).cast("int").alias("token_respuesta"),
+        sum_tokens(user_texts(F.col("_messages")), tokenizer).cast("int").alias("token_pregunta"),
+        sum_tokens(bot_texts(F.col("_messages")), tokenizer).cast("int").alias("token_respuesta"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from charlake.config import DIALOGUE_SEPARATOR, MESSAGE_SEPARATOR, PROFILE_FIELDS, USER_TABLE_COLUMNS, ChatConfig
 from charlake.functions import feedback as fb, transcripts as tr
 from charlake.functions.dates import in_window_or_null, render_date
-from charlake.functions.text import blank_to_empty, drop_parenthesis, is_blank, matches_any
+from charlake.functions.text import blank_to_empty, drop_parenthesis, empty_to, is_blank, matches_any
 from charlake.operators.aggregates import first_non_blank
 from charlake.operators.joins import join_latest
 from charlake.operators.parts import by_parts
@@ -22,7 +22,7 @@ def clean_profile(cfg: ChatConfig) -> list[Column]:
     """The six profile fields, empty for none; the city without its parenthesis, the name labelled if blank."""
     cleaned = {f: blank_to_empty(F.col(f"profile.{f}")) for f in PROFILE_FIELDS}
     cleaned["ciudad"] = drop_parenthesis(cleaned["ciudad"])
-    cleaned["nombre"] = F.when(cleaned["nombre"] == "", F.lit(cfg.anonymous_label)).otherwise(cleaned["nombre"])
+    cleaned["nombre"] = empty_to(cleaned["nombre"], cfg.anonymous_label)
     return [c.alias(f) for f, c in cleaned.items()]
 
 
@@ -62,8 +62,10 @@ def _profile_aggregates(cfg: ChatConfig) -> list[Column]:
 
 
 def _joined(field: str, separator: str) -> Column:
+    """The entries' texts in order. Rendered text is empty or real; a question may be a blank word."""
     values = F.transform(F.col("_entries"), lambda e: e[field])
-    return F.array_join(F.filter(values, lambda v: ~is_blank(v)), separator)
+    used = (lambda v: ~is_blank(v)) if field == "pregunta" else (lambda v: v != "")
+    return F.array_join(F.filter(values, used), separator)
 
 
 def _build_each_once(rows: DataFrame, group: list[str], cfg: ChatConfig) -> DataFrame:
@@ -160,6 +162,7 @@ def build_user_table(items: DataFrame, cfg: ChatConfig = ChatConfig(), feedback:
         rows, ["usuario_id"], ORDER, cfg.items_per_row, PART,
         build=lambda part_rows, group: build(part_rows, group, cfg),
         per_key=lambda all_rows: all_rows.groupBy("usuario_id").agg(*_profile_aggregates(cfg)),
+        counted=items.where(not_register()),
     )
     return table.where(F.col("_own") > 0).select(*USER_TABLE_COLUMNS, PART)
 
