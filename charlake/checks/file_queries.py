@@ -13,7 +13,7 @@ from charlake.config import PROFILE_FIELDS
 from charlake.operators.scratch import new_path
 from charlake.plans import build_feedback_table, render_user_table
 from charlake.schemas import USER_CSV
-from charlake.sources.files import file_inventory, manifest, read_csv, read_evolved, verify_written, write_csv, write_parquet
+from charlake.sources.files import file_inventory, manifest, read_csv, read_evolved, write_csv, write_parquet, write_verified
 from charlake.sources.items import read_items, read_typed_export
 from charlake.streaming.csv_ingest import start_csv_ingest
 
@@ -93,9 +93,7 @@ def csv_roundtrip(spark, d):
 )))
 def parquet_roundtrip(spark, d):
     table = build_feedback_table(items(spark, d), CFG)
-    path = new_path(spark, "feedback")
-    write_parquet(table, path)
-    return verify_written(table, path)
+    return write_verified(table, new_path(spark, "feedback"))
 
 
 @query("output_manifest", S.with_(*USER_TABLES, select=(

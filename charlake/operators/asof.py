@@ -47,13 +47,13 @@ def asof_join(
     )
     stacked = right_rows.unionByName(left_rows, allowMissingColumns=True)
 
-    small, large = split_hot(stacked, by, rows_per_window)
+    small, large, slices = split_hot(stacked, by, rows_per_window)
     running = Window.partitionBy(*by).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
     matched = small.withColumn("_last", F.last("_hit", ignorenulls=True).over(running)).withColumn(
         "_first", F.first("_any", ignorenulls=True).over(running)
     )
     if large is not None:
-        sliced = in_slices(large, by, _ORDER)
+        sliced = in_slices(large, by, _ORDER, slices)
         matched = matched.unionByName(
             running_in_slices(sliced, by, _ORDER, F.col("_hit"), F.col("_any"), rank=_ORDER)
         )

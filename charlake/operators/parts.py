@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from charlake.operators.skew import split_hot, with_ordinal
+from charlake.operators.skew import join_on, split_hot, with_ordinal
 
 
 def by_parts(
@@ -29,15 +29,16 @@ def by_parts(
     `per_key(rows)` gives columns that must cover all parts of a key, by plain aggregates. `counted`
     is a cheaper frame to size the groups on; it must hold at least the rows of `df`.
     """
-    small, large = split_hot(df, keys, rows_per_part, counted)
+    small, large, slices = split_hot(df, keys, rows_per_part, counted)
     whole = build(small, list(keys)).withColumn(part, F.lit(0).cast("int"))
     if large is None:
         return whole
-    numbered = with_ordinal(large, keys, order, "_ordinal").withColumn(
+    numbered = with_ordinal(large, keys, order, "_ordinal", slices).withColumn(
         part, F.floor(F.col("_ordinal") / F.lit(rows_per_part)).cast("int")
     )
     parts = build(numbered.drop("_ordinal"), [*keys, part])
     if per_key is not None:
         shared = per_key(large)
-        parts = parts.drop(*[c for c in shared.columns if c not in keys]).join(shared, list(keys))
+        parts = parts.drop(*[c for c in shared.columns if c not in keys])
+        parts = join_on(parts, shared, keys)
     return whole.unionByName(parts)

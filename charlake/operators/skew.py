@@ -16,52 +16,69 @@ from charlake.operators.scratch import written
 # Key lists up to this length are sent to every executor; longer ones are joined by shuffle.
 MAX_BROADCAST_KEYS = 10_000
 
+# Rows in a slice, and the most slices a range shuffle may make.
+ROWS_PER_SLICE = 250_000
+MAX_SLICES = 100_000
+
 SLICE = "_slice"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """The keys with more than `limit` rows; None if there are none."""
-    hot = df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
-    found = hot.limit(MAX_BROADCAST_KEYS + 1).collect()
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where NULL equals NULL as it does in a group-by."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys]
+    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame | None, int]:
+    """The keys with more than `limit` rows and how many rows they have together; (None, 0) if there are none.
+
+    The list comes to the driver only up to `MAX_BROADCAST_KEYS` keys; a longer one stays a frame.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    found = counts.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not found:
-        return None
+        return None, 0
     if len(found) <= MAX_BROADCAST_KEYS:
-        return F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    return hot
+        listed = df.sparkSession.createDataFrame(found, counts.schema)
+        return F.broadcast(listed.drop("_n")), sum(r["_n"] for r in found)
+    return counts.drop("_n"), counts.agg(F.sum("_n")).first()[0]
 
 
 def split_hot(
     df: DataFrame, keys: Sequence[str], limit: int, counted: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of the small keys, rows of the large keys or None). Rows with a NULL key are small."""
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows of the small keys, rows of the large keys or None, and the slices the large ones need."""
     sized = df if counted is None else counted
-    hot = hot_keys(sized.select(*keys).na.drop(), keys, limit)
+    hot, rows = hot_keys(sized.select(*keys), keys, limit)
     if hot is None:
-        return df, None
-    return df.join(hot, list(keys), "left_anti"), df.join(hot, list(keys), "left_semi")
+        return df, None, 0
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = min(MAX_SLICES, max(default, -(-rows // ROWS_PER_SLICE)))
+    return join_on(df, hot, keys, "left_anti"), join_on(df, hot, keys, "left_semi"), slices
 
 
-def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
     """Add a slice number. A key's slices follow its order, and a key has at most one slice per partition.
 
     The result is written, as the slice bounds come from a sample and must not change between uses.
     """
-    return written(df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id()), "slices")
+    ranged = df.repartitionByRange(slices, *keys, *order)
+    return written(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
 def _earlier(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def with_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+def with_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int) -> DataFrame:
     """Number each key's rows from 0 in the given order: rank in the slice plus the earlier slices' rows."""
-    sliced = in_slices(df, keys, order)
+    sliced = in_slices(df, keys, order, slices)
     sizes = sliced.groupBy(*keys, SLICE).count()
     starts = sizes.select(*keys, SLICE, F.coalesce(F.sum("count").over(_earlier(keys)), F.lit(0)).alias("_start"))
     rank = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order))
     return (
-        sliced.withColumn("_rank", rank)
-        .join(starts, [*keys, SLICE])
+        join_on(sliced.withColumn("_rank", rank), starts, [*keys, SLICE])
         .withColumn(name, F.col("_start") + F.col("_rank") - 1)
         .drop("_start", "_rank", SLICE)
     )
@@ -86,10 +103,11 @@ def running_in_slices(
         F.first("_f", ignorenulls=True).over(_earlier(keys)).alias("_carried_first"),
     )
     inside = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    running = sliced.withColumn("_in_last", F.last(last, ignorenulls=True).over(inside)).withColumn(
+        "_in_first", F.first(first, ignorenulls=True).over(inside)
+    )
     return (
-        sliced.withColumn("_in_last", F.last(last, ignorenulls=True).over(inside))
-        .withColumn("_in_first", F.first(first, ignorenulls=True).over(inside))
-        .join(carried, [*keys, SLICE])
+        join_on(running, carried, [*keys, SLICE])
         .withColumn("_last", F.coalesce("_in_last", "_carried_last"))
         .withColumn("_first", F.coalesce("_carried_first", "_in_first"))
         .drop("_in_last", "_in_first", "_carried_last", "_carried_first", SLICE)

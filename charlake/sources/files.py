@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 _CSV = {"header": "true", "quote": '"', "escape": '"', "sep": ","}
@@ -33,24 +33,25 @@ def register(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def _fingerprint(df: DataFrame, side: str) -> DataFrame:
+def _fingerprint(df: DataFrame) -> list[Column]:
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("n"), F.sum(row_hash).alias("h"))
+    return [F.count(F.lit(1)).alias("filas"), F.sum(row_hash).alias("valores")]
 
 
-def verify_written(df: DataFrame, path: str) -> DataFrame:
-    """One row: rows and columns of the written table, and whether it equals the frame."""
+def write_verified(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
+    """Write Parquet, read it back and give one row: rows, columns, and whether they equal what was written.
+
+    The written side is counted and hashed while it is written, so the frame is worked out once.
+    """
+    seen = Observation()
+    write_parquet(df.observe(seen, *_fingerprint(df)), path, files)
     back = df.sparkSession.read.parquet(path)
     same_schema = [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in df.schema]
-
-    def of(side: str, value: str):
-        return F.max(F.when(F.col("side") == side, F.col(value)))
-
-    return _fingerprint(df, "source").union(_fingerprint(back, "written")).agg(
-        of("written", "n").alias("filas"),
+    return back.agg(*_fingerprint(back)).select(
+        "filas",
         F.lit(len(back.columns)).alias("columnas"),
-        (of("written", "n") == of("source", "n")).alias("filas_iguales"),
-        of("written", "h").eqNullSafe(of("source", "h")).alias("valores_iguales"),
+        (F.col("filas") == F.lit(seen.get["filas"])).alias("filas_iguales"),
+        F.col("valores").eqNullSafe(F.lit(seen.get["valores"])).alias("valores_iguales"),
         F.lit(same_schema).alias("esquema_igual"),
     )
 

@@ -10,6 +10,7 @@ from charlake.checks import fixture
 from charlake.checks.fixture import CFG
 from charlake.config import ChatConfig
 from charlake.operators.asof import asof_join
+from charlake.operators import skew
 from charlake.operators.skew import hot_keys, with_ordinal
 from charlake.plans import build_feedback_table, build_user_table
 from charlake.plans.feedback_table import match_feedback
@@ -71,16 +72,26 @@ def test_feedback_table_does_not_depend_on_the_plan(spark, rows):
 def test_ordinal_is_a_row_number(spark):
     rows = [("a" if i % 3 else "b", i * 7919 % 1000, i) for i in range(2000)]
     df = spark.createDataFrame(rows, "k string, t int, id int")
-    got = {(r.k, r.id): r.n for r in with_ordinal(df, ["k"], ["t", "id"], "n").collect()}
+    got = {(r.k, r.id): r.n for r in with_ordinal(df, ["k"], ["t", "id"], "n", 8).collect()}
     for key in "ab":
         ordered = sorted((t, i) for k, t, i in rows if k == key)
         assert [got[key, i] for _, i in ordered] == list(range(len(ordered)))
 
 
 def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2, "k string")
-    assert hot_keys(df, ["k"], 5) is None
-    assert [r.k for r in hot_keys(df, ["k"], 2).collect()] == ["a"]
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 4, "k string")
+    assert hot_keys(df, ["k"], 5) == (None, 0)
+    found, rows = hot_keys(df, ["k"], 2)
+    assert {r.k for r in found.collect()} == {"a", None} and rows == 9
+
+
+def test_many_hot_keys_stay_a_frame(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_BROADCAST_KEYS", 3)
+    df = spark.range(40).select((F.col("id") % 8).cast("string").alias("k"), "id")
+    found, rows = hot_keys(df, ["k"], 4)
+    assert found.count() == 8 and rows == 40
+    small, large, slices = skew.split_hot(df, ["k"], 4)
+    assert (small.count(), large.count(), slices) == (0, 40, 8)
 
 
 def test_user_in_parts_is_whole(spark, rows):
@@ -121,9 +132,12 @@ def test_long_conversation_goes_on_in_segments(spark, tmp_path):
     talk = spark.range(n).select(F.lit(1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
                                  F.lit("user").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
     other = spark.createDataFrame([(2, 0, "user", "x")], talk.schema)
-    talk.union(other).write.parquet(str(tmp_path / "conversations.parquet"))
+    nobody = talk.withColumn("conv_id", F.lit(None).cast("bigint")).where("turn < 1200")
+    talk.union(other).union(nobody).write.parquet(str(tmp_path / "conversations.parquet"))
     got = {(r.conv_id, r.segmento): r.messages for r in fixture.conversations(spark, str(tmp_path)).collect()}
-    assert {k: len(v) for k, v in got.items()} == {(1, 0): 1000, (1, 1): 1000, (1, 2): 500, (2, 0): 1}
+    assert {k: len(v) for k, v in got.items()} == {
+        (1, 0): 1000, (1, 1): 1000, (1, 2): 500, (2, 0): 1, (None, 0): 1000, (None, 1): 200,
+    }
     assert [m.turn for s in range(3) for m in got[1, s]] == list(range(n))
 
 
