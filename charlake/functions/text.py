@@ -15,6 +15,10 @@ from charlake.config import BLANK_WORDS, WHITE_SPACE
 _SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITE_SPACE) + "]"
 _BLANK = f"(?i)^{_SPACE}*(?:{'|'.join(w for w in BLANK_WORDS if w)})?{_SPACE}*$"
 
+# A run of unprintable characters or spaces that is not just one space. Printable ASCII is ruled out first.
+_UNPRINTABLE = r"[[^\x21-\x7e]&&[\p{C}\p{Z}]]"
+_GAP = rf"[[^\x20-\x7e]&&[\p{{C}}\p{{Z}}]]{_UNPRINTABLE}*| {_UNPRINTABLE}+"
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with the value worked out once."""
@@ -52,7 +56,7 @@ def drop_parenthesis(c: Column) -> Column:
 
 def single_line(c: Column, max_chars: int | None = 10_000) -> Column:
     """One line without control or unprintable characters, at most `max_chars` long plus `...`."""
-    flat = F.btrim(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\p{C}\p{Z}]+", " "))
+    flat = F.btrim(F.regexp_replace(F.coalesce(c, F.lit("")), _GAP, " "))
     return flat if max_chars is None else F.regexp_replace(flat, f"(?s)^(.{{{max_chars}}}).+$", "$1...")
 
 

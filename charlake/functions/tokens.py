@@ -16,25 +16,44 @@ from charlake.config import (
 )
 
 
-def estimate_tokens(c: Column) -> Column:
-    """Characters / 3.8, raised by the shares of spaces, punctuation and special characters.
+# Plain letters and spaces are in neither class, so dropping them first leaves little to search.
+_PLAIN = r"[A-Za-z\s]+"
+
+
+def _spaces(c: Column) -> Column:
+    return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
+
+
+def _rest(c: Column) -> Column:
+    return F.regexp_replace(c, _PLAIN, "")
+
+
+def _chars(c: Column) -> Column:
+    return F.coalesce(F.length(c), F.lit(0))
 
-    The text is used several times: select a derived text first, or use `sum_tokens`.
-    """
-    chars = F.length(c)
 
-    def share(pattern: str | None) -> Column:
-        rest = F.replace(c, F.lit(" "), F.lit("")) if pattern is None else F.regexp_replace(c, pattern, "")
-        return (chars - F.length(rest)) / chars
+def _estimate(chars: Column, spaces: Column, rest: Column) -> Column:
+    size = F.greatest(chars, F.lit(1))
+
+    def in_class(pattern: str) -> Column:
+        return F.length(F.regexp_replace(rest, f"[^{pattern[1:-1]}]+", ""))
 
     factor = (
         F.lit(1.0)
-        + share(None) * F.lit(SPACE_WEIGHT)
-        + share(PUNCTUATION_CLASS) * F.lit(PUNCTUATION_WEIGHT)
-        + share(SPECIAL_CLASS) * F.lit(SPECIAL_WEIGHT)
+        + spaces / size * F.lit(SPACE_WEIGHT)
+        + in_class(PUNCTUATION_CLASS) / size * F.lit(PUNCTUATION_WEIGHT)
+        + in_class(SPECIAL_CLASS) / size * F.lit(SPECIAL_WEIGHT)
     )
-    tokens = F.greatest(F.lit(1), F.floor(chars / F.lit(CHARS_PER_TOKEN) * factor).cast("int"))
-    return F.when(c.isNull() | (chars == 0), F.lit(0)).otherwise(tokens)
+    tokens = F.floor(chars / F.lit(CHARS_PER_TOKEN) * factor).cast("int")
+    return F.greatest(F.least(chars, F.lit(1)), tokens)
+
+
+def estimate_tokens(c: Column) -> Column:
+    """Characters / 3.8, raised by the shares of spaces, punctuation and special characters; 0 for no text.
+
+    The text is used several times: select a derived text first, or use `sum_tokens`.
+    """
+    return _estimate(_chars(c), _spaces(c), _rest(c))
 
 
 def quarter_tokens(c: Column) -> Column:
@@ -42,6 +61,11 @@ def quarter_tokens(c: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(F.length(c) / F.lit(4)).cast("int"))
 
 
-def sum_tokens(texts: Column, tokenizer: Callable[[Column], Column] = estimate_tokens) -> Column:
-    """Tokens of an array of texts; 0 for an empty one."""
-    return F.aggregate(texts, F.lit(0), lambda total, text: total + tokenizer(text))
+def sum_tokens(texts: Column, tokenizer: Callable[[Column], Column] | None = None) -> Column:
+    """Tokens of an array of texts; 0 for an empty one. Without a tokenizer, the estimate."""
+    if tokenizer is not None:
+        return F.aggregate(texts, F.lit(0), lambda total, text: total + tokenizer(text))
+    measured = F.transform(
+        texts, lambda t: F.struct(_chars(t).alias("chars"), _spaces(t).alias("spaces"), _rest(t).alias("rest"))
+    )
+    return F.aggregate(measured, F.lit(0), lambda total, m: total + _estimate(m["chars"], m["spaces"], m["rest"]))

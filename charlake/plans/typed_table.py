@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from charlake.config import USER_TABLE_TYPES, ChatConfig
 from charlake.functions.text import strip
-from charlake.functions.tokens import estimate_tokens, sum_tokens
+from charlake.functions.tokens import sum_tokens
 from charlake.functions.transcripts import bot_texts, split_transcript, user_texts
 from charlake.operators.shape import typed_columns
 
@@ -20,12 +20,12 @@ def has_transcript() -> Column:
 
 
 def type_user_table(
-    users: DataFrame, cfg: ChatConfig = ChatConfig(), tokenizer: Callable[[Column], Column] = estimate_tokens
+    users: DataFrame, cfg: ChatConfig = ChatConfig(), tokenizer: Callable[[Column], Column] | None = None
 ) -> DataFrame:
     """Typed columns plus `token_pregunta` and `token_respuesta`; rows without a transcript are dropped.
 
     A filter and two selects, so it runs in the scan's own stage. `tokenizer` takes a text column
-    and gives its tokens. Without a transcript column the token columns are NULL.
+    and gives its tokens, in place of the estimate. Without a transcript column the token columns are NULL.
     """
     if TRANSCRIPT not in users.columns:
         missing = F.lit(None).cast("int")
