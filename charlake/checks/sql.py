@@ -50,13 +50,13 @@ def tokens(x: str) -> str:
 EV = f"ev AS (SELECT event_id, user_id, ts, event_type, value, {K} AS k FROM events)"
 
 SEG = (
-    "seg AS (SELECT conv_id, CAST((row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1) "
-    f"// {TURNS_PER_ITEM} AS INTEGER) AS segmento, turn, role, text FROM conversations)"
+    f"seg AS (SELECT conv_id, CAST((pos - 1) // {TURNS_PER_ITEM} AS INTEGER) AS segmento, pos, turn, role, text FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM conversations))"
 )
 
 # Messages with canonical role and one-line text.
 MSG = (
-    "msg AS (SELECT conv_id, segmento, turn, role, text, "
+    "msg AS (SELECT conv_id, segmento, pos, turn, role, text, "
     f"CASE WHEN lower({strip('role')}) IN ('user', 'usuario') THEN 'user' "
     f"WHEN lower({strip('role')}) IN ('bot', 'assistant') THEN 'bot' ELSE lower({strip('role')}) END AS who, "
     rf"trim(regexp_replace({strip('text')}, '\n\n|\n', ' ', 'g')) AS txt FROM seg)"
@@ -65,26 +65,26 @@ MSG = (
 # One row per conversation item: transcript, questions, counts.
 TALK = (
     "talk AS (SELECT conv_id, segmento, "
-    "string_agg(who || ': ' || txt, ' | ' ORDER BY turn, role, text) AS transcript, "
+    "string_agg(who || ': ' || txt, ' | ' ORDER BY pos) AS transcript, "
     "CAST(count(*) FILTER (WHERE who = 'user') AS INTEGER) AS n_user, "
     "CAST(count(*) FILTER (WHERE who = 'bot') AS INTEGER) AS n_bot "
     "FROM msg GROUP BY conv_id, segmento)"
 )
 
 ASKED = (
-    "asked AS (SELECT conv_id, segmento, string_agg(txt, ' | ' ORDER BY turn, role) AS preguntas, "
+    "asked AS (SELECT conv_id, segmento, string_agg(txt, ' | ' ORDER BY pos) AS preguntas, "
     "CAST(count(*) AS INTEGER) AS n FROM ("
-    "SELECT conv_id, segmento, txt, turn, role FROM ("
-    "SELECT *, row_number() OVER (PARTITION BY conv_id, segmento, txt ORDER BY turn, role, text) AS nth "
+    "SELECT conv_id, segmento, txt, pos FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY conv_id, segmento, txt ORDER BY pos) AS nth "
     "FROM msg WHERE who = 'user' AND txt <> '') WHERE nth = 1) GROUP BY conv_id, segmento)"
 )
 
 # The last user message and its reply of each conversation item, as they are.
 EXCHANGE = (
-    "last_user AS (SELECT conv_id, segmento, max(turn) AS t, arg_max(text, turn) AS u FROM seg "
+    "last_user AS (SELECT conv_id, segmento, max(pos) AS t, arg_max(text, pos) AS u FROM seg "
     "WHERE lower(role) = 'user' GROUP BY ALL), "
     "replied AS (SELECT s.conv_id, s.segmento, "
-    "arg_min(s.text, s.turn) FILTER (WHERE s.turn > l.t) AS nxt, arg_max(s.text, s.turn) AS lst "
+    "arg_min(s.text, s.pos) FILTER (WHERE s.pos > l.t) AS nxt, arg_max(s.text, s.pos) AS lst "
     "FROM seg s LEFT JOIN last_user l ON l.conv_id = s.conv_id AND l.segmento = s.segmento "
     "WHERE lower(s.role) IN ('bot', 'assistant', 'system') GROUP BY ALL), "
     "exchange AS (SELECT b.conv_id, b.segmento, coalesce(l.u, '') AS pregunta, coalesce(r.nxt, r.lst, '') AS respuesta "

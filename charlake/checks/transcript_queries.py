@@ -97,7 +97,7 @@ def question_count(spark, d):
 
 
 @query("transcript_split", S.with_(S.SEG, S.MSG, select=(
-    "SELECT conv_id, segmento, CAST(row_number() OVER (PARTITION BY conv_id, segmento ORDER BY turn, role, text) - 1 AS INTEGER) AS pos, "
+    "SELECT conv_id, segmento, CAST(row_number() OVER (PARTITION BY conv_id, segmento ORDER BY pos) - 1 AS INTEGER) AS pos, "
     f"who || ':' || CASE WHEN txt = '' THEN '' ELSE ' ' || replace(txt, chr(9), ' ') END AS mensaje FROM msg"
 )))
 def transcript_split(spark, d):
@@ -105,7 +105,7 @@ def transcript_split(spark, d):
 
 
 _BY_ROLE = " ".join([
-    "trim(regexp_replace(coalesce(string_agg(CASE WHEN who = '{0}' AND txt <> '' THEN txt END, ' ' ORDER BY turn, role, text), ''), ' {{2,}}', ' ', 'g'))",
+    "trim(regexp_replace(coalesce(string_agg(CASE WHEN who = '{0}' AND txt <> '' THEN txt END, ' ' ORDER BY pos), ''), ' {{2,}}', ' ', 'g'))",
 ])
 
 

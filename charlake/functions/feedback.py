@@ -10,16 +10,16 @@ from charlake.functions.text import count_of, is_blank, let, strip
 _EMPTY = "array<string>"
 
 
-def _quoted(c: Column) -> Column:
-    return F.regexp_replace(F.to_json(F.array(F.coalesce(c, F.lit("")))), r"(?s)^\[(.*)\]$", "$1")
-
-
 def feedback_text(type_: Column, comment: Column, option: Column) -> Column:
-    """`{"type": "like", "comment": "…", "option": "…"}`."""
-    return F.concat(
-        F.lit('{"type": '), _quoted(type_), F.lit(', "comment": '), _quoted(comment),
-        F.lit(', "option": '), _quoted(option), F.lit("}"),
-    )
+    """`{"type": "like", "comment": "…", "option": "…"}`.
+
+    A quote inside a value is escaped, so the key marks below stand only where the keys are.
+    """
+    values = {"type": type_, "comment": comment, "option": option}
+    text = F.to_json(F.struct(*[F.coalesce(v, F.lit("")).alias(k) for k, v in values.items()]))
+    for mark, spaced in (('{"type":', '{"type": '), (',"comment":', ', "comment": '), (',"option":', ', "option": ')):
+        text = F.replace(text, F.lit(mark), F.lit(spaced))
+    return text
 
 
 def parse_feedback(c: Column) -> Column:

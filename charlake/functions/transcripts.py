@@ -65,12 +65,23 @@ def count_turns(messages: Column, role_words: Mapping[str, str]) -> Column:
 
 def last_exchange(messages: Column, user_roles: Sequence[str], reply_roles: Sequence[str]) -> tuple[Column, Column]:
     """The last user message and its reply: the first reply after it, else the last reply there is."""
-    users = F.filter(messages, lambda m: F.lower(m["role"]).isin(*user_roles))
-    replies = F.filter(messages, lambda m: F.lower(m["role"]).isin(*reply_roles))
-    last_user = F.try_element_at(users, F.lit(-1))
-    following = F.filter(replies, lambda m: m["turn"] > last_user["turn"])
-    reply = F.coalesce(F.try_element_at(following, F.lit(1)), F.try_element_at(replies, F.lit(-1)))
-    return F.coalesce(last_user["text"], F.lit("")), F.coalesce(reply["text"], F.lit(""))
+
+
+    def is_user(m: Column) -> Column:
+        return F.lower(m["role"]).isin(*user_roles)
+
+    def is_reply(m: Column) -> Column:
+        return F.lower(m["role"]).isin(*reply_roles)
+
+    def reply_after(last: Column) -> Column:
+        following = F.filter(messages, lambda m, i: is_reply(m) & (i > last))
+        any_reply = F.filter(messages, is_reply)
+        return F.coalesce(F.try_element_at(following, F.lit(1)), F.try_element_at(any_reply, F.lit(-1)))
+
+    asked = F.try_element_at(F.filter(messages, is_user), F.lit(-1))
+    last_user = F.array_max(F.transform(messages, lambda m, i: F.when(is_user(m), i)))
+    reply = let(last_user, reply_after)
+    return F.coalesce(asked["text"], F.lit("")), F.coalesce(reply["text"], F.lit(""))
 
 
 # --- stored text forms ------------------------------------------------------

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from charlake.operators.skew import join_on, split_hot, with_ordinal
+from charlake.operators.skew import in_slices, join_on, split_hot, with_ordinal
 
 
 def by_parts(
@@ -33,12 +33,13 @@ def by_parts(
     whole = build(small, list(keys)).withColumn(part, F.lit(0).cast("int"))
     if large is None:
         return whole
-    numbered = with_ordinal(large, keys, order, "_ordinal", slices).withColumn(
+    sliced = in_slices(large, keys, order, slices)
+    numbered = with_ordinal(sliced, keys, order, "_ordinal").withColumn(
         part, F.floor(F.col("_ordinal") / F.lit(rows_per_part)).cast("int")
     )
     parts = build(numbered.drop("_ordinal"), [*keys, part])
     if per_key is not None:
-        shared = per_key(large)
+        shared = per_key(sliced)
         parts = parts.drop(*[c for c in shared.columns if c not in keys])
         parts = join_on(parts, shared, keys)
     return whole.unionByName(parts)

@@ -71,9 +71,8 @@ def _earlier(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def with_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int) -> DataFrame:
-    """Number each key's rows from 0 in the given order: rank in the slice plus the earlier slices' rows."""
-    sliced = in_slices(df, keys, order, slices)
+def with_ordinal(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Number each key's rows from 0 in the slices' order: rank in the slice plus the earlier slices' rows."""
     sizes = sliced.groupBy(*keys, SLICE).count()
     starts = sizes.select(*keys, SLICE, F.coalesce(F.sum("count").over(_earlier(keys)), F.lit(0)).alias("_start"))
     rank = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order))

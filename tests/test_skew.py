@@ -72,7 +72,7 @@ def test_feedback_table_does_not_depend_on_the_plan(spark, rows):
 def test_ordinal_is_a_row_number(spark):
     rows = [("a" if i % 3 else "b", i * 7919 % 1000, i) for i in range(2000)]
     df = spark.createDataFrame(rows, "k string, t int, id int")
-    got = {(r.k, r.id): r.n for r in with_ordinal(df, ["k"], ["t", "id"], "n", 8).collect()}
+    got = {(r.k, r.id): r.n for r in with_ordinal(skew.in_slices(df, ["k"], ["t", "id"], 8), ["k"], ["t", "id"], "n").collect()}
     for key in "ab":
         ordered = sorted((t, i) for k, t, i in rows if k == key)
         assert [got[key, i] for _, i in ordered] == list(range(len(ordered)))
