@@ -113,7 +113,7 @@ def matches(x: str, words: tuple[str, ...]) -> str:
     return f"coalesce(regexp_matches({x}, '(?i)({'|'.join(words)})'), false)"
 
 
-_CITY = f"CASE WHEN contains(c0, '(') AND contains(c0, ')') THEN {strip('split_part(c0, ' + repr('(') + ', 1)')} ELSE c0 END"
+_CITY = f"CASE WHEN contains(c0, '(') AND contains(c0, ')') THEN {strip('split_part(c0, chr(40), 1)')} ELSE c0 END"
 _OTHERS = ("gerencia", "oficinas_asesoras", "subgerencia", "nivel_directivo")
 
 # Items with cleaned profile that pass the user table's filters; feedback passes by itself.
@@ -121,11 +121,12 @@ KEPT = (
     "cleaned AS (SELECT usuario_id, sk, kind, item_ts, kind = 'FEEDBACK' AS es_feedback, CAST(created_at AS DATE) AS fecha, "
     "fb_type, fb_comment, fb_option, conv_id, segmento, "
     f"CASE WHEN {blank('nombre')} THEN '{CFG.anonymous_label}' ELSE {strip('nombre')} END AS nombre, "
-    f"{clean('ciudad')} AS c0, {', '.join(f'{clean(f)} AS {f}' for f in _OTHERS)} "
+    f"{clean('ciudad')} AS c0, {', '.join(f'{clean(f)} AS {f}' for f in _OTHERS)}, "
+    f"CAST((row_number() OVER (PARTITION BY usuario_id ORDER BY item_ts, sk) - 1) // {CFG.items_per_row} AS INTEGER) AS parte "
     "FROM items WHERE kind <> 'REGISTER' AND usuario_id IS NOT NULL), "
     f"placed AS (SELECT * EXCLUDE (c0), {_CITY} AS c1 FROM cleaned), "
     "kept AS (SELECT * EXCLUDE (c1), "
-    f"CASE WHEN c1 = '' AND {' AND '.join(f + chr(32) + '=' + chr(32) + repr('') for f in _OTHERS)} THEN '{CFG.default_city}' ELSE c1 END AS ciudad "
+    f"CASE WHEN concat(c1, {', '.join(_OTHERS)}) = '' THEN '{CFG.default_city}' ELSE c1 END AS ciudad "
     "FROM placed WHERE es_feedback OR ("
     f"NOT {matches('c1', CFG.excluded_city_words)} AND NOT {matches('nombre', CFG.excluded_name_words)} "
     f"AND (fecha IS NULL OR fecha BETWEEN DATE '{CFG.first_day}' AND DATE '{CFG.last_day}')))"

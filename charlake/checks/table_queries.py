@@ -29,8 +29,6 @@ _TEXT = (
 # A value said in feedback, usable or NULL.
 _SAID = "CASE WHEN trim({0}) IS NOT NULL AND lower(trim({0})) NOT IN ('', 'none', 'null') THEN trim({0}) END"
 
-_PART = f"CAST((row_number() OVER (PARTITION BY k.usuario_id ORDER BY item_ts, sk) - 1) // {CFG.items_per_row} AS INTEGER)"
-
 _USER_LEVEL = (
     "who AS (SELECT usuario_id, " + _first("nombre", CFG.anonymous_label) + ", "
     + ", ".join(_first(f) for f in PROFILE_FIELDS[1:])
@@ -42,7 +40,7 @@ BASE = (
     "base AS (SELECT k.*, coalesce(t.transcript, '') AS transcript, coalesce(a.preguntas, '') AS pregunta, "
     f"CASE WHEN {_OWN} THEN greatest(coalesce(t.n_user, 0), coalesce(t.n_bot, 0), 1) END AS turnos, "
     f"CASE WHEN {_OWN} THEN coalesce(t.n_user, 0) END AS n_preguntas, "
-    f"CASE WHEN es_feedback THEN {_TEXT} END AS feedback_text, {_PART} AS parte "
+    f"CASE WHEN es_feedback THEN {_TEXT} END AS feedback_text "
     "FROM kept k LEFT JOIN talk t ON t.conv_id = k.conv_id AND t.segmento = k.segmento "
     "LEFT JOIN asked a ON a.conv_id = k.conv_id AND a.segmento = k.segmento)"
 )
@@ -91,7 +89,7 @@ BASE_LATEST = (
     "k.subgerencia, k.nivel_directivo, coalesce(t.transcript, '') AS transcript, coalesce(a.preguntas, '') AS pregunta, "
     f"greatest({_COUNT.format(_TALK, 'bot', 3)}, {_COUNT.format(_TALK, 'user', 4)}, 1) AS turnos, "
     f"{_COUNT.format(f'lower({_TALK})', 'user:', 5)} AS n_preguntas, l.f.t AS fb_type, l.f.c AS fb_comment, l.f.o AS fb_option, "
-    f"{_PART} AS parte FROM kept k LEFT JOIN talk t ON t.conv_id = k.conv_id AND t.segmento = k.segmento "
+    "k.parte FROM kept k LEFT JOIN talk t ON t.conv_id = k.conv_id AND t.segmento = k.segmento "
     "LEFT JOIN asked a ON a.conv_id = k.conv_id AND a.segmento = k.segmento "
     "LEFT JOIN latest l ON l.usuario_id = k.usuario_id AND k.kind = 'CONVERSATION' WHERE NOT k.es_feedback)"
 )

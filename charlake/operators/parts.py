@@ -22,14 +22,13 @@ def by_parts(
     part: str,
     build: Callable[[DataFrame, list[str]], DataFrame],
     per_key: Callable[[DataFrame], DataFrame] | None = None,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """`build(rows, group_columns)` for every group, groups above the limit split by `part`.
 
-    `per_key(rows)` gives columns that must cover all parts of a key, by plain aggregates. `counted`
-    is a cheaper frame to size the groups on; it must hold at least the rows of `df`.
+    `per_key(rows)` gives columns that must cover all parts of a key, by plain aggregates. Pass raw
+    rows and do costly row work in `build`: large groups are scanned, sampled and written first.
     """
-    small, large, slices = split_hot(df, keys, rows_per_part, counted)
+    small, large, slices = split_hot(df, keys, rows_per_part)
     whole = build(small, list(keys)).withColumn(part, F.lit(0).cast("int"))
     if large is None:
         return whole

@@ -45,12 +45,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame
     return counts.drop("_n"), counts.agg(F.sum("_n")).first()[0]
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], limit: int, counted: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame | None, int]:
+def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None, int]:
     """Rows of the small keys, rows of the large keys or None, and the slices the large ones need."""
-    sized = df if counted is None else counted
-    hot, rows = hot_keys(sized.select(*keys), keys, limit)
+    hot, rows = hot_keys(df.select(*keys), keys, limit)
     if hot is None:
         return df, None, 0
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -9,7 +9,7 @@ from charlake.functions import feedback as fb, transcripts as tr
 from charlake.functions.dates import in_window_or_null, render_date
 from charlake.functions.text import blank_to_empty, drop_parenthesis, empty_to, is_blank, matches_any
 from charlake.operators.aggregates import first_non_blank
-from charlake.operators.joins import join_latest
+from charlake.operators.joins import latest_per_key
 from charlake.operators.parts import by_parts
 from charlake.sources.items import CONVERSATION, FEEDBACK, is_kind, not_register
 
@@ -44,8 +44,9 @@ def wanted(cfg: ChatConfig) -> Column:
 
 def entries(items: DataFrame, cfg: ChatConfig) -> DataFrame:
     """Items as rows of the roll-up, row by row: no shuffle. Feedback passes the filters by itself."""
-    rows = items.where(not_register() & F.col("usuario_id").isNotNull()).select(
-        "usuario_id", *ORDER, "kind", "messages", *[F.col(f"feedback.{f}").alias(f) for f in FEEDBACK_FIELDS],
+    keep = [c for c in (PART,) if c in items.columns]
+    rows = items.select(
+        "usuario_id", *ORDER, *keep, "kind", "messages", *[F.col(f"feedback.{f}").alias(f) for f in FEEDBACK_FIELDS],
         is_kind(FEEDBACK).alias("es_feedback"), F.to_date("created_at").alias("fecha"), *clean_profile(cfg),
     )
     return with_default_city(rows.where(F.col("es_feedback") | wanted(cfg)), cfg)
@@ -68,7 +69,23 @@ def _joined(field: str, separator: str) -> Column:
     return F.array_join(F.filter(values, used), separator)
 
 
-def _build_each_once(rows: DataFrame, group: list[str], cfg: ChatConfig) -> DataFrame:
+def _transcript(cfg: ChatConfig) -> Column:
+    return tr.render_messages(F.col("messages"), cfg.role_words).alias("transcript")
+
+
+def _feedback_text() -> Column:
+    return fb.feedback_text(F.col("type"), F.col("comment"), F.col("option"))
+
+
+def _build_each_once(items: DataFrame, group: list[str], cfg: ChatConfig) -> DataFrame:
+    own = ~F.col("es_feedback")
+    rows = entries(items, cfg).select(
+        *group, *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS, *FEEDBACK_FIELDS, _transcript(cfg),
+        F.array_join(tr.questions_of(F.col("messages"), cfg.role_words), MESSAGE_SEPARATOR).alias("pregunta"),
+        F.when(own, tr.count_turns(F.col("messages"), cfg.role_words)).alias("turnos"),
+        F.when(own, tr.count_role(F.col("messages"), "user", cfg.role_words)).alias("preguntas"),
+        F.when(F.col("es_feedback"), _feedback_text()).alias("feedback_text"),
+    )
     entry = F.struct(*ORDER, "transcript", "pregunta", "feedback_text", "comment", "option")
     word = F.lower(F.trim("type"))
     grouped = rows.groupBy(*group).agg(
@@ -95,7 +112,25 @@ def _build_each_once(rows: DataFrame, group: list[str], cfg: ChatConfig) -> Data
     )
 
 
-def _build_latest_on_each(rows: DataFrame, group: list[str], cfg: ChatConfig) -> DataFrame:
+def _latest_feedback(items: DataFrame) -> DataFrame:
+    given = items.where(is_kind(FEEDBACK)).select("usuario_id", *ORDER, "feedback.*")
+    return latest_per_key(given, "usuario_id", FEEDBACK_FIELDS, ORDER)
+
+
+def _build_latest_on_each(items: DataFrame, group: list[str], cfg: ChatConfig, latest: DataFrame) -> DataFrame:
+    own = entries(items, cfg).where(~F.col("es_feedback")).drop(*FEEDBACK_FIELDS)
+    merged = own.where(is_kind(CONVERSATION)).join(latest, "usuario_id", "left")
+    others = own.where(~is_kind(CONVERSATION))
+    said = F.coalesce(*FEEDBACK_FIELDS).isNotNull()
+    rows = merged.unionByName(others, allowMissingColumns=True).select(
+        *group, *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS, _transcript(cfg),
+        F.when(said, _feedback_text()).alias("feedback_text"),
+    ).select(
+        "*",
+        tr.questions_text(F.col("transcript"), cfg.question_rules).alias("pregunta"),
+        tr.count_turns_text(F.col("transcript")).alias("turnos"),
+        tr.count_questions_text(F.col("transcript")).alias("preguntas"),
+    )
     entry = F.struct(*ORDER, "transcript", "pregunta", "feedback_text")
     grouped = rows.groupBy(*group).agg(
         *_profile_aggregates(cfg),
@@ -127,42 +162,21 @@ def build_user_table(items: DataFrame, cfg: ChatConfig = ChatConfig(), feedback:
     A user has one row, part 0, up to `cfg.items_per_row` items. A user with more goes on in parts:
     counts and texts are the part's own, profile and first date are the user's.
     """
-    if feedback not in ("each_once", "latest_on_each"):
-        raise ValueError(f"unknown feedback mode: {feedback}")
-    rows = entries(items, cfg)
-    text = fb.feedback_text(F.col("type"), F.col("comment"), F.col("option"))
-    transcript = tr.render_messages(F.col("messages"), cfg.role_words).alias("transcript")
-    keep = ["usuario_id", *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS]
+    known = items.where(not_register() & F.col("usuario_id").isNotNull())
     if feedback == "each_once":
-        own = ~F.col("es_feedback")
-        rows = rows.select(
-            *keep, *FEEDBACK_FIELDS, transcript,
-            F.array_join(tr.questions_of(F.col("messages"), cfg.role_words), MESSAGE_SEPARATOR).alias("pregunta"),
-            F.when(own, tr.count_turns(F.col("messages"), cfg.role_words)).alias("turnos"),
-            F.when(own, tr.count_role(F.col("messages"), "user", cfg.role_words)).alias("preguntas"),
-            F.when(F.col("es_feedback"), text).alias("feedback_text"),
-        )
-        build = _build_each_once
+        def build(rows: DataFrame, group: list[str]) -> DataFrame:
+            return _build_each_once(rows, group, cfg)
+    elif feedback == "latest_on_each":
+        latest = _latest_feedback(known)
+
+        def build(rows: DataFrame, group: list[str]) -> DataFrame:
+            return _build_latest_on_each(rows, group, cfg, latest)
     else:
-        conversations = rows.where(is_kind(CONVERSATION)).select(*keep, *FEEDBACK_FIELDS, transcript)
-        given = rows.where("es_feedback").select("usuario_id", *ORDER, *FEEDBACK_FIELDS)
-        merged = join_latest(conversations, given, "usuario_id", FEEDBACK_FIELDS, ORDER)
-        others = rows.where(~F.col("es_feedback") & ~is_kind(CONVERSATION)).select(*keep, *FEEDBACK_FIELDS, transcript)
-        said = F.coalesce(*[F.col(f) for f in FEEDBACK_FIELDS]).isNotNull()
-        rows = merged.unionByName(others, allowMissingColumns=True).select(
-            *keep, "transcript",
-            tr.questions_text(F.col("transcript"), cfg.question_rules).alias("pregunta"),
-            tr.count_turns_text(F.col("transcript")).alias("turnos"),
-            tr.count_questions_text(F.col("transcript")).alias("preguntas"),
-            F.when(said, text).alias("feedback_text"),
-        )
-        build = _build_latest_on_each
+        raise ValueError(f"unknown feedback mode: {feedback}")
 
     table = by_parts(
-        rows, ["usuario_id"], ORDER, cfg.items_per_row, PART,
-        build=lambda part_rows, group: build(part_rows, group, cfg),
-        per_key=lambda all_rows: all_rows.groupBy("usuario_id").agg(*_profile_aggregates(cfg)),
-        counted=items.where(not_register()),
+        known, ["usuario_id"], ORDER, cfg.items_per_row, PART, build,
+        per_key=lambda rows: entries(rows, cfg).groupBy("usuario_id").agg(*_profile_aggregates(cfg)),
     )
     return table.where(F.col("_own") > 0).select(*USER_TABLE_COLUMNS, PART)
 
