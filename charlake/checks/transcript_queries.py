@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from charlake.checks import sql as S
 from charlake.checks.fixture import CFG, conversations, turns
 from charlake.checks.registry import query
-from charlake.config import BOT_PREFIXES, MESSAGE_SEPARATOR, QUESTION_RULES, USER_PREFIXES
+from charlake.config import BOT_PREFIXES, MESSAGE_SEPARATOR, USER_PREFIXES
 from charlake.functions.text import single_line
 from charlake.functions.tokens import estimate_tokens
 from charlake.functions.transcripts import (
@@ -55,7 +55,7 @@ def user_questions(spark, d):
     "FROM (SELECT DISTINCT conv_id, segmento FROM seg) b LEFT JOIN asked a ON a.conv_id = b.conv_id AND a.segmento = b.segmento"
 )))
 def user_questions_text(spark, d):
-    return rendered(spark, d).select(*KEY, questions_text(F.col("t"), QUESTION_RULES).alias("preguntas"))
+    return rendered(spark, d).select(*KEY, questions_text(F.col("t"), CFG.rules()).alias("preguntas"))
 
 
 def _count(x: str, word: str) -> str:

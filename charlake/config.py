@@ -46,7 +46,7 @@ SPECIAL_WEIGHT = 0.1
 PUNCTUATION_CLASS = r"""[.,;:!?¡¿()\[\]{}"'\-]"""
 SPECIAL_CLASS = r"[\p{Nd}²³¹⁰⁴-⁹₀-₉@#$%&*+=/<>]"
 
-# Rules that guess the question from a reply that has no question: first match wins.
+# Rules that guess the question from a reply that has no question: first match wins. `{office}` is a setting.
 QUESTION_RULES = (
     (r"el trámite de ([\w\s]+?) (?:es|se realiza|consiste)", "¿Cómo hago el trámite de ?"),
     (r"el certificado ([\w\s]+?) (?:es|incluye|contiene)", "¿Qué es el certificado ?"),
@@ -54,7 +54,7 @@ QUESTION_RULES = (
     (r"(?:cuesta|valor|costo)", "¿Cuál es el costo del trámite?"),
     (r"(?:documentos? necesarios?|requisitos?)", "¿Qué documentos necesito?"),
     (r"(?:tiempo de respuesta|duración|días hábiles)", "¿Cuánto tiempo tarda el trámite?"),
-    (r"(?:ubicad|direcci[oó]n|sede)", "¿Dónde queda ubicado catastro?"),
+    (r"(?:ubicad|direcci[oó]n|sede)", "¿Dónde queda ubicado {office}?"),
     (r"horario.*atenci[oó]n", "¿Cuál es el horario de atención?"),
 )
 
@@ -88,6 +88,7 @@ class ChatConfig:
     reply_roles: tuple[str, ...] = ("bot", "assistant", "system")
     user_roles: tuple[str, ...] = ("user",)
     question_rules: tuple[tuple[str, str], ...] = QUESTION_RULES
+    office: str = "la oficina"
 
     anonymous_label: str = "Usuario Anónimo"
     default_city: str = "Bogotá"
@@ -108,3 +109,7 @@ class ChatConfig:
     items_per_row: int = 2_000
     # A user with more rows than this is matched in time slices, not in one task.
     rows_per_window: int = 1_000_000
+
+    def rules(self) -> list[tuple[str, str]]:
+        """The question rules with the office's name filled in."""
+        return [(pattern, label.replace("{office}", self.office)) for pattern, label in self.question_rules]

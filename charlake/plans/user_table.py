@@ -9,7 +9,7 @@ from charlake.functions import feedback as fb, transcripts as tr
 from charlake.functions.dates import in_window_or_null, render_date
 from charlake.functions.text import blank_to_empty, drop_parenthesis, empty_to, is_blank, matches_any
 from charlake.operators.aggregates import first_non_blank
-from charlake.operators.joins import latest_per_key
+from charlake.operators.joins import join_latest
 from charlake.operators.parts import by_parts
 from charlake.sources.items import CONVERSATION, FEEDBACK, is_kind, not_register
 
@@ -112,22 +112,17 @@ def _build_each_once(items: DataFrame, group: list[str], cfg: ChatConfig) -> Dat
     )
 
 
-def _latest_feedback(items: DataFrame) -> DataFrame:
-    given = items.where(is_kind(FEEDBACK)).select("usuario_id", *ORDER, "feedback.*")
-    return latest_per_key(given, "usuario_id", FEEDBACK_FIELDS, ORDER)
-
-
-def _build_latest_on_each(items: DataFrame, group: list[str], cfg: ChatConfig, latest: DataFrame) -> DataFrame:
-    own = entries(items, cfg).where(~F.col("es_feedback")).drop(*FEEDBACK_FIELDS)
-    merged = own.where(is_kind(CONVERSATION)).join(latest, "usuario_id", "left")
+def _build_latest_on_each(items: DataFrame, group: list[str], cfg: ChatConfig, given: DataFrame) -> DataFrame:
+    own = entries(items, cfg).where(~F.col("es_feedback"))
+    merged = join_latest(own.where(is_kind(CONVERSATION)), given, "usuario_id", FEEDBACK_FIELDS, ORDER)
     others = own.where(~is_kind(CONVERSATION))
     said = F.coalesce(*FEEDBACK_FIELDS).isNotNull()
-    rows = merged.unionByName(others, allowMissingColumns=True).select(
+    rows = merged.unionByName(others).select(
         *group, *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS, _transcript(cfg),
         F.when(said, _feedback_text()).alias("feedback_text"),
     ).select(
         "*",
-        tr.questions_text(F.col("transcript"), cfg.question_rules).alias("pregunta"),
+        tr.questions_text(F.col("transcript"), cfg.rules()).alias("pregunta"),
         tr.count_turns_text(F.col("transcript")).alias("turnos"),
         tr.count_questions_text(F.col("transcript")).alias("preguntas"),
     )
@@ -167,10 +162,10 @@ def build_user_table(items: DataFrame, cfg: ChatConfig = ChatConfig(), feedback:
         def build(rows: DataFrame, group: list[str]) -> DataFrame:
             return _build_each_once(rows, group, cfg)
     elif feedback == "latest_on_each":
-        latest = _latest_feedback(known)
+        given = known.where(is_kind(FEEDBACK)).select("usuario_id", *ORDER, "feedback.*")
 
         def build(rows: DataFrame, group: list[str]) -> DataFrame:
-            return _build_latest_on_each(rows, group, cfg, latest)
+            return _build_latest_on_each(rows, group, cfg, given)
     else:
         raise ValueError(f"unknown feedback mode: {feedback}")
 

@@ -56,6 +56,18 @@ def write_verified(df: DataFrame, path: str, files: int | None = None) -> DataFr
     )
 
 
+FEEDBACK_FILE = "feedback_analysis.parquet"
+
+
+def write_feedback(feedback: DataFrame, folder: str, output_format: str = "parquet") -> str:
+    """The feedback table under its fixed name. Both accepted formats, `parquet` and `both`, write Parquet."""
+    if output_format not in ("parquet", "both"):
+        raise ValueError(f"unknown format: {output_format}")
+    path = f"{folder.rstrip('/')}/{FEEDBACK_FILE}"
+    write_parquet(feedback, path)
+    return path
+
+
 def file_inventory(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """Written files and their sizes; contents are not read."""
     return (

@@ -9,7 +9,7 @@ from charlake.catalog.tables import register_parquet
 from charlake.operators.scratch import new_path, scratch_root
 from charlake.operators.shape import enforce_columns
 from charlake.schemas import TYPED_SCALAR, USER_CSV
-from charlake.sources.files import file_inventory, manifest, read_csv, write_csv, write_parquet, write_verified
+from charlake.sources.files import file_inventory, manifest, read_csv, write_csv, write_feedback, write_parquet, write_verified
 from charlake.sources.items import read_items, read_typed_export, sort_key_kind, sort_key_time, typed_scalar, user_id
 from charlake.streaming.csv_ingest import start_csv_ingest
 from tests.rows import at, frame, item
@@ -56,6 +56,21 @@ def test_write_verified(spark, tmp_path):
     assert (empty.filas, empty.filas_iguales, empty.valores_iguales) == (0, True, True)
 
 
+def test_feedback_file(spark, tmp_path):
+    for output_format in ("parquet", "both"):
+        path = write_feedback(spark.range(4), str(tmp_path) + "/", output_format)
+        assert path.endswith("/feedback_analysis.parquet") and spark.read.parquet(path).count() == 4
+    with pytest.raises(ValueError):
+        write_feedback(spark.range(4), str(tmp_path), "csv")
+
+
+def test_items_from_json(spark, tmp_path):
+    rows = [item("7", "CONVERSATION", at(1), messages=[("user", "a")], nombre="Ana")]
+    frame(spark, rows).write.json(str(tmp_path / "items"))
+    (row,) = read_items(spark, str(tmp_path / "items"), format="json").collect()
+    assert (row.usuario_id, row.item_ts, row.messages[0].text, row.profile.nombre) == ("7", at(1), "a", "Ana")
+
+
 def test_merged_schemas(spark, tmp_path):
     path = str(tmp_path / "t")
     write_parquet(spark.createDataFrame([(1,)], "a int"), f"{path}/v=1")

@@ -129,13 +129,15 @@ def test_questions_text(spark, text, want):
 
 def test_inferred_questions(spark):
     replies = [
-        "El trámite de cambio de nombre se realiza en línea", "El certificado catastral incluye datos", "Busque el CHIP del predio",
+        "El trámite de cambio de nombre se realiza en línea", "El certificado plano incluye datos", "Busque el CHIP del predio",
         "Los requisitos son dos", "La duración es de tres", "Nuestra sede principal", "El horario de la atención", "corto", None,
     ]
     assert apply(spark, lambda c: tr.infer_question(c, QUESTION_RULES), replies) == [
         QUESTION_RULES[0][1], QUESTION_RULES[1][1], QUESTION_RULES[2][1], QUESTION_RULES[4][1], QUESTION_RULES[5][1],
         QUESTION_RULES[6][1], QUESTION_RULES[7][1], None, None,
     ]
+    place = ChatConfig(office="la alcaldía").rules()
+    assert one(spark, lambda c: tr.infer_question(c, place), "Nuestra sede principal") == "¿Dónde queda ubicado la alcaldía?"
 
 
 def test_text_counts(spark):

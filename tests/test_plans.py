@@ -68,6 +68,12 @@ def test_user_table_with_last_feedback_on_each(items):
         build_user_table(items, CFG, feedback="other")
 
 
+def test_own_feedback_stays_if_the_user_gave_none(spark):
+    rows = [item("u", "CONVERSATION", at(1), messages=TALK, feedback=("like", "propio", ""))]
+    row = build_user_table(frame(spark, rows), CFG, feedback="latest_on_each").first()
+    assert (row.feedback, row.respuesta_feedback, row.numero_feedback) == ("like", "propio", 1)
+
+
 def test_typed_table(items):
     users = by_user(type_user_table(render_user_table(build_user_table(items, CFG), CFG), CFG))
     a, b = users["a"], users["b"]
