@@ -13,7 +13,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
     return spark.read.schema(schema).options(**_CSV, multiLine=str(multi_line).lower()).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 500_000) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 20_000) -> None:
     """One file per task, split again above `rows_per_file` so that later reads spread out."""
     df.write.mode("overwrite").options(**_CSV, maxRecordsPerFile=rows_per_file).csv(path)
 
