@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from charlake.config import PROFILE_FIELDS, ChatConfig
 from charlake.operators.parts import by_parts
-from charlake.schemas import FEEDBACK, ITEMS, MESSAGE
+from charlake.schemas import FEEDBACK, ITEMS
 
 CFG = ChatConfig(
     excluded_city_words=("cali", "oeste"),
@@ -127,6 +127,3 @@ def conversation_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_items(spark, sf_dir).unionByName(conversation_items(spark, sf_dir))
-
-
-__all__ = ["CFG", "MESSAGE", "conversations", "events", "items", "turns"]

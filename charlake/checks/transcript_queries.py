@@ -29,7 +29,7 @@ def transcript_render(spark, d):
 
 @query("transcript_render_json", S.with_(S.SEG, S.MSG, S.TALK, select="SELECT conv_id, segmento, transcript AS conversacion FROM talk"))
 def transcript_render_json(spark, d):
-    """From the stored JSON text: even segments plain, conversations with a system turn typed."""
+    """From the stored JSON text: typed where there is a system turn, else plain."""
     plain = F.to_json(F.transform("messages", lambda m: F.struct(m["role"].alias("from"), m["text"].alias("text"))))
     typed = F.to_json(F.transform("messages", lambda m: F.struct(F.struct(
         F.struct(m["role"].alias("S")).alias("from"), F.struct(m["text"].alias("S")).alias("text")
