@@ -1,6 +1,6 @@
 """Operations of a training-data pipeline. Importing this registers their queries."""
 
-from charlake.llm import pii, sharding  # noqa: F401
+from charlake.llm import pii, sharding, token_files  # noqa: F401
 from charlake.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
