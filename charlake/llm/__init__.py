@@ -1,6 +1,6 @@
 """Operations of a training-data pipeline. Importing this registers their queries."""
 
-from charlake.llm import packing, pii, sharding, token_files, warc  # noqa: F401
+from charlake.llm import packing, pii, quality, sharding, token_files, warc  # noqa: F401
 from charlake.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
