@@ -3,7 +3,7 @@
 A line with a word fails if it has no sentence mark at all, is a row of menu entries, is full of signs,
 shouts, says the same word over and over, or is a short line of site boilerplate. A document is
 rejected if it has fewer than 10 words or too many words in repeated 5-word windows (the base rules), or
-if more than half of its characters in words stood in failing lines. Rows are worked on where they lie;
+if more than three fifths of its characters in words stood in failing lines. Rows are worked on where they lie;
 nothing is shuffled, and whole texts are read.
 
 NULL text: no words, so rejected. NULL doc_id and equal rows: kept as they are. An empty table gives
@@ -26,7 +26,7 @@ from charlake.llm.registry import query, table
 MIN_WORDS = 10
 WINDOW = 5
 REPEATED_PERCENT = 20
-LOST_PERCENT = 50
+LOST_PERCENT = 60
 BOILERPLATE_WORDS = 25
 SIGNS = "#*$%&|<>"
 MENU_SIGNS = "|»›·•>"

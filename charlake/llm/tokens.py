@@ -10,17 +10,31 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 
 # Pieces a worker remembers between texts, and pieces encoded in one call.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 AT_ONCE = 256
 
 _SPACE_THEN_WHITE = re.compile(r" (?:\s|$)")
+_WHITE_AT_NEWLINE = re.compile(r"\n\s|[^\S\n]\n|^\n|\n$")
 _ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
+class _Codes(dict):
+    """Numbers of pieces; a piece not seen before gets the next number and is listed as new."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        code = self[piece] = len(self)
+        self.new.append(piece)
+        return code
+
+
 class Encoder:
     """ids of texts with one vocabulary file; `kind` is "bytes" or "words", as the file cuts its texts."""
 
@@ -37,60 +51,63 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[str, int] = {}
-        self.starts = np.zeros(1, np.int64)
+        self.codes = _Codes()
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _fresh(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of pieces not seen before; plain ones are encoded many at a time."""
-        plain = [i for i, p in enumerate(pieces) if self.mark not in p and len(p.split()) == 1 and not p[-1].isspace() and not p[1:2].isspace()]
-        found: dict[int, list[int]] = {}
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pieces not seen before; plain ones (no white space but a leading space) are encoded many at a time."""
+        plain = [i for i, p in enumerate(pieces) if p.isprintable() and self.mark not in p]
         groups = [plain[k : k + AT_ONCE] for k in range(0, len(plain), AT_ONCE)]
-        for group, ids in zip(groups, self._whole([self.between.join(pieces[i] for i in g) for g in groups]), strict=True):
+        starts, lengths = np.full(len(pieces), -1, np.int64), np.zeros(len(pieces), np.int64)
+        found, size = [self.ids], len(self.ids)
+        for group, ids in zip(groups, self._whole([self.between.join([pieces[i] for i in g]) for g in groups]), strict=True):
             values = np.asarray(ids, np.uint32)
-            parts = np.split(values, np.flatnonzero(values == self.mark_id))
-            if len(parts) == len(group):
-                found.update((i, p if k == 0 else p[1:]) for k, (i, p) in enumerate(zip(group, parts, strict=True)))
-        rest = [i for i in range(len(pieces)) if i not in found]
-        found.update(zip(rest, self._whole([pieces[i] for i in rest]), strict=True))
-        return [found[i] for i in range(len(pieces))]
+            cuts = np.flatnonzero(values == self.mark_id)
+            if len(cuts) == len(group) - 1:
+                first = np.concatenate([[0], cuts + 1])
+                starts[group] = size + first
+                lengths[group] = np.append(cuts, len(values)) - first
+                found.append(values)
+                size += len(values)
+        rest = np.flatnonzero(starts < 0).tolist()
+        for i, ids in zip(rest, self._whole([pieces[i] for i in rest]), strict=True):
+            starts[i], lengths[i] = size, len(ids)
+            found.append(np.asarray(ids, np.uint32))
+            size += len(ids)
+        self.ids = np.concatenate(found)
+        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
 
     def _pieces(self, text: str) -> list[str] | None:
         if self.kind == "words":
             return None if _ODD_SEPARATORS.search(text) else text.split()
-        if _SPACE_THEN_WHITE.search(text):
+        if _SPACE_THEN_WHITE.search(text) or "\0" in text:
             return None
-        head, *rest = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [None]
-        return None if head is None else [head, *rest] if head else rest
+        marked = text.replace(" ", "\0 ")
+        if not _WHITE_AT_NEWLINE.search(text):  # a newline between two words stands alone
+            marked = marked.replace("\n", "\0\n\0")
+        return marked.split("\0")
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """The ids of each text as an array of unsigned 32-bit numbers."""
         cut = [self._pieces(t) for t in texts]
-        if len(self.places) > REMEMBERED:
+        if len(self.codes) > REMEMBERED:
             self._forget()
-        new = {p for pieces in cut if pieces for p in pieces} - self.places.keys()
-        if new:
-            listed = list(new)
-            ids = self._fresh(listed)
-            base = len(self.places)
-            self.places.update((p, base + i) for i, p in enumerate(listed))
-            ends = self.starts[-1] + np.cumsum([len(x) for x in ids])
-            self.starts = np.concatenate([self.starts, ends])
-            self.ids = np.concatenate([self.ids, *[np.asarray(x, np.uint32) for x in ids]])
-        whole = iter(self._whole([t for t, pieces in zip(texts, cut, strict=True) if pieces is None]))
-        return [np.asarray(next(whole), np.uint32) if pieces is None else self._gather(pieces) for pieces in cut]
-
-    def _gather(self, pieces: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.places.__getitem__, pieces), np.int64, len(pieces))
-        starts = self.starts[at]
-        lengths = self.starts[at + 1] - starts
+        counts = [len(c) if c else 0 for c in cut]
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(c for c in cut if c)), np.int64, sum(counts))
+        if self.codes.new:
+            new, self.codes.new = self.codes.new, []
+            self._learn(new)
+        lengths = self.lengths[codes]
         ends = np.cumsum(lengths)
-        if not len(ends):
-            return np.zeros(0, np.uint32)
-        return self.ids[np.arange(ends[-1]) + np.repeat(starts - ends + lengths, lengths)]
+        total = int(ends[-1]) if len(ends) else 0
+        flat = self.ids[np.arange(total) + np.repeat(self.starts[codes] - ends + lengths, lengths)]
+        bounds = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
+        whole = iter(self._whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
+        return [np.asarray(next(whole), np.uint32) if c is None else flat[bounds[i] : bounds[i + 1]] for i, c in enumerate(cut)]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
