@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from charlake.operators.scratch import written
@@ -61,3 +63,29 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "compon
     roots = current.groupBy("u").agg(F.min("v").alias("root")).withColumnRenamed("u", "node")
     tops = current.select(F.col("v").alias("node")).distinct().join(roots.select("node"), "node", "left_anti")
     return written(roots.union(tops.select("node", F.col("node").alias("root"))), name)
+
+
+def same_rows(frame: pd.DataFrame, keys: Sequence[str]) -> np.ndarray:
+    """Where the runs of rows with equal keys begin in a sorted frame, and its end."""
+    new = np.ones(len(frame), bool)
+    if len(frame):
+        new[1:] = np.any([frame[k].to_numpy()[1:] != frame[k].to_numpy()[:-1] for k in keys], axis=0)
+    return np.append(np.flatnonzero(new), len(frame))
+
+
+def whole_groups(frames: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """The rows of a sorted partition in frames that hold whole groups; the caller bounds a group's size."""
+    held: list[pd.DataFrame] = []
+    for frame in frames:
+        if not len(frame):
+            continue
+        last = same_rows(frame, keys)[-2]
+        goes_on = bool(held) and all(held[-1][k].iloc[-1] == frame[k].iloc[0] for k in keys)
+        if not (goes_on and last == 0):  # else all of it belongs to the group before
+            whole = pd.concat([*held, frame.iloc[:last]], ignore_index=True)
+            held = []
+            if len(whole):
+                yield whole
+        held.append(frame.iloc[last:])
+    if held:
+        yield pd.concat(held, ignore_index=True)
