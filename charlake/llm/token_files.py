@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from charlake.llm.common import slices
 from charlake.llm.registry import query, table
 from charlake.llm.tokens import encoder, vocabulary
-from charlake.operators.scratch import new_path
+from charlake.operators.scratch import new_path, written
 
 STRIPE_BYTES = 8 << 20
 INDEX_ROWS = 1_000
@@ -78,7 +78,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """
     files = spark.read.schema("doc_id long, ids array<int>").orc(folder)
     rows = files.select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("place"), "doc_id", "ids")
-    rows = rows.mapInArrow(_digests, "file string, place long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = written(rows.mapInArrow(_digests, "file string, place long, doc_id long, n_tokens long, ids_crc32 long"), "token-rows")
     # Blocks of a split are in order, splits of a file are in order of their partitions only if they follow
     # each other, so rows are ordered by doc_id first.
     inside = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "place").rowsBetween(Window.unboundedPreceding, 0)

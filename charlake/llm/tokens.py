@@ -15,11 +15,11 @@ from itertools import chain
 import numpy as np
 
 # Pieces a worker remembers between texts, and pieces encoded in one call.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 AT_ONCE = 256
 
 _SPACE_THEN_WHITE = re.compile(r" (?:\s|$)")
-_WHITE_AT_NEWLINE = re.compile(r"\n\s|[^\S\n]\n|^\n|\n$")
+_WHITE_AT_NEWLINE = re.compile(r"\n(?:\s|\Z|(?<=\s\n))")
 _ODD_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -87,7 +87,7 @@ class Encoder:
         if _SPACE_THEN_WHITE.search(text) or "\0" in text:
             return None
         marked = text.replace(" ", "\0 ")
-        if not _WHITE_AT_NEWLINE.search(text):  # a newline between two words stands alone
+        if not text.startswith("\n") and not _WHITE_AT_NEWLINE.search(text):  # a newline between two words stands alone
             marked = marked.replace("\n", "\0\n\0")
         return marked.split("\0")
 
