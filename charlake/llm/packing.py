@@ -30,7 +30,7 @@ from charlake.operators.scratch import written
 CAPACITY = 2_048
 MAX_SEGMENTS = 128
 # Rests packed together in one task.
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 2_048
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long"
 _FIRST_PACKED = 1 << 62  # sequences packed from rests are numbered from here on, full ones by task below it
@@ -89,18 +89,20 @@ def pack(examples: DataFrame, limits: dict[str, int], block_rows: int = BLOCK_RO
     rows = written(examples.withColumn("_row", F.monotonically_increasing_id()), "packing")
     blocks = max(1, -(-rows.count() // block_rows))
     fields = [f for f in examples.schema if f.name not in ("sequence_id", "offset")]
-    names, size = [f.name for f in fields], next(iter(limits))
+    names, needs = [f.name for f in fields], [f"_need_{i}" for i in range(len(limits))]
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("_row", ignore_index=True)
-        bins = pack_vectors(block[list(limits)].fillna(0).to_numpy(), list(limits.values()))
-        block = block.assign(sequence_id=_FIRST_PACKED + (int(block["_block"].iloc[0]) << 24) + bins)
-        tokens = block[size].fillna(0).astype("int64")
-        return block[names].assign(sequence_id=block["sequence_id"], offset=tokens.groupby(block["sequence_id"]).cumsum() - tokens)
+    def run(block: pa.Table) -> pa.Table:
+        block = block.sort_by("_row")
+        demands = np.column_stack([block.column(c).to_numpy() for c in needs])
+        bins = pack_vectors(demands, list(limits.values()))
+        ids = _FIRST_PACKED + (block.column("_block")[0].as_py() << 24) + bins
+        before = pd.Series(demands[:, 0]).groupby(bins).cumsum().to_numpy() - demands[:, 0]
+        return block.select(names).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(before))
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "sequence_id long, offset long"])
-    placed = rows.select(*names, "_row", F.pmod(F.xxhash64("_row"), F.lit(blocks)).alias("_block"))
-    return placed.groupBy("_block").applyInPandas(run, schema)
+    demand = [F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(n) for c, n in zip(limits, needs, strict=True)]
+    placed = rows.select(*names, *demand, "_row", F.pmod(F.xxhash64("_row"), F.lit(blocks)).alias("_block"))
+    return placed.groupBy("_block").applyInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, path: str, kind: str = "words", end_id: int = 1, capacity: int = CAPACITY, max_segments: int = MAX_SEGMENTS, max_loss: int | None = None, text: str = "text") -> DataFrame:
