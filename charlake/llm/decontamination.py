@@ -22,10 +22,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from charlake.llm.common import slices
+from charlake.llm.common import sendable, slices
 from charlake.llm.registry import query, table
 
 ERROR_RATE = 0.08
@@ -35,6 +35,8 @@ BLOCK_CHARS = 1_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 _FOUND = "doc_id long, item_id long, distance int, start long, end long"
+_NAMES = ["doc_id", "item_id", "distance", "start", "end"]
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
 
 def normal(text: str) -> str:
@@ -180,31 +182,30 @@ def items_in_blocks(benchmark: DataFrame, text: str = "text", rate: float = ERRO
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", rate: float = ERROR_RATE) -> DataFrame:
     """doc_id, item_id, distance, start, end: each document with each item in it, and where the best passage is."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = [rows.mapInPandas(_search(block), _FOUND) for block in items_in_blocks(benchmark, rate=rate)]
+    found = [rows.mapInArrow(_search(block), _FOUND) for block in items_in_blocks(benchmark, rate=rate)]
     return reduce(DataFrame.unionByName, found) if found else rows.sparkSession.createDataFrame([], _FOUND)
 
 
 def _search(items: list[Item]):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(items)
-        for frame in frames:
-            ids, texts = frame["doc_id"].tolist(), frame["text"].tolist()
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices([len(t) for t in texts]):
                 out = []
                 for doc_id, text in zip(ids[a:b], texts[a:b], strict=True):
                     for number, distance, start, end in searcher.find(normal(text)):
                         out.append((doc_id, items[number].item_id, distance, *_original(text, start, end)))
                 if out:
-                    frame_ = pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "start", "end"])
-                    yield frame_.astype({"doc_id": "Int64", "item_id": "Int64", "distance": "int32"})
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], _NAMES)
 
     return run
 
 
 def clean_of(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any item; rows with a NULL doc_id stay unless one of them has an item."""
-    found = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    found = sendable(contaminated(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct(), "contaminated")
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
 
 
 @query("op3_edit_matching")

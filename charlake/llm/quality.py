@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from charlake.llm.common import slices
@@ -47,6 +48,7 @@ _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 _SCHEMA = (
     "_n_words long, _word_chars long, _n_symbols long, _n_dup_lines long, _n_repeat_words long, _lost_chars long, _lines_removed long, _cleaned string"
 )
+_RESULTS = tuple(f.split()[0].removeprefix("_") for f in _SCHEMA.split(", "))
 
 
 def line_fails(line: str, words: list[bytes]) -> bool:
@@ -124,18 +126,18 @@ def _rows(texts: list[str]) -> pd.DataFrame:
 def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_chars, lines_removed, base_failed, kept, cleaned."""
     names = [f.split()[0] for f in _SCHEMA.split(", ")]
+    docs = docs.drop(*[c for c in (*_RESULTS, "base_failed", "kept") if c != text])
+    at = docs.columns.index(text)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = ["" if t is None else t for t in frame[text]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             for a, b in slices([len(t) for t in texts]):
-                part = frame.iloc[a:b].reset_index(drop=True)
-                yield pd.concat([part, _rows(texts[a:b])], axis=1)
+                fresh = pa.RecordBatch.from_pandas(_rows(texts[a:b]), preserve_index=False)
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *fresh.columns], [*batch.schema.names, *names])
 
-    fresh = [n.removeprefix("_") for n in names] + ["base_failed", "kept"]
-    docs = docs.drop(*[c for c in fresh if c != text])
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), _SCHEMA])
-    rows = docs.mapInPandas(run, schema).withColumnsRenamed({n: n.removeprefix("_") for n in names})
+    rows = docs.mapInArrow(run, schema).withColumnsRenamed({n: n.removeprefix("_") for n in names})
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEATED_PERCENT)
     return rows.withColumn("base_failed", failed).withColumn(
         "kept", ~failed & (F.col("lost_chars") * 100 <= F.col("word_chars") * LOST_PERCENT)
@@ -143,11 +145,13 @@ def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """The columns of `docs` for the documents kept, with the cleaned text and its length."""
-    kept = with_quality(docs).where("kept").withColumn("text", F.col("cleaned"))
+    """The columns of `docs` for the documents kept, with the cleaned text and its length. Names of other columns may be any."""
+    own = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    kept = with_quality(docs.withColumnsRenamed(own)).where("kept").withColumn("text", F.col("cleaned"))
+    columns = [F.col(own.get(c, c)).alias(c) for c in docs.columns if c != "n_chars"]
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+        columns.append(F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+    return kept.select(*columns).select(*docs.columns)
 
 
 _COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars", "lines_removed")

@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from charlake.llm.common import slices
@@ -230,15 +231,16 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
 def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = ["" if t is None else t for t in frame["text"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             for a, b in slices([len(t) for t in texts]):
                 scores = model.score(texts[a:b])
-                yield frame[["doc_id", "held_out"]].iloc[a:b].assign(score=scores, predicted=(scores >= THRESHOLD).astype("int32"))
+                columns = [*batch.slice(a, b - a).columns[:2], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 @query("op7_toxicity")
