@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from charlake.operators.scratch import written
 
+# Lists of keys up to this length may be sent to every executor: 16 MB of numbers.
+MAX_SENT = 1_000_000
+
 # Characters of text a Python task turns into words or tokens at a time.
 CHARS_AT_A_TIME = 1_000_000
 
@@ -33,6 +36,12 @@ def long_array(values: Sequence[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
+def sendable(keys: DataFrame, name: str) -> DataFrame:
+    """A list of keys, written and counted: to be broadcast if it is short, else to be joined by shuffle."""
+    keys = written(keys, name)
+    return F.broadcast(keys) if keys.count() <= MAX_SENT else keys
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "components") -> DataFrame:
     """Connected components of a graph by distributed union-find: node, root (the smallest node of its component).
 

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from charlake.llm.common import components, same_rows, slices, whole_groups
+from charlake.llm.common import components, same_rows, sendable, slices, whole_groups
 from charlake.llm.registry import query, table
 from charlake.operators.scratch import written
 
@@ -267,12 +267,8 @@ def _counted_links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": node[at[:, 0]], "other": pd.array(node[at[:, 1]], "Int64"), "links": 0})
 
 
-# Lists of texts up to this length may be sent to every executor: 16 MB of numbers.
-MAX_SENT = 1_000_000
-
-
 def similar_texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, class_id (smallest doc_id of the texts linked to each other), n_links (other texts it is linked to), n_copies (other rows of the same text)."""
+    """doc_id, node (number of its text), class_id (smallest doc_id of the texts linked to each other), n_links (other texts it is linked to), n_copies (other rows of the same text)."""
     body = F.coalesce(F.col(text), F.lit(""))
     source = docs.select("doc_id", body.alias("text"), text_key(F.col(text)).alias("node"))
     keys = written(source.select("doc_id", "node"), "join-keys")
@@ -290,8 +286,7 @@ def similar_texts(docs: DataFrame, text: str = "text") -> DataFrame:
 
     count = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     wanted = groups.join(count, "root")
-    few = groups.count() <= MAX_SENT
-    own = source.select("node", "text").join(F.broadcast(groups.select("node")) if few else groups.select("node"), "node", "left_semi")
+    own = source.select("node", "text").join(sendable(groups.select("node"), "members"), "node", "left_semi")
     grams = own.dropDuplicates(["node"]).mapInArrow(_ngram_rows, "node long, grams binary")
     blocks = _in_blocks(grams.join(wanted, "node"), "root", F.col("size"), GROUP_BLOCK)
     counted = written(blocks.mapInPandas(_counted_links, "node long, other long, links long"), "links")
@@ -303,15 +298,20 @@ def similar_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     of_text = of_text.withColumn("root", F.coalesce("root", "node"))
     named = of_text.groupBy("root").agg(F.min("least").alias("class_id"))
     result = of_text.join(named, "root").select("node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("rows") - 1).alias("n_copies"))
-    return keys.join(result, "node").select("doc_id", "class_id", "n_links", "n_copies")
+    return keys.join(result, "node").select("doc_id", "node", "class_id", "n_links", "n_copies")
 
 
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The document with the smallest doc_id of each class; of several such rows, one."""
-    found = similar_texts(docs, text)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    return kept.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else kept
+    """The document with the smallest doc_id of each class, once if its row is repeated; a class without a doc_id stays whole."""
+    found = written(similar_texts(docs, text), "join-classes")
+    named = found.select(F.col("doc_id").alias("_doc"), F.col("node").alias("_node"), "class_id")
+    gone = sendable(named.where("class_id IS NOT NULL AND NOT (_doc <=> class_id)").select("_doc", "_node").distinct(), "join-gone")
+    repeated = sendable(named.where("_doc IS NOT NULL").groupBy("_doc", "_node").count().where("count > 1").select("_doc", "_node"), "join-repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (text_key(F.col(text)) == F.col("_node"))
+    kept = docs.join(gone, same, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", text]))
 
 
 _SQL = f"""
@@ -331,4 +331,4 @@ FROM documents d JOIN t ON t.text = coalesce(d.text, '') JOIN r USING (node) LEF
 
 @query("op8_ngram_join", _SQL)
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_texts(table(spark, sf_dir, "documents"))
+    return similar_texts(table(spark, sf_dir, "documents")).drop("node")
