@@ -8,6 +8,7 @@ from charlake.checks import sql as S
 from charlake.checks.fixture import CFG, event_items, events, items, table
 from charlake.checks.registry import query
 from charlake.config import PROFILE_FIELDS
+from charlake.operators import reports
 from charlake.operators.asof import asof_join
 from charlake.operators.joins import join_latest, without_names, without_names_table
 from charlake.plans.feedback_table import match_feedback, user_profiles, with_user_profile
@@ -151,7 +152,4 @@ def match_stats(spark, d):
     bad = F.col("usuario_id").isNull() | F.col("item_ts").isNull()
     dropped = rows.where(is_kind(FEEDBACK) & bad).select(F.lit(None).cast("boolean").alias("matched"))
     seen = match_feedback(rows, CFG).select("matched").unionByName(dropped)
-    return seen.agg(
-        F.count(F.lit(1)).alias("feedback"), F.count_if("matched").alias("con_conversacion"),
-        F.count_if(~F.col("matched")).alias("sin_conversacion"), F.count_if(F.col("matched").isNull()).alias("descartados"),
-    )
+    return reports.match_stats(seen)

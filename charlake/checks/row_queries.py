@@ -165,9 +165,11 @@ def sample(spark, d):
 # --- texts ------------------------------------------------------------------
 
 
-@query("text_single_line", f"SELECT doc_id, {S.single_line('text')} AS linea FROM documents")
+@query("text_single_line", f"SELECT doc_id, {S.single_line('text')} AS linea, {S.single_line('text', 200)} AS corta FROM documents")
 def text_single_line(spark, d):
-    return table(spark, d, "documents").select("doc_id", single_line(F.col("text")).alias("linea"))
+    return table(spark, d, "documents").select(
+        "doc_id", single_line(F.col("text")).alias("linea"), single_line(F.col("text"), 200).alias("corta")
+    )
 
 
 _PIPED = r"replace(replace(text, chr(10), '|'), '. ', ' || ')"

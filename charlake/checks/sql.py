@@ -19,9 +19,9 @@ def clean(x: str) -> str:
     return f"CASE WHEN {blank(x)} THEN '' ELSE {strip(x)} END"
 
 
-def single_line(x: str) -> str:
+def single_line(x: str, chars: int | None = None) -> str:
     flat = rf"trim(regexp_replace(coalesce({x}, ''), '[\p{{C}}\p{{Z}}]+', ' ', 'g'))"
-    return f"CASE WHEN length({flat}) > 10000 THEN left({flat}, 10000) || '...' ELSE {flat} END"
+    return flat if chars is None else f"CASE WHEN length({flat}) > {chars} THEN left({flat}, {chars}) || '...' ELSE {flat} END"
 
 
 def iso(x: str) -> str:
@@ -93,6 +93,27 @@ EXCHANGE = (
     "LEFT JOIN replied r ON r.conv_id = b.conv_id AND r.segmento = b.segmento)"
 )
 
+# The same for whole conversations, whatever their length.
+TURN = (
+    "turn AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos, "
+    f"CASE WHEN lower({strip('role')}) IN ('user', 'usuario') THEN 'user' "
+    f"WHEN lower({strip('role')}) IN ('bot', 'assistant') THEN 'bot' ELSE lower({strip('role')}) END AS who, "
+    rf"trim(regexp_replace({strip('text')}, '\n\n|\n', ' ', 'g')) AS txt FROM conversations)"
+)
+
+QUESTION = (
+    "question AS (SELECT conv_id, txt, min(pos) AS pos FROM turn WHERE who = 'user' AND txt <> '' GROUP BY conv_id, txt), "
+    "per_conv AS (SELECT c.conv_id, count(q.txt) AS n FROM (SELECT DISTINCT conv_id FROM turn) c LEFT JOIN question q ON q.conv_id = c.conv_id GROUP BY c.conv_id)"
+)
+
+LAST = (
+    "asked_last AS (SELECT conv_id, max(pos) AS t, arg_max(text, pos) AS u FROM turn WHERE lower(role) = 'user' GROUP BY conv_id), "
+    "answered AS (SELECT s.conv_id, arg_min(s.text, s.pos) FILTER (WHERE s.pos > l.t) AS nxt, arg_max(s.text, s.pos) AS lst "
+    "FROM turn s LEFT JOIN asked_last l ON l.conv_id = s.conv_id WHERE lower(s.role) IN ('bot', 'assistant', 'system') GROUP BY s.conv_id), "
+    "whole AS (SELECT b.conv_id, coalesce(l.u, '') AS pregunta, coalesce(r.nxt, r.lst, '') AS respuesta FROM (SELECT DISTINCT conv_id FROM turn) b "
+    "LEFT JOIN asked_last l ON l.conv_id = b.conv_id LEFT JOIN answered r ON r.conv_id = b.conv_id)"
+)
+
 _PROFILE = ", ".join(f"{sql} AS {name}" for name, sql in PROFILE.items())
 _FEEDBACK = ", ".join(
     f"CASE WHEN kind = 'FEEDBACK' THEN ({sql}) END AS fb_{name}" for name, sql in FEEDBACK_VALUES.items()
@@ -121,8 +142,7 @@ KEPT = (
     "cleaned AS (SELECT usuario_id, sk, kind, item_ts, kind = 'FEEDBACK' AS es_feedback, CAST(created_at AS DATE) AS fecha, "
     "fb_type, fb_comment, fb_option, conv_id, segmento, "
     f"CASE WHEN {blank('nombre')} THEN '{CFG.anonymous_label}' ELSE {strip('nombre')} END AS nombre, "
-    f"{clean('ciudad')} AS c0, {', '.join(f'{clean(f)} AS {f}' for f in _OTHERS)}, "
-    f"CAST((row_number() OVER (PARTITION BY usuario_id ORDER BY item_ts, sk) - 1) // {CFG.items_per_row} AS INTEGER) AS parte "
+    f"{clean('ciudad')} AS c0, {', '.join(f'{clean(f)} AS {f}' for f in _OTHERS)} "
     "FROM items WHERE kind <> 'REGISTER' AND usuario_id IS NOT NULL), "
     f"placed AS (SELECT * EXCLUDE (c0), {_CITY} AS c1 FROM cleaned), "
     "kept AS (SELECT * EXCLUDE (c1), "

@@ -12,7 +12,7 @@ from charlake.checks.registry import query
 from charlake.config import FEEDBACK_TABLE_COLUMNS, PROFILE_FIELDS
 from charlake.operators.reports import feedback_totals, run_totals
 from charlake.plans import build_feedback_table, build_user_table, render_user_table, type_user_table
-from charlake.plans.typed_table import has_transcript
+from charlake.plans.user_table import user_values
 
 _OWN = "NOT es_feedback"
 
@@ -47,25 +47,37 @@ BASE = (
 
 _ORDERED = "string_agg({0}, ' || ' ORDER BY item_ts, sk) FILTER (WHERE {0} <> '')"
 
+
+def _part(order: str, rows: int) -> str:
+    return f"CAST((row_number() OVER (PARTITION BY usuario_id ORDER BY {order}) - 1) // {rows} AS INTEGER) AS parte"
+
+
+# Texts only are in cells; everything else is the user's.
+_TEXTS = (
+    f"spoken AS (SELECT *, {_part('item_ts, sk', CFG.items_per_row)} FROM base WHERE feedback_text IS NOT NULL OR transcript <> ''), "
+    f"texts AS (SELECT usuario_id, parte, coalesce({_ORDERED.format('transcript')}, '') AS conversacion_completa, "
+    f"coalesce({_ORDERED.format('feedback_text')}, '') AS feedback_total, coalesce({_ORDERED.format('pregunta')}, '') AS pregunta_conversacion "
+    "FROM spoken GROUP BY usuario_id, parte)"
+)
+
 USERS = (
+    "said AS (SELECT usuario_id, o, item_ts, sk, v, row_number() OVER (PARTITION BY usuario_id, v ORDER BY o, item_ts, sk) AS nth FROM ("
+    f"SELECT usuario_id, 0 AS o, item_ts, sk, {_SAID.format('fb_comment')} AS v FROM base WHERE es_feedback "
+    f"UNION ALL SELECT usuario_id, 1, item_ts, sk, {_SAID.format('fb_option')} FROM base WHERE es_feedback) WHERE v IS NOT NULL), "
     "answers AS (SELECT usuario_id, parte, string_agg(v, ' | ' ORDER BY o, item_ts, sk) AS respuesta FROM ("
-    "SELECT *, row_number() OVER (PARTITION BY usuario_id, parte, v ORDER BY o, item_ts, sk) AS nth FROM ("
-    f"SELECT usuario_id, parte, 0 AS o, item_ts, sk, {_SAID.format('fb_comment')} AS v FROM base WHERE es_feedback "
-    f"UNION ALL SELECT usuario_id, parte, 1, item_ts, sk, {_SAID.format('fb_option')} FROM base WHERE es_feedback) WHERE v IS NOT NULL) "
-    "WHERE nth = 1 GROUP BY usuario_id, parte), "
-    "sums AS (SELECT usuario_id, parte, CAST(coalesce(sum(turnos), 0) AS INTEGER) AS numero_conversaciones, "
-    f"coalesce({_ORDERED.format('transcript')}, '') AS conversacion_completa, "
-    f"coalesce({_ORDERED.format('feedback_text')}, '') AS feedback_total, "
+    f"SELECT *, {_part('o, item_ts, sk', CFG.answers_per_row)} FROM said WHERE nth = 1) GROUP BY usuario_id, parte), "
+    "sums AS (SELECT usuario_id, CAST(coalesce(sum(turnos), 0) AS INTEGER) AS numero_conversaciones, "
     "CAST(count(*) FILTER (WHERE fb_type IN ('like', 'dislike')) AS INTEGER) AS numero_feedback, "
-    f"coalesce({_ORDERED.format('pregunta')}, '') AS pregunta_conversacion, "
     "CAST(coalesce(sum(n_preguntas), 0) AS INTEGER) AS numero_preguntas, "
     "CASE WHEN bool_or(fb_type = 'like') AND bool_or(fb_type = 'dislike') THEN 'mixed' WHEN bool_or(fb_type = 'like') THEN 'like' "
-    "WHEN bool_or(fb_type = 'dislike') THEN 'dislike' ELSE '' END AS feedback FROM base GROUP BY usuario_id, parte), "
+    "WHEN bool_or(fb_type = 'dislike') THEN 'dislike' ELSE '' END AS feedback FROM base GROUP BY usuario_id), "
+    f"{_TEXTS}, "
+    "cells AS (SELECT * FROM texts FULL JOIN answers USING (usuario_id, parte)), "
     "users AS (SELECT w.usuario_id, w.nombre, w.gerencia, w.ciudad, w.oficinas_asesoras, w.subgerencia, w.nivel_directivo, "
-    "w.fecha_primera_conversacion, s.numero_conversaciones, s.conversacion_completa, s.feedback_total, s.numero_feedback, "
-    "s.pregunta_conversacion, s.numero_preguntas, s.feedback, coalesce(r.respuesta, '') AS respuesta_feedback, s.parte "
-    "FROM who w JOIN sums s ON s.usuario_id = w.usuario_id "
-    "LEFT JOIN answers r ON r.usuario_id = s.usuario_id AND r.parte = s.parte)"
+    "w.fecha_primera_conversacion, s.numero_conversaciones, coalesce(c.conversacion_completa, '') AS conversacion_completa, "
+    "coalesce(c.feedback_total, '') AS feedback_total, s.numero_feedback, coalesce(c.pregunta_conversacion, '') AS pregunta_conversacion, "
+    "s.numero_preguntas, s.feedback, coalesce(c.respuesta, '') AS respuesta_feedback, coalesce(c.parte, 0) AS parte "
+    "FROM who w JOIN sums s ON s.usuario_id = w.usuario_id LEFT JOIN cells c ON c.usuario_id = w.usuario_id)"
 )
 
 USER_TABLES = (S.EV, S.SEG, S.MSG, S.TALK, S.ASKED, S.ITEMS, S.KEPT, BASE, _USER_LEVEL, USERS)
@@ -89,26 +101,24 @@ BASE_LATEST = (
     "k.subgerencia, k.nivel_directivo, coalesce(t.transcript, '') AS transcript, coalesce(a.preguntas, '') AS pregunta, "
     f"greatest({_COUNT.format(_TALK, 'bot', 3)}, {_COUNT.format(_TALK, 'user', 4)}, 1) AS turnos, "
     f"{_COUNT.format(f'lower({_TALK})', 'user:', 5)} AS n_preguntas, l.f.t AS fb_type, l.f.c AS fb_comment, l.f.o AS fb_option, "
-    "k.parte FROM kept k LEFT JOIN talk t ON t.conv_id = k.conv_id AND t.segmento = k.segmento "
+    "k.kind FROM kept k LEFT JOIN talk t ON t.conv_id = k.conv_id AND t.segmento = k.segmento "
     "LEFT JOIN asked a ON a.conv_id = k.conv_id AND a.segmento = k.segmento "
     "LEFT JOIN latest l ON l.usuario_id = k.usuario_id AND k.kind = 'CONVERSATION' WHERE NOT k.es_feedback)"
 )
 
 USERS_LATEST = (
-    f"texts AS (SELECT *, CASE WHEN coalesce(fb_type, fb_comment, fb_option) IS NOT NULL THEN {_TEXT} END AS feedback_text FROM base), "
-    "one AS (SELECT usuario_id, parte, any_value(fb_type) AS t, any_value(fb_comment) AS c, any_value(fb_option) AS o "
-    "FROM texts WHERE feedback_text IS NOT NULL GROUP BY usuario_id, parte), "
-    "sums AS (SELECT usuario_id, parte, CAST(sum(turnos) AS INTEGER) AS numero_conversaciones, "
-    f"coalesce({_ORDERED.format('transcript')}, '') AS conversacion_completa, "
-    f"coalesce({_ORDERED.format('feedback_text')}, '') AS feedback_total, "
-    "CAST(count(feedback_text) AS INTEGER) AS numero_feedback, "
-    f"coalesce({_ORDERED.format('pregunta')}, '') AS pregunta_conversacion, "
-    "CAST(sum(n_preguntas) AS INTEGER) AS numero_preguntas FROM texts GROUP BY usuario_id, parte), "
+    f"given AS (SELECT *, CASE WHEN coalesce(fb_type, fb_comment, fb_option) IS NOT NULL THEN {_TEXT} END AS feedback_text FROM base), "
+    "one AS (SELECT usuario_id, any_value(fb_type) AS t, any_value(fb_comment) AS c, any_value(fb_option) AS o "
+    "FROM given WHERE feedback_text IS NOT NULL GROUP BY usuario_id), "
+    "sums AS (SELECT usuario_id, CAST(sum(turnos) AS INTEGER) AS numero_conversaciones, CAST(count(feedback_text) AS INTEGER) AS numero_feedback, "
+    "CAST(sum(n_preguntas) AS INTEGER) AS numero_preguntas FROM given GROUP BY usuario_id), "
+    + _TEXTS.replace("FROM base", "FROM given") + ", "
     "users AS (SELECT w.usuario_id, w.nombre, w.gerencia, w.ciudad, w.oficinas_asesoras, w.subgerencia, w.nivel_directivo, "
-    "w.fecha_primera_conversacion, s.numero_conversaciones, s.conversacion_completa, s.feedback_total, s.numero_feedback, "
-    "s.pregunta_conversacion, s.numero_preguntas, CASE WHEN o.t IN ('like', 'dislike') THEN o.t ELSE '' END AS feedback, "
-    f"concat_ws(' | ', replace({_SAID.format('o.c')}, chr(10), chr(92) || 'n'), {_SAID.format('o.o')}) AS respuesta_feedback, s.parte "
-    "FROM who w JOIN sums s ON s.usuario_id = w.usuario_id LEFT JOIN one o ON o.usuario_id = s.usuario_id AND o.parte = s.parte)"
+    "w.fecha_primera_conversacion, s.numero_conversaciones, coalesce(c.conversacion_completa, '') AS conversacion_completa, "
+    "coalesce(c.feedback_total, '') AS feedback_total, s.numero_feedback, coalesce(c.pregunta_conversacion, '') AS pregunta_conversacion, "
+    "s.numero_preguntas, CASE WHEN o.t IN ('like', 'dislike') THEN o.t ELSE '' END AS feedback, "
+    f"concat_ws(' | ', replace({_SAID.format('o.c')}, chr(10), chr(92) || 'n'), {_SAID.format('o.o')}) AS respuesta_feedback, coalesce(c.parte, 0) AS parte "
+    "FROM who w JOIN sums s ON s.usuario_id = w.usuario_id LEFT JOIN one o ON o.usuario_id = w.usuario_id LEFT JOIN texts c ON c.usuario_id = w.usuario_id)"
 )
 
 
@@ -131,14 +141,14 @@ def user_table_rendered(spark, d):
 
 
 TYPED = (
-    f"spoken AS (SELECT b.usuario_id, b.parte, m.who, sum({S.tokens('m.txt')}) AS tokens FROM base b "
+    f"worth AS (SELECT b.usuario_id, b.parte, m.who, sum({S.tokens('m.txt')}) AS tokens FROM spoken b "
     "JOIN msg m ON m.conv_id = b.conv_id AND m.segmento = b.segmento GROUP BY ALL), "
     "typed AS (SELECT usuario_id, nombre, gerencia, ciudad, oficinas_asesoras, subgerencia, nivel_directivo, fecha_primera_conversacion, "
     "nullif(numero_conversaciones, 0) AS numero_conversaciones, conversacion_completa, feedback_total, "
     "nullif(numero_feedback, 0) AS numero_feedback, pregunta_conversacion, numero_preguntas, nullif(feedback, '') AS feedback, "
     "CASE WHEN feedback <> '' THEN respuesta_feedback END AS respuesta_feedback, parte, "
-    "CAST(coalesce((SELECT tokens FROM spoken s WHERE s.usuario_id = u.usuario_id AND s.parte = u.parte AND s.who = 'user'), 0) AS INTEGER) AS token_pregunta, "
-    "CAST(coalesce((SELECT tokens FROM spoken s WHERE s.usuario_id = u.usuario_id AND s.parte = u.parte AND s.who = 'bot'), 0) AS INTEGER) AS token_respuesta "
+    "CAST(coalesce((SELECT tokens FROM worth s WHERE s.usuario_id = u.usuario_id AND s.parte = u.parte AND s.who = 'user'), 0) AS INTEGER) AS token_pregunta, "
+    "CAST(coalesce((SELECT tokens FROM worth s WHERE s.usuario_id = u.usuario_id AND s.parte = u.parte AND s.who = 'bot'), 0) AS INTEGER) AS token_respuesta "
     "FROM users u WHERE conversacion_completa <> '')"
 )
 
@@ -149,25 +159,31 @@ def typed_user_table(spark, d):
     return type_user_table(render_user_table(users(spark, d), CFG), CFG)
 
 
-@query("drop_blank_transcripts", S.with_(*USER_TABLES, select=(
-    "SELECT count(*) AS antes, count(*) FILTER (WHERE conversacion_completa <> '') AS despues, "
-    "count(*) FILTER (WHERE conversacion_completa = '') AS eliminados FROM users"
+_PER_USER = (
+    "per_user AS (SELECT usuario_id, any_value(nombre) AS nombre, any_value(numero_conversaciones) AS numero_conversaciones, any_value(feedback) AS feedback, "
+    "bool_or(conversacion_completa <> '') AS con_transcript, bool_or(pregunta_conversacion <> '') AS con_preguntas FROM users GROUP BY usuario_id)"
+)
+
+
+@query("drop_blank_transcripts", S.with_(*USER_TABLES, _PER_USER, select=(
+    "SELECT count(*) AS antes, count(*) FILTER (WHERE con_transcript) AS despues, "
+    "count(*) FILTER (WHERE NOT con_transcript) AS eliminados FROM per_user"
 )))
 def drop_blank_transcripts(spark, d):
-    kept = has_transcript()
-    return users(spark, d).agg(
-        F.count(F.lit(1)).alias("antes"), F.count_if(kept).alias("despues"), F.count_if(~kept).alias("eliminados")
+    """Users before and after, from the values alone."""
+    spoken = F.col("con_transcript")
+    return user_values(items(spark, d), CFG).agg(
+        F.count(F.lit(1)).alias("antes"), F.count_if(spoken).alias("despues"), F.count_if(~spoken).alias("eliminados")
     )
 
 
-@query("run_totals", S.with_(*USER_TABLES, select=(
-    "SELECT count(DISTINCT usuario_id) AS usuarios_procesados, CAST(sum(numero_conversaciones) AS BIGINT) AS total_conversaciones, "
-    "count(DISTINCT usuario_id) FILTER (WHERE feedback <> '') AS usuarios_con_feedback, "
-    "count(DISTINCT usuario_id) FILTER (WHERE pregunta_conversacion <> '') AS usuarios_con_preguntas, "
-    f"count(DISTINCT usuario_id) FILTER (WHERE nombre <> '{CFG.anonymous_label}') AS nombres_reales FROM users"
+@query("run_totals", S.with_(*USER_TABLES, _PER_USER, select=(
+    "SELECT count(*) AS usuarios_procesados, CAST(sum(numero_conversaciones) AS BIGINT) AS total_conversaciones, "
+    "count(*) FILTER (WHERE feedback <> '') AS usuarios_con_feedback, count(*) FILTER (WHERE con_preguntas) AS usuarios_con_preguntas, "
+    f"count(*) FILTER (WHERE nombre <> '{CFG.anonymous_label}') AS nombres_reales FROM per_user"
 )))
 def run_totals_query(spark, d):
-    return run_totals(users(spark, d), CFG.anonymous_label)
+    return run_totals(user_values(items(spark, d), CFG), CFG.anonymous_label)
 
 
 FEEDBACK_TABLES = (S.EV, S.SEG, S.EXCHANGE, S.ITEMS, MATCH, PROFILES, PROFILED, (
@@ -191,15 +207,17 @@ def feedback_totals_query(spark, d):
 
 
 @query("sql_user_report", S.with_(*USER_TABLES, TYPED, select=(
-    "SELECT ciudad, count(*) AS usuarios, CAST(sum(numero_conversaciones) AS BIGINT) AS conversaciones, "
-    "count(feedback) AS con_feedback, CAST(sum(token_pregunta + token_respuesta) AS BIGINT) AS tokens FROM typed GROUP BY ciudad"
+    "SELECT ciudad, count(*) AS usuarios, CAST(sum(n) AS BIGINT) AS conversaciones, count(f) AS con_feedback, CAST(sum(t) AS BIGINT) AS tokens FROM ("
+    "SELECT usuario_id, ciudad, any_value(numero_conversaciones) AS n, any_value(feedback) AS f, sum(token_pregunta + token_respuesta) AS t "
+    "FROM typed GROUP BY usuario_id, ciudad) GROUP BY ciudad"
 )))
 def sql_user_report(spark, d):
     """SQL over the curated view."""
     register_views(users=type_user_table(users(spark, d), CFG))
     return spark.sql(
-        "SELECT ciudad, count(*) AS usuarios, sum(numero_conversaciones) AS conversaciones, count(feedback) AS con_feedback, "
-        f"sum(token_pregunta + token_respuesta) AS tokens FROM {USER_VIEW} GROUP BY ciudad"
+        "SELECT ciudad, count(*) AS usuarios, sum(n) AS conversaciones, count(f) AS con_feedback, sum(t) AS tokens FROM ("
+        "SELECT usuario_id, ciudad, max(numero_conversaciones) AS n, max(feedback) AS f, sum(token_pregunta + token_respuesta) AS t "
+        f"FROM {USER_VIEW} GROUP BY usuario_id, ciudad) GROUP BY ciudad"
     )
 
 

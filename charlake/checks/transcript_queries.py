@@ -12,11 +12,17 @@ from charlake.functions.text import single_line
 from charlake.functions.tokens import estimate_tokens
 from charlake.functions.transcripts import (
     bot_texts, canonical_role, count_questions_text, count_turns_text, join_texts, last_exchange, message_text,
-    questions_of, questions_text, render_messages, render_text, split_transcript, texts_by_prefix, user_texts,
+    questions_text, render_messages, render_text, split_transcript, texts_by_prefix, user_texts,
 )
+from charlake.operators.conversations import distinct_questions, last_exchanges, question_counts, text_counts
+from charlake.operators.parts import by_parts
+from charlake.operators.reports import question_coverage
 
 KEY = ["conv_id", "segmento"]
 
+# Questions in one cell of text.
+QUESTIONS_PER_CELL = 10_000
+
 
 def rendered(spark, d) -> DataFrame:
     return conversations(spark, d).select(*KEY, render_messages(F.col("messages"), CFG.role_words).alias("t"))
@@ -39,14 +45,25 @@ def transcript_render_json(spark, d):
     return conversations(spark, d).select(*KEY, render_text(text, CFG.role_words).alias("conversacion"))
 
 
-@query("user_questions", S.with_(S.SEG, S.MSG, S.ASKED, select=(
-    "SELECT b.conv_id, b.segmento, coalesce(preguntas, '') AS preguntas, coalesce(n, 0) AS n "
-    "FROM (SELECT DISTINCT conv_id, segmento FROM seg) b LEFT JOIN asked a ON a.conv_id = b.conv_id AND a.segmento = b.segmento"
+@query("user_questions", S.with_(S.TURN, S.QUESTION, (
+    f"part AS (SELECT *, CAST((row_number() OVER (PARTITION BY conv_id ORDER BY pos) - 1) // {QUESTIONS_PER_CELL} AS INTEGER) AS parte FROM question), "
+    "cells AS (SELECT conv_id, parte, string_agg(txt, ' | ' ORDER BY pos) AS preguntas FROM part GROUP BY conv_id, parte)"
+), select=(
+    "SELECT p.conv_id, coalesce(parte, 0) AS parte, coalesce(preguntas, '') AS preguntas, CAST(n AS INTEGER) AS n "
+    "FROM per_conv p LEFT JOIN cells c ON c.conv_id = p.conv_id"
 )))
 def user_questions(spark, d):
-    asked = questions_of(F.col("messages"), CFG.role_words)
-    return conversations(spark, d).select(
-        *KEY, F.array_join(asked, MESSAGE_SEPARATOR).alias("preguntas"), F.size(asked).alias("n")
+    """Each question of a conversation once. The text goes on in further cells; `n` is the conversation's in each of them."""
+    rows = turns(spark, d)
+    order = ["turn", "role", "text"]
+
+    def cell(part_rows, group):
+        asked = F.array_sort(F.collect_list(F.struct(*order, "pregunta")))
+        return part_rows.groupBy(*group).agg(F.array_join(F.transform(asked, lambda q: q["pregunta"]), MESSAGE_SEPARATOR).alias("preguntas"))
+
+    cells = by_parts(distinct_questions(rows, CFG.role_words), ["conv_id"], order, QUESTIONS_PER_CELL, "parte", cell)
+    return question_counts(rows, CFG.role_words).join(cells, "conv_id", "left").select(
+        "conv_id", F.coalesce("parte", F.lit(0)).alias("parte"), F.coalesce("preguntas", F.lit("")).alias("preguntas"), "n"
     )
 
 
@@ -62,11 +79,24 @@ def _count(x: str, word: str) -> str:
     return f"((length({x}) - length(replace({x}, '{word}', ''))) // {len(word)})"
 
 
-@query("turn_count_text", S.with_(S.SEG, S.MSG, S.TALK, select=(
-    f"SELECT conv_id, segmento, CAST(greatest({_count('transcript', 'bot')}, {_count('transcript', 'user')}, 1) AS INTEGER) AS turnos FROM talk"
+_LINE = "who || ': ' || txt"
+
+
+@query("turn_count_text", S.with_(S.TURN, select=(
+    f"SELECT conv_id, CAST(greatest(sum({_count(_LINE, 'bot')}), sum({_count(_LINE, 'user')}), 1) AS BIGINT) AS turnos FROM turn GROUP BY conv_id"
 )))
 def turn_count_text(spark, d):
-    return rendered(spark, d).select(*KEY, count_turns_text(F.col("t")).alias("turnos"))
+    counts = text_counts(turns(spark, d), CFG.role_words)
+    return counts.select("conv_id", F.greatest("bot", "usuario", F.lit(1).cast("long")).alias("turnos"))
+
+
+@query("turn_count_cell", S.with_(S.SEG, S.MSG, S.TALK, select=(
+    f"SELECT conv_id, segmento, CAST(greatest({_count('transcript', 'bot')}, {_count('transcript', 'user')}, 1) AS INTEGER) AS turnos, "
+    f"CAST({_count('lower(transcript)', 'user:')} AS INTEGER) AS preguntas FROM talk"
+)))
+def turn_count_cell(spark, d):
+    """The same counts in one rendered cell, as they are read back from text."""
+    return rendered(spark, d).select(*KEY, count_turns_text(F.col("t")).alias("turnos"), count_questions_text(F.col("t")).alias("preguntas"))
 
 
 def _who():
@@ -85,15 +115,11 @@ def turn_count(spark, d):
     return counts.withColumn("turnos", F.greatest("usuario", "bot", F.lit(1).cast("bigint")))
 
 
-@query("question_count", S.with_(S.SEG, S.MSG, S.TALK, select=(
-    f"SELECT conv_id, segmento, CAST({_count('lower(transcript)', 'user:')} AS INTEGER) AS texto, n_user AS turnos FROM talk"
+@query("question_count", S.with_(S.TURN, select=(
+    f"SELECT conv_id, CAST(sum({_count(f'lower({_LINE})', 'user:')}) AS BIGINT) AS texto, count(*) FILTER (WHERE who = 'user') AS turnos FROM turn GROUP BY conv_id"
 )))
 def question_count(spark, d):
-    rows = conversations(spark, d).select(
-        *KEY, render_messages(F.col("messages"), CFG.role_words).alias("t"),
-        F.size(F.filter("messages", lambda m: canonical_role(m["role"], CFG.role_words) == "user")).alias("turnos"),
-    )
-    return rows.select(*KEY, count_questions_text(F.col("t")).alias("texto"), "turnos")
+    return text_counts(turns(spark, d), CFG.role_words).select("conv_id", F.col("preguntas").alias("texto"), "turnos")
 
 
 @query("transcript_split", S.with_(S.SEG, S.MSG, select=(
@@ -124,18 +150,27 @@ def texts_by_role(spark, d):
     )
 
 
-@query("last_exchange", S.with_(S.SEG, S.EXCHANGE, select=(
-    f"SELECT conv_id, segmento, {S.single_line('pregunta')} AS pregunta, {S.single_line('respuesta')} AS respuesta FROM exchange"
+@query("last_exchange", S.with_(S.TURN, S.LAST, select=(
+    f"SELECT conv_id, {S.single_line('pregunta')} AS pregunta, {S.single_line('respuesta')} AS respuesta FROM whole"
 )))
 def last_exchange_query(spark, d):
+    rows = last_exchanges(turns(spark, d), CFG.user_roles, CFG.reply_roles)
+    return rows.select("conv_id", single_line(F.col("pregunta")).alias("pregunta"), single_line(F.col("respuesta")).alias("respuesta"))
+
+
+@query("last_exchange_cell", S.with_(S.SEG, S.EXCHANGE, select=(
+    f"SELECT conv_id, segmento, {S.single_line('pregunta')} AS pregunta, {S.single_line('respuesta')} AS respuesta FROM exchange"
+)))
+def last_exchange_cell(spark, d):
+    """The same of one stored item's messages, row by row."""
     asked, replied = last_exchange(F.col("messages"), CFG.user_roles, CFG.reply_roles)
     return conversations(spark, d).select(
         *KEY, single_line(asked).alias("pregunta"), single_line(replied).alias("respuesta")
     )
 
 
-@query("tokens_by_role", S.with_(S.SEG, S.MSG, select=(
-    f"SELECT conv_id, who, CAST(sum({S.tokens('txt')}) AS BIGINT) AS tokens, count(*) AS mensajes FROM msg GROUP BY conv_id, who"
+@query("tokens_by_role", S.with_(S.TURN, select=(
+    f"SELECT conv_id, who, CAST(sum({S.tokens('txt')}) AS BIGINT) AS tokens, count(*) AS mensajes FROM turn GROUP BY conv_id, who"
 )))
 def tokens_by_role(spark, d):
     """Straight from the turns: summed per task before the shuffle."""
@@ -145,12 +180,8 @@ def tokens_by_role(spark, d):
     )
 
 
-@query("question_coverage", S.with_(S.SEG, S.MSG, S.ASKED, select=(
-    "SELECT count(*) AS conversaciones, count(a.n) AS con_pregunta, count(*) FILTER (WHERE a.n > 1) AS con_varias "
-    "FROM (SELECT DISTINCT conv_id, segmento FROM seg) b LEFT JOIN asked a ON a.conv_id = b.conv_id AND a.segmento = b.segmento"
+@query("question_coverage", S.with_(S.TURN, S.QUESTION, select=(
+    "SELECT count(*) AS conversaciones, count(*) FILTER (WHERE n > 0) AS con_pregunta, count(*) FILTER (WHERE n > 1) AS con_varias FROM per_conv"
 )))
-def question_coverage(spark, d):
-    n = F.size(questions_of(F.col("messages"), CFG.role_words))
-    return conversations(spark, d).agg(
-        F.count(F.lit(1)).alias("conversaciones"), F.count_if(n > 0).alias("con_pregunta"), F.count_if(n > 1).alias("con_varias")
-    )
+def question_coverage_query(spark, d):
+    return question_coverage(question_counts(turns(spark, d), CFG.role_words))

@@ -101,12 +101,13 @@ class ChatConfig:
     first_day: date | None = date(2025, 8, 4)
     last_day: date | None = None  # None: the day the query runs
 
-    max_message_chars: int | None = 10_000
+    max_message_chars: int | None = None  # whole messages
     zero_as_null: bool = True
 
-    # A user row holds at most this many items; further items go on in the user's next row.
-    # An item is at most 400 KB in the store, so a row stays below the 2 GB cell limit.
-    items_per_row: int = 2_000
+    # A cell of text holds at most this many items; further ones go on in the user's next row.
+    # An item is at most 400 KB in the store, so a cell stays below 200 MB.
+    items_per_row: int = 500
+    answers_per_row: int = 10_000
     # A user with more rows than this is matched in time slices, not in one task.
     rows_per_window: int = 1_000_000
 

@@ -79,7 +79,8 @@ def class_text(c: Column) -> Column:
     return let(words, lambda w: class_of(F.array_contains(w, "like"), F.array_contains(w, "dislike")))
 
 
-def _said(values: Column) -> Column:
+def said(values: Column) -> Column:
+    """The values that say something, trimmed."""
     cleaned = F.transform(values, lambda v: strip(v))
     return F.filter(cleaned, lambda v: v.isNotNull() & ~F.lower(v).isin("", "none", "null"))
 
@@ -90,10 +91,10 @@ def answers_text(c: Column) -> Column:
 
     def parsed(s: Column) -> Column:
         parts = F.transform(F.split(s, r"\|"), lambda p: F.from_json(strip(p), "comment string, option string"))
-        return F.flatten(F.transform(parts, lambda p: _said(F.array(p["comment"], p["option"]))))
+        return F.flatten(F.transform(parts, lambda p: said(F.array(p["comment"], p["option"]))))
 
     def found(s: Column) -> Column:
-        quoted = F.concat(_said(_values(s, "comment")), _said(_values(s, "option")))
+        quoted = F.concat(said(_values(s, "comment")), said(_values(s, "option")))
         return let(quoted, lambda q: F.when(F.size(q) > 0, q).otherwise(F.coalesce(parsed(s), F.array().cast(_EMPTY))))
 
     return distinct_answers(F.array_join(let(strip(F.coalesce(c, F.lit(""))), found), MESSAGE_SEPARATOR))
@@ -107,7 +108,7 @@ def distinct_answers(c: Column) -> Column:
 
 def answers_of(comments: Column, options: Column) -> Column:
     """Comments, then options, from arrays; each once, joined by ` | `."""
-    return F.array_join(F.array_distinct(F.concat(_said(comments), _said(options))), MESSAGE_SEPARATOR)
+    return F.array_join(F.array_distinct(F.concat(said(comments), said(options))), MESSAGE_SEPARATOR)
 
 
 def feedback_class_or_null(c: Column) -> Column:

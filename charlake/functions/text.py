@@ -57,8 +57,8 @@ def drop_parenthesis(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?s)^{_SPACE}*(?=.*\))([^(]*?){_SPACE}*\(.*$", "$1")
 
 
-def single_line(c: Column, max_chars: int | None = 10_000) -> Column:
-    """One line without control or unprintable characters, at most `max_chars` long plus `...`."""
+def single_line(c: Column, max_chars: int | None = None) -> Column:
+    """One line without control or unprintable characters; on request at most `max_chars` long plus `...`."""
     flat = F.btrim(F.regexp_replace(F.coalesce(c, F.lit("")), _GAP, " "))
     return flat if max_chars is None else F.regexp_replace(flat, f"(?s)^(.{{{max_chars}}}).+$", "$1...")
 

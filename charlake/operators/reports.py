@@ -14,29 +14,36 @@ def _filled(name: str) -> Column:
 
 
 def run_totals(users: DataFrame, anonymous_label: str) -> DataFrame:
-    """Users, conversations and coverage of the user table. A user in parts counts once."""
-    first = F.col("parte") == 0 if "parte" in users.columns else F.lit(True)
-    with_feedback = ~is_blank(F.col("feedback"))
-    with_questions = ~is_blank(F.col("pregunta_conversacion"))
-    per_user = (
-        users
-        if "parte" not in users.columns
-        else users.groupBy("usuario_id").agg(
-            F.max(F.when(first, F.col("nombre"))).alias("nombre"),
-            F.sum("numero_conversaciones").alias("numero_conversaciones"),
-            F.max(F.when(with_feedback, F.col("feedback"))).alias("feedback"),
-            F.max(F.when(with_questions, F.lit("x"))).alias("pregunta_conversacion"),
+    """Users, conversations and coverage, from `user_values` or from the user table, where a user's rows repeat the values."""
+    if "con_preguntas" not in users.columns:
+        users = users.groupBy("usuario_id").agg(
+            F.max("nombre").alias("nombre"), F.max("numero_conversaciones").alias("numero_conversaciones"), F.max("feedback").alias("feedback"),
+            F.bool_or(~is_blank(F.col("pregunta_conversacion"))).alias("con_preguntas"),
         )
-    )
-    return per_user.agg(
+    return users.agg(
         F.count(F.lit(1)).alias("usuarios_procesados"),
         F.coalesce(F.sum("numero_conversaciones"), F.lit(0)).cast("bigint").alias("total_conversaciones"),
         _filled("feedback").alias("usuarios_con_feedback"),
-        _filled("pregunta_conversacion").alias("usuarios_con_preguntas"),
+        F.count_if("con_preguntas").alias("usuarios_con_preguntas"),
         F.count_if(F.col("nombre") != anonymous_label).alias("nombres_reales"),
     )
 
 
+def match_stats(seen: DataFrame) -> DataFrame:
+    """Feedback by `matched`: true, false, or NULL for feedback that could not be matched at all."""
+    return seen.agg(
+        F.count(F.lit(1)).alias("feedback"), F.count_if("matched").alias("con_conversacion"),
+        F.count_if(~F.col("matched")).alias("sin_conversacion"), F.count_if(F.col("matched").isNull()).alias("descartados"),
+    )
+
+
+def question_coverage(per_conversation: DataFrame) -> DataFrame:
+    """Conversations, those with a question and those with several, from `n`, the questions of each."""
+    return per_conversation.agg(
+        F.count(F.lit(1)).alias("conversaciones"), F.count_if(F.col("n") > 0).alias("con_pregunta"), F.count_if(F.col("n") > 1).alias("con_varias")
+    )
+
+
 def feedback_totals(feedback: DataFrame) -> DataFrame:
     return feedback.agg(
         F.count(F.lit(1)).alias("total_feedbacks"),

@@ -16,9 +16,8 @@ from charlake.operators.scratch import written
 # Key lists up to this length are sent to every executor; longer ones are joined by shuffle.
 MAX_BROADCAST_KEYS = 10_000
 
-# Rows in a slice, and the most slices a range shuffle may make.
+# Rows in a slice.
 ROWS_PER_SLICE = 250_000
-MAX_SLICES = 100_000
 
 SLICE = "_slice"
 
@@ -51,7 +50,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame
     if hot is None:
         return df, None, 0
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = min(MAX_SLICES, max(default, -(-rows // ROWS_PER_SLICE)))
+    slices = max(default, -(-rows // ROWS_PER_SLICE))
     return join_on(df, hot, keys, "left_anti"), join_on(df, hot, keys, "left_semi"), slices
 
 

@@ -44,9 +44,8 @@ def wanted(cfg: ChatConfig) -> Column:
 
 def entries(items: DataFrame, cfg: ChatConfig) -> DataFrame:
     """Items as rows of the roll-up, row by row: no shuffle. Feedback passes the filters by itself."""
-    keep = [c for c in (PART,) if c in items.columns]
     rows = items.select(
-        "usuario_id", *ORDER, *keep, "kind", "messages", *[F.col(f"feedback.{f}").alias(f) for f in FEEDBACK_FIELDS],
+        "usuario_id", *ORDER, "kind", "messages", *[F.col(f"feedback.{f}").alias(f) for f in FEEDBACK_FIELDS],
         is_kind(FEEDBACK).alias("es_feedback"), F.to_date("created_at").alias("fecha"), *clean_profile(cfg),
     )
     return with_default_city(rows.where(F.col("es_feedback") | wanted(cfg)), cfg)
@@ -77,74 +76,108 @@ def _feedback_text() -> Column:
     return fb.feedback_text(F.col("type"), F.col("comment"), F.col("option"))
 
 
-def _build_each_once(items: DataFrame, group: list[str], cfg: ChatConfig) -> DataFrame:
+def _cells(rows: DataFrame, group: list[str]) -> DataFrame:
+    """The three texts of a user, or of a part of a long history."""
+    entry = F.struct(*ORDER, "transcript", "pregunta", "feedback_text")
+    grouped = rows.groupBy(*group).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    return grouped.select(
+        *group,
+        _joined("transcript", DIALOGUE_SEPARATOR).alias("conversacion_completa"),
+        _joined("feedback_text", DIALOGUE_SEPARATOR).alias("feedback_total"),
+        _joined("pregunta", DIALOGUE_SEPARATOR).alias("pregunta_conversacion"),
+    )
+
+
+_VALUES = (
+    "usuario_id", *PROFILE_FIELDS, "fecha_primera_conversacion", "numero_conversaciones", "numero_feedback", "numero_preguntas", "feedback"
+)
+
+
+def _known(items: DataFrame) -> DataFrame:
+    return items.where(not_register() & F.col("usuario_id").isNotNull())
+
+
+def user_values(items: DataFrame, cfg: ChatConfig = ChatConfig()) -> DataFrame:
+    """One row per user without the texts, by plain partial aggregates, and whether there are questions and transcripts."""
     own = ~F.col("es_feedback")
-    rows = entries(items, cfg).select(
-        *group, *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS, *FEEDBACK_FIELDS, _transcript(cfg),
-        F.array_join(tr.questions_of(F.col("messages"), cfg.role_words), MESSAGE_SEPARATOR).alias("pregunta"),
+    rows = entries(_known(items), cfg).select(
+        "usuario_id", *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS, F.lower(F.trim("type")).alias("_word"),
         F.when(own, tr.count_turns(F.col("messages"), cfg.role_words)).alias("turnos"),
         F.when(own, tr.count_role(F.col("messages"), "user", cfg.role_words)).alias("preguntas"),
-        F.when(F.col("es_feedback"), _feedback_text()).alias("feedback_text"),
+        (F.size(tr.questions_of(F.col("messages"), cfg.role_words)) > 0).alias("_asked"),
+        (F.coalesce(F.size("messages"), F.lit(0)) > 0).alias("_spoken"),
     )
-    entry = F.struct(*ORDER, "transcript", "pregunta", "feedback_text", "comment", "option")
-    word = F.lower(F.trim("type"))
-    grouped = rows.groupBy(*group).agg(
+    grouped = rows.groupBy("usuario_id").agg(
         *_profile_aggregates(cfg),
         F.coalesce(F.sum("turnos"), F.lit(0)).cast("int").alias("numero_conversaciones"),
-        F.count_if(word.isin("like", "dislike")).cast("int").alias("numero_feedback"),
+        F.count_if(F.col("_word").isin("like", "dislike")).cast("int").alias("numero_feedback"),
         F.coalesce(F.sum("preguntas"), F.lit(0)).cast("int").alias("numero_preguntas"),
-        F.coalesce(F.bool_or(word == "like"), F.lit(False)).alias("_like"),
-        F.coalesce(F.bool_or(word == "dislike"), F.lit(False)).alias("_dislike"),
-        F.array_sort(F.collect_list(F.when(F.col("es_feedback") | (F.col("transcript") != ""), entry))).alias("_entries"),
-    )
-
-    def all_of(field: str) -> Column:
-        return F.transform(F.col("_entries"), lambda e: e[field])
-
-    return grouped.select(
-        *group, *PROFILE_FIELDS, "fecha_primera_conversacion", "_own",
-        "numero_conversaciones", "numero_feedback", "numero_preguntas",
-        _joined("transcript", DIALOGUE_SEPARATOR).alias("conversacion_completa"),
-        _joined("feedback_text", DIALOGUE_SEPARATOR).alias("feedback_total"),
-        _joined("pregunta", DIALOGUE_SEPARATOR).alias("pregunta_conversacion"),
-        fb.class_of(F.col("_like"), F.col("_dislike")).alias("feedback"),
-        fb.answers_of(all_of("comment"), all_of("option")).alias("respuesta_feedback"),
+        F.coalesce(F.bool_or(F.col("_word") == "like"), F.lit(False)).alias("_like"),
+        F.coalesce(F.bool_or(F.col("_word") == "dislike"), F.lit(False)).alias("_dislike"),
+        F.bool_or("_asked").alias("con_preguntas"),
+        F.bool_or("_spoken").alias("con_transcript"),
     )
-
-
-def _build_latest_on_each(items: DataFrame, group: list[str], cfg: ChatConfig, given: DataFrame) -> DataFrame:
-    own = entries(items, cfg).where(~F.col("es_feedback"))
+    named = grouped.where(F.col("_own") > 0).withColumn("feedback", fb.class_of(F.col("_like"), F.col("_dislike")))
+    return named.select(*_VALUES, "con_preguntas", "con_transcript")
+
+
+def _answers(items: DataFrame, cfg: ChatConfig) -> DataFrame:
+    """Each answer of a user once, comments in time order, then options; a long list goes on in further parts."""
+    given = _known(items).where(is_kind(FEEDBACK)).select(
+        "usuario_id", *ORDER, F.explode(F.array(
+            F.struct(F.lit(0).alias("orden"), F.col("feedback.comment").alias("valor")),
+            F.struct(F.lit(1).alias("orden"), F.col("feedback.option").alias("valor")),
+        )).alias("s"),
+    ).select("usuario_id", *ORDER, "s.orden", F.explode(fb.said(F.array("s.valor"))).alias("valor"))
+    first = given.groupBy("usuario_id", "valor").agg(F.min(F.struct("orden", *ORDER)).alias("p")).select("usuario_id", "valor", "p.*")
+
+    def build(rows: DataFrame, group: list[str]) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct("orden", *ORDER, "valor")))
+        return rows.groupBy(*group).agg(F.array_join(F.transform(ordered, lambda e: e["valor"]), MESSAGE_SEPARATOR).alias("respuesta_feedback"))
+
+    return by_parts(first, ["usuario_id"], ["orden", *ORDER], cfg.answers_per_row, PART, build)
+
+
+def _build_each_once(items: DataFrame, cfg: ChatConfig) -> DataFrame:
+    def build(rows: DataFrame, group: list[str]) -> DataFrame:
+        return _cells(rows.select(
+            *group, *ORDER, _transcript(cfg),
+            F.array_join(tr.questions_of(F.col("messages"), cfg.role_words), MESSAGE_SEPARATOR).alias("pregunta"),
+            F.when(F.col("es_feedback"), _feedback_text()).alias("feedback_text"),
+        ), group)
+
+    # Rows without any text have no place in a cell, so no part is empty.
+    spoken = entries(_known(items), cfg).where(F.col("es_feedback") | (F.size("messages") > 0))
+    texts = by_parts(spoken, ["usuario_id"], ORDER, cfg.items_per_row, PART, build)
+    cells = texts.join(_answers(items, cfg), ["usuario_id", PART], "full")
+    return user_values(items, cfg).select(*_VALUES).join(cells, "usuario_id", "left")
+
+
+def _build_latest_on_each(items: DataFrame, cfg: ChatConfig) -> DataFrame:
+    known = _known(items)
+    given = known.where(is_kind(FEEDBACK)).select("usuario_id", *ORDER, "feedback.*")
+    own = entries(known, cfg).where(~F.col("es_feedback"))
     merged = join_latest(own.where(is_kind(CONVERSATION)), given, "usuario_id", FEEDBACK_FIELDS, ORDER)
     others = own.where(~is_kind(CONVERSATION))
     said = F.coalesce(*FEEDBACK_FIELDS).isNotNull()
     rows = merged.unionByName(others).select(
-        *group, *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS, _transcript(cfg),
+        "usuario_id", *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS, _transcript(cfg),
         F.when(said, _feedback_text()).alias("feedback_text"),
-    ).select(
-        "*",
-        tr.questions_text(F.col("transcript"), cfg.rules()).alias("pregunta"),
-        tr.count_turns_text(F.col("transcript")).alias("turnos"),
-        tr.count_questions_text(F.col("transcript")).alias("preguntas"),
     )
-    entry = F.struct(*ORDER, "transcript", "pregunta", "feedback_text")
-    grouped = rows.groupBy(*group).agg(
+    values = rows.groupBy("usuario_id").agg(
         *_profile_aggregates(cfg),
-        F.sum("turnos").cast("int").alias("numero_conversaciones"),
+        F.sum(tr.count_turns_text(F.col("transcript"))).cast("int").alias("numero_conversaciones"),
         F.sum(fb.count_text(F.col("feedback_text"))).cast("int").alias("numero_feedback"),
-        F.sum("preguntas").cast("int").alias("numero_preguntas"),
-        F.array_sort(F.collect_list(
-            F.when((F.col("transcript") != "") | F.col("feedback_text").isNotNull(), entry)
-        )).alias("_entries"),
-    ).withColumn("feedback_total", _joined("feedback_text", DIALOGUE_SEPARATOR))
-    return grouped.select(
-        *group, *PROFILE_FIELDS, "fecha_primera_conversacion", "_own",
-        "numero_conversaciones", "numero_feedback", "numero_preguntas",
-        _joined("transcript", DIALOGUE_SEPARATOR).alias("conversacion_completa"),
-        "feedback_total",
-        _joined("pregunta", DIALOGUE_SEPARATOR).alias("pregunta_conversacion"),
-        fb.class_text(F.col("feedback_total")).alias("feedback"),
-        fb.answers_text(F.col("feedback_total")).alias("respuesta_feedback"),
-    )
+        F.sum(tr.count_questions_text(F.col("transcript"))).cast("int").alias("numero_preguntas"),
+        F.max("feedback_text").alias("_given"),  # the same on each of the user's conversations
+    ).withColumns({"feedback": fb.class_text(F.col("_given")), "respuesta_feedback": fb.answers_text(F.col("_given"))})
+
+    def build(part: DataFrame, group: list[str]) -> DataFrame:
+        return _cells(part.select("*", tr.questions_text(F.col("transcript"), cfg.rules()).alias("pregunta")), group)
+
+    spoken = rows.where((F.col("transcript") != "") | F.col("feedback_text").isNotNull()).select("usuario_id", *ORDER, "transcript", "feedback_text")
+    texts = by_parts(spoken, ["usuario_id"], ORDER, cfg.items_per_row, PART, build)
+    return values.select(*_VALUES, "respuesta_feedback").join(texts, "usuario_id", "left")
 
 
 def build_user_table(items: DataFrame, cfg: ChatConfig = ChatConfig(), feedback: str = "each_once") -> DataFrame:
@@ -154,26 +187,17 @@ def build_user_table(items: DataFrame, cfg: ChatConfig = ChatConfig(), feedback:
     role. `feedback="latest_on_each"` puts the user's last feedback on each of their conversations
     and reads counts, questions and classes back from the rendered text.
 
-    A user has one row, part 0, up to `cfg.items_per_row` items. A user with more goes on in parts:
-    counts and texts are the part's own, profile and first date are the user's.
+    Profile, counts, dates and classes are the user's, worked out the same way whatever the user's size, and
+    stand in each of the user's rows. `parte` numbers cells of text only: a user has one row, part 0, up to
+    `cfg.items_per_row` items with text and `cfg.answers_per_row` different answers; longer texts go on in
+    parts 1, 2, …, which follow each other without a gap.
     """
-    known = items.where(not_register() & F.col("usuario_id").isNotNull())
-    if feedback == "each_once":
-        def build(rows: DataFrame, group: list[str]) -> DataFrame:
-            return _build_each_once(rows, group, cfg)
-    elif feedback == "latest_on_each":
-        given = known.where(is_kind(FEEDBACK)).select("usuario_id", *ORDER, "feedback.*")
-
-        def build(rows: DataFrame, group: list[str]) -> DataFrame:
-            return _build_latest_on_each(rows, group, cfg, given)
-    else:
+    if feedback not in ("each_once", "latest_on_each"):
         raise ValueError(f"unknown feedback mode: {feedback}")
-
-    table = by_parts(
-        known, ["usuario_id"], ORDER, cfg.items_per_row, PART, build,
-        per_key=lambda rows: entries(rows, cfg).groupBy("usuario_id").agg(*_profile_aggregates(cfg)),
-    )
-    return table.where(F.col("_own") > 0).select(*USER_TABLE_COLUMNS, PART)
+    rows = (_build_each_once if feedback == "each_once" else _build_latest_on_each)(items, cfg)
+    texts = ("conversacion_completa", "feedback_total", "pregunta_conversacion", "respuesta_feedback")
+    filled = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in texts} | {PART: F.coalesce(PART, F.lit(0))})
+    return filled.select(*USER_TABLE_COLUMNS, PART)
 
 
 def render_user_table(users: DataFrame, cfg: ChatConfig = ChatConfig()) -> DataFrame:

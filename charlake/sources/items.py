@@ -29,7 +29,8 @@ def sort_key_time(sk: Column) -> Column:
 
 
 def is_kind(kind: str) -> Column:
-    return F.col("kind") == kind
+    """A missing kind is none of the kinds."""
+    return F.coalesce(F.col("kind") == kind, F.lit(False))
 
 
 def not_register() -> Column:

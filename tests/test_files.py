@@ -14,7 +14,7 @@ from charlake.sources.items import read_items, read_typed_export, sort_key_kind,
 from charlake.streaming.csv_ingest import start_csv_ingest
 from tests.rows import at, frame, item
 
-NASTY = 'user: di "hola", y\nluego \\ | bot: ¿sí?\r\nno'
+NASTY = 'user: di "qué tal", y\nluego \\ | bot: ¿sí?\r\nno'
 
 
 def user_rows(spark, *rows):
@@ -84,16 +84,16 @@ def test_items_and_typed_export(spark, tmp_path):
     write_parquet(frame(spark, rows), str(tmp_path / "items"))
     assert read_items(spark, str(tmp_path / "items")).count() == 2
     lines = [
-        {"Item": {"PK": {"S": "USER#7"}, "SK": {"S": "CONVERSATION#2025-08-19T13:26:44Z"}, "CreatedAt": {"S": "2025-08-19T13:26:44Z"},
+        {"Item": {"PK": {"S": "USER#7"}, "SK": {"S": "CONVERSATION#2024-03-05T07:08:09Z"}, "CreatedAt": {"S": "2024-03-05T07:08:09Z"},
                   "UserData": {"M": {"nombre": {"S": "Ana"}, "edad": {"N": "3"}}},
-                  "Conversation": {"L": [{"M": {"from": {"S": "user"}, "text": {"S": "hola"}, "timestamp": {"S": "2025-08-19T13:26:44Z"}}}, {"M": {}}]}}},
+                  "Conversation": {"L": [{"M": {"from": {"S": "user"}, "text": {"S": "qué tal"}, "timestamp": {"S": "2024-03-05T07:08:09Z"}}}, {"M": {}}]}}},
         {"Item": {"PK": {"S": "8"}, "SK": {"S": "suelto"}, "Feedback": {"M": {"type": {"S": "like"}}}}},
     ]
     (tmp_path / "export").mkdir()
     (tmp_path / "export" / "a.json").write_text("\n".join(map(json.dumps, lines)))
     first, second = read_typed_export(spark, str(tmp_path / "export")).orderBy("usuario_id").collect()
-    assert (first.usuario_id, first.kind, first.item_ts.isoformat(), first.profile.nombre) == ("7", "CONVERSATION", "2025-08-19T13:26:44", "Ana")
-    assert [(m.turn, m.role, m.text) for m in first.messages] == [(0, "user", "hola"), (1, "", "")]
+    assert (first.usuario_id, first.kind, first.item_ts.isoformat(), first.profile.nombre) == ("7", "CONVERSATION", "2024-03-05T07:08:09", "Ana")
+    assert [(m.turn, m.role, m.text) for m in first.messages] == [(0, "user", "qué tal"), (1, "", "")]
     assert (second.usuario_id, second.kind, second.item_ts, second.feedback.type, second.messages) == ("8", "UNKNOWN", None, "like", None)
 
 

@@ -125,6 +125,24 @@ def test_oldest_conversation_if_none_has_a_question(spark):
     assert (row.mensaje_usuario, row.mensaje_bot) == ("", "uno")
 
 
+def test_values_do_not_hang_on_the_size_of_cells(spark):
+    rows = [item("u", "VISIT", at(0), nombre="Ana"), item("u", "CONVERSATION", at(1), messages=[("user", "uno"), ("bot", "dos")])]
+    rows += [item("u", "FEEDBACK", at(2), feedback=("like", "igual", "")), item("u", "FEEDBACK", at(3), feedback=("dislike", "igual", "otra"))]
+    rows += [item("u", "VISIT", at(4)), item("u", None, at(5))]
+    for mode in ("each_once", "latest_on_each"):
+        (whole,) = build_user_table(frame(spark, rows), CFG, mode).collect()
+        parts = build_user_table(frame(spark, rows), replace(CFG, items_per_row=1, answers_per_row=1), mode).orderBy("parte").collect()
+        assert [p.parte for p in parts] == list(range(len(parts)))
+        for name in ("nombre", "fecha_primera_conversacion", "numero_conversaciones", "numero_feedback", "numero_preguntas", "feedback"):
+            assert {p[name] for p in parts} == {whole[name]}, name
+        for name, mark in (("conversacion_completa", " || "), ("feedback_total", " || ")):
+            assert mark.join(p[name] for p in parts if p[name]) == whole[name]
+        if mode == "each_once":
+            assert whole.feedback == "mixed" and whole.respuesta_feedback == "igual | otra" and len(parts) == 3
+            assert " | ".join(p.respuesta_feedback for p in parts if p.respuesta_feedback) == whole.respuesta_feedback
+            assert whole.numero_conversaciones == 4  # one talk, two visits and the row without a kind
+
+
 def test_reports(items):
     users = build_user_table(items, CFG)
     assert run_totals(users, CFG.anonymous_label).first().asDict() == {
