@@ -20,3 +20,26 @@ def register_parquet(spark: SparkSession, name: str, path: str) -> DataFrame:
     table = spark.read.option("mergeSchema", "true").parquet(path)
     table.createOrReplaceTempView(name)
     return table
+
+
+def sync_table(spark: SparkSession, name: str, path: str) -> dict[str, list[str]]:
+    """An external catalogue table over a Parquet folder, brought up to date in place: what was added, changed or deleted.
+
+    New columns are added to the table. A column that no file has any more stays, with NULLs, and is reported as
+    deleted; one of another type is reported as changed and keeps the table's type.
+    """
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
+        return {"added": found.fieldNames(), "changed": [], "deleted": []}
+    known = {f.name: f.dataType for f in spark.table(name).schema}
+    added = [f for f in found if f.name not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+    spark.sql(f"REFRESH TABLE {name}")
+    return {
+        "added": [f.name for f in added],
+        "changed": [f.name for f in found if f.name in known and known[f.name] != f.dataType],
+        "deleted": [n for n in known if n not in found.fieldNames()],
+    }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from charlake.catalog.tables import register_parquet
+from charlake.catalog.tables import register_parquet, sync_table
 from charlake.checks import sql as S
 from charlake.checks.fixture import CFG, items, iso
 from charlake.checks.registry import query
@@ -13,8 +15,8 @@ from charlake.config import PROFILE_FIELDS
 from charlake.operators.scratch import new_path
 from charlake.plans import build_feedback_table, render_user_table
 from charlake.schemas import USER_CSV
-from charlake.sources.files import file_inventory, manifest, read_csv, read_evolved, write_csv, write_parquet, write_verified
-from charlake.sources.items import read_items, read_typed_export
+from charlake.sources.files import file_inventory, manifest, read_csv, read_evolved, write_csv, write_feedback, write_parquet, write_verified
+from charlake.sources.items import read_items, read_plain_items, read_typed_export
 from charlake.streaming.csv_ingest import start_csv_ingest
 
 _ITEM_ROWS = S.with_(S.EV, S.SEG, S.ITEMS, (
@@ -51,21 +53,45 @@ def typed_export_decode(spark, d):
     def fields(prefix, names):
         return F.struct(F.struct(*[s(F.col(f"{prefix}.{n}")).alias(n) for n in names]).alias("M"))
 
+    # A third of the items holds its attributes as texts.
+    as_text = F.pmod(F.xxhash64("sk"), F.lit(3)) == 0
     talk = F.struct(F.transform("messages", lambda m: F.struct(F.struct(
         s(m["role"]).alias("from"), s(m["text"]).alias("text"), s(iso(m["ts"])).alias("timestamp")
     ).alias("M"))).alias("L"))
-    item = F.struct(
-        s(F.concat(F.lit("USER#"), F.coalesce("usuario_id", F.lit("")))).alias("PK"), s(F.coalesce("sk", F.lit(""))).alias("SK"),
-        s(iso(F.col("created_at"))).alias("CreatedAt"),
-        fields("profile", PROFILE_FIELDS).alias("UserData"),
-        F.when(F.col("messages").isNotNull(), talk).alias("Conversation"),
-        F.when(F.col("feedback").isNotNull(), fields("feedback", ("type", "comment", "option"))).alias("Feedback"),
-    )
+    profile, given = fields("profile", PROFILE_FIELDS), fields("feedback", ("type", "comment", "option"))
+    attributes = {
+        "UserData": (profile, F.to_json("profile")),
+        "Conversation": (F.when(F.col("messages").isNotNull(), talk), F.to_json(_plain_talk())),
+        "Feedback": (F.when(F.col("feedback").isNotNull(), given), F.to_json("feedback")),
+    }
+
+    def item(text: bool):
+        return F.to_json(F.struct(F.struct(
+            s(F.concat(F.lit("USER#"), F.coalesce("usuario_id", F.lit("")))).alias("PK"), s(F.coalesce("sk", F.lit(""))).alias("SK"),
+            s(iso(F.col("created_at"))).alias("CreatedAt"), *[(s(t) if text else v).alias(a) for a, (v, t) in attributes.items()],
+        ).alias("Item")))
+
     path = new_path(spark, "export")
-    items(spark, d).select(F.to_json(F.struct(item.alias("Item"))).alias("value")).write.text(path)
+    items(spark, d).select(F.when(as_text, item(True)).otherwise(item(False)).alias("value")).write.text(path)
     return _item_rows(read_typed_export(spark, path))
 
 
+def _plain_talk():
+    return F.transform("messages", lambda m: F.struct(m["role"].alias("from"), m["text"].alias("text"), iso(m["ts"]).alias("timestamp")))
+
+
+@query("plain_items_scan", _ITEM_ROWS.replace("SELECT i.usuario_id, i.sk", "SELECT coalesce(i.usuario_id, '') AS usuario_id, coalesce(i.sk, '') AS sk"))
+def plain_items_scan(spark, d):
+    """Items as plain JSON objects, and back."""
+    path = new_path(spark, "plain")
+    items(spark, d).select(F.to_json(F.struct(
+        F.concat(F.lit("USER#"), F.coalesce("usuario_id", F.lit(""))).alias("PK"), F.coalesce("sk", F.lit("")).alias("SK"),
+        iso(F.col("created_at")).alias("CreatedAt"), F.col("profile").alias("UserData"),
+        _plain_talk().alias("Conversation"), F.col("feedback").alias("Feedback"),
+    )).alias("value")).write.text(path)
+    return _item_rows(read_plain_items(spark, path))
+
+
 _RENDERED = (
     "SELECT usuario_id, nombre, ciudad, coalesce(strftime(fecha_primera_conversacion, '%d/%m/%Y'), 'Sin fecha') AS fecha_primera_conversacion, "
     "CAST(numero_conversaciones AS VARCHAR) AS numero_conversaciones, nullif(conversacion_completa, '') AS conversacion_completa, "
@@ -115,17 +141,24 @@ def output_manifest(spark, d):
     ])
 
 
-@query("file_inventory", S.with_(*USER_TABLES, select=(
-    "SELECT 'csv' AS extension, count(*) > 0 AS con_datos, CAST(0 AS BIGINT) AS vacios FROM users"
-)))
+@query("file_inventory", S.with_(*USER_TABLES, select="SELECT 'csv' AS extension, count(*) AS filas, CAST(0 AS BIGINT) AS vacios FROM users"))
 def file_inventory_query(spark, d):
-    """File names differ from run to run, so only what must hold for them is shown."""
+    """The rows of all listed files together. File names differ from run to run."""
+    path = _csv(spark, d)
     extension = F.element_at(F.split("archivo", r"\."), -1)
-    return file_inventory(spark, _csv(spark, d)).groupBy(extension.alias("extension")).agg(
-        (F.sum("bytes") > 0).alias("con_datos"), F.count_if(F.col("bytes") == 0).alias("vacios")
+    rows = read_csv(spark, path, USER_CSV).groupBy(F.col("_metadata.file_name").alias("archivo")).agg(F.count(F.lit(1)).alias("filas"))
+    return file_inventory(spark, path).join(rows, "archivo", "left").groupBy(extension.alias("extension")).agg(
+        F.coalesce(F.sum("filas"), F.lit(0)).alias("filas"), F.count_if(F.col("bytes") == 0).alias("vacios")
     )
 
 
+@query("feedback_sink", S.with_(*FEEDBACK_TABLES, select="SELECT feedback, count(*) AS filas FROM fbt GROUP BY feedback"))
+def feedback_sink(spark, d):
+    """The feedback table written under its fixed name and read back."""
+    path = write_feedback(build_feedback_table(items(spark, d), CFG), new_path(spark, "feedback"), "both")
+    return spark.read.parquet(path).groupBy("feedback").agg(F.count(F.lit(1)).alias("filas"))
+
+
 @query("schema_evolution_merge", S.with_(*FEEDBACK_TABLES, select=(
     "SELECT usuario_id, fecha, feedback, mensaje_usuario, CAST(NULL AS VARCHAR) AS canal FROM fbt WHERE feedback <> 'like' "
     "UNION ALL SELECT usuario_id, fecha, feedback, mensaje_usuario, 'web' FROM fbt WHERE feedback = 'like'"
@@ -143,6 +176,20 @@ def schema_evolution_merge(spark, d):
     return spark.table("chat_feedback_evolving").select(*columns, "canal")
 
 
+@query("catalog_table", S.with_(*FEEDBACK_TABLES, select=(
+    "SELECT feedback, count(*) AS filas, count(*) FILTER (WHERE feedback = 'like') AS con_canal FROM fbt GROUP BY feedback"
+)))
+def catalog_table(spark, d):
+    """A catalogue table over a folder that gets files with one more column: altered in place, then read by SQL."""
+    table = build_feedback_table(items(spark, d), CFG).select("usuario_id", "feedback")
+    path, name = new_path(spark, "catalogued"), f"chat_feedback_{uuid.uuid4().hex}"
+    write_parquet(table.where("feedback <> 'like'"), path)
+    assert sync_table(spark, name, path)["added"] == ["usuario_id", "feedback"]
+    table.where("feedback = 'like'").withColumn("canal", F.lit("web")).write.mode("append").parquet(path)
+    assert sync_table(spark, name, path) == {"added": ["canal"], "changed": [], "deleted": []}
+    return spark.sql(f"SELECT feedback, count(*) AS filas, count(canal) AS con_canal FROM {name} GROUP BY feedback")
+
+
 @query("incremental_csv_ingest", S.with_(*USER_TABLES, TYPED, select=(
     "SELECT usuario_id, parte, fecha_primera_conversacion, numero_conversaciones, numero_preguntas, feedback, "
     "nullif(respuesta_feedback, '') AS respuesta_feedback, token_pregunta, token_respuesta FROM typed"

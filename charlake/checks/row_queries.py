@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from charlake.checks import sql as S
-from charlake.checks.fixture import CFG, CREATED, event_items, events, iso, items, table, turns
+from charlake.checks.fixture import CFG, CREATED, KIND, event_items, events, iso, items, table, turns
 from charlake.checks.registry import query
 from charlake.config import PROFILE_FIELDS
 from charlake.functions.dates import in_window_or_null, parse_date, parse_timestamp, render_date
@@ -18,7 +18,7 @@ from charlake.operators.shape import enforce_columns, typed_columns
 from charlake.plans.user_table import clean_profile, with_default_city
 from charlake.schemas import TYPED_SCALAR
 from charlake.sources.items import (
-    CONVERSATION, FEEDBACK, is_kind, is_other, not_register, profile_from_text, sort_key_kind, sort_key_time,
+    CONVERSATION, FEEDBACK, REGISTER, holds_kind, is_kind, is_other, not_register, profile_from_text, sort_key_kind, sort_key_time,
     typed_scalar, user_id,
 )
 
@@ -138,6 +138,26 @@ def kind_split(spark, d):
     return items(spark, d).where(not_register()).groupBy(group.alias("grupo")).agg(F.count(F.lit(1)).alias("filas"))
 
 
+@query("kind_contains", S.with_(S.EV, (
+    f"odd AS (SELECT CASE WHEN k % 3 = 0 THEN lower(kind) WHEN k % 3 = 1 THEN 'old-' || kind ELSE kind END AS word FROM (SELECT *, {KIND} AS kind FROM ev))"
+), select=(
+    "SELECT 'contains' AS regla, count(*) FILTER (WHERE contains(upper(word), 'REGISTER')) AS registros, "
+    "count(*) FILTER (WHERE contains(upper(word), 'FEEDBACK')) AS feedback, count(*) AS filas FROM odd "
+    "UNION ALL SELECT 'equals', count(*) FILTER (WHERE word = 'REGISTER'), count(*) FILTER (WHERE word = 'FEEDBACK'), count(*) FROM odd"
+)))
+def kind_contains(spark, d):
+    """The user table's rule and the feedback table's, on lower-case and prefixed sort keys."""
+    k = F.col("k")
+    word = F.expr(KIND)
+    odd = F.when(k % 3 == 0, F.lower(word)).when(k % 3 == 1, F.concat(F.lit("old-"), word)).otherwise(word)
+    rows = events(spark, d).select(F.concat(odd, F.lit("#"), F.col("ts").cast("string")).alias("sk")).withColumn("kind", sort_key_kind(F.col("sk")))
+
+    def counted(rule, is_register, is_feedback):
+        return rows.agg(F.lit(rule).alias("regla"), F.count_if(is_register).alias("registros"), F.count_if(is_feedback).alias("feedback"), F.count(F.lit(1)).alias("filas"))
+
+    return counted("contains", holds_kind(REGISTER), holds_kind(FEEDBACK)).unionByName(counted("equals", is_kind(REGISTER), is_kind(FEEDBACK)))
+
+
 @query("exclude_pattern", S.with_(S.EV, S.SEG, S.ITEMS, select=(
     "SELECT usuario_id, sk, ciudad, nombre FROM items "
     f"WHERE NOT {S.matches('ciudad', CFG.excluded_city_words)} AND NOT {S.matches('nombre', CFG.excluded_name_words)}"

@@ -11,7 +11,7 @@ from charlake.functions.text import blank_to_empty, drop_parenthesis, empty_to,
 from charlake.operators.aggregates import first_non_blank
 from charlake.operators.joins import join_latest
 from charlake.operators.parts import by_parts
-from charlake.sources.items import CONVERSATION, FEEDBACK, is_kind, not_register
+from charlake.sources.items import CONVERSATION, FEEDBACK, REGISTER, holds_kind
 
 PART = "parte"
 ORDER = ("item_ts", "sk")
@@ -45,8 +45,8 @@ def wanted(cfg: ChatConfig) -> Column:
 def entries(items: DataFrame, cfg: ChatConfig) -> DataFrame:
     """Items as rows of the roll-up, row by row: no shuffle. Feedback passes the filters by itself."""
     rows = items.select(
-        "usuario_id", *ORDER, "kind", "messages", *[F.col(f"feedback.{f}").alias(f) for f in FEEDBACK_FIELDS],
-        is_kind(FEEDBACK).alias("es_feedback"), F.to_date("created_at").alias("fecha"), *clean_profile(cfg),
+        "usuario_id", *ORDER, "messages", *[F.col(f"feedback.{f}").alias(f) for f in FEEDBACK_FIELDS],
+        holds_kind(FEEDBACK).alias("es_feedback"), F.to_date("created_at").alias("fecha"), *clean_profile(cfg),
     )
     return with_default_city(rows.where(F.col("es_feedback") | wanted(cfg)), cfg)
 
@@ -94,7 +94,7 @@ _VALUES = (
 
 
 def _known(items: DataFrame) -> DataFrame:
-    return items.where(not_register() & F.col("usuario_id").isNotNull())
+    return items.where(~holds_kind(REGISTER) & F.col("usuario_id").isNotNull())
 
 
 def user_values(items: DataFrame, cfg: ChatConfig = ChatConfig()) -> DataFrame:
@@ -123,7 +123,7 @@ def user_values(items: DataFrame, cfg: ChatConfig = ChatConfig()) -> DataFrame:
 
 def _answers(items: DataFrame, cfg: ChatConfig) -> DataFrame:
     """Each answer of a user once, comments in time order, then options; a long list goes on in further parts."""
-    given = _known(items).where(is_kind(FEEDBACK)).select(
+    given = _known(items).where(holds_kind(FEEDBACK)).select(
         "usuario_id", *ORDER, F.explode(F.array(
             F.struct(F.lit(0).alias("orden"), F.col("feedback.comment").alias("valor")),
             F.struct(F.lit(1).alias("orden"), F.col("feedback.option").alias("valor")),
@@ -155,10 +155,10 @@ def _build_each_once(items: DataFrame, cfg: ChatConfig) -> DataFrame:
 
 def _build_latest_on_each(items: DataFrame, cfg: ChatConfig) -> DataFrame:
     known = _known(items)
-    given = known.where(is_kind(FEEDBACK)).select("usuario_id", *ORDER, "feedback.*")
+    given = known.where(holds_kind(FEEDBACK)).select("usuario_id", *ORDER, "feedback.*")
     own = entries(known, cfg).where(~F.col("es_feedback"))
-    merged = join_latest(own.where(is_kind(CONVERSATION)), given, "usuario_id", FEEDBACK_FIELDS, ORDER)
-    others = own.where(~is_kind(CONVERSATION))
+    merged = join_latest(own.where(holds_kind(CONVERSATION)), given, "usuario_id", FEEDBACK_FIELDS, ORDER)
+    others = own.where(~holds_kind(CONVERSATION))
     said = F.coalesce(*FEEDBACK_FIELDS).isNotNull()
     rows = merged.unionByName(others).select(
         "usuario_id", *ORDER, "es_feedback", "fecha", *PROFILE_FIELDS, _transcript(cfg),

@@ -28,12 +28,6 @@ ITEMS = T.StructType([
 ])
 
 
-def _attr(kind: str, value: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(kind, value)])
-
-
-_TEXT = _attr("S", T.StringType())
-
 # A scalar in the store's typed JSON. One tag is set per value.
 TYPED_SCALAR = T.StructType([
     T.StructField("S", T.StringType()),
@@ -45,20 +39,5 @@ TYPED_SCALAR = T.StructType([
     T.StructField("BS", T.ArrayType(T.StringType())),
 ])
 
-TYPED_MESSAGE = _attr("M", T.StructType([T.StructField(n, _TEXT) for n in ("from", "text", "timestamp")]))
-
-TYPED_ITEM = T.StructType([
-    T.StructField("PK", _TEXT),
-    T.StructField("SK", _TEXT),
-    T.StructField("CreatedAt", _TEXT),
-    T.StructField("UserData", _attr("M", T.StructType([T.StructField(n, _TEXT) for n in PROFILE_FIELDS]))),
-    T.StructField("Conversation", _attr("L", T.ArrayType(TYPED_MESSAGE))),
-    T.StructField("Feedback", _attr("M", T.StructType([
-        T.StructField(n, _TEXT) for n in ("type", "comment", "option")
-    ]))),
-])
-
-TYPED_EXPORT = T.StructType([T.StructField("Item", TYPED_ITEM)])
-
 # The user table as CSV holds it: all text, plus the row's part number.
 USER_CSV = T.StructType([T.StructField(name, T.StringType()) for name in (*USER_TABLE_COLUMNS, "parte")])
