@@ -37,6 +37,8 @@ CLEAN_ROWS = 40_000
 # A lexicon entry: how common among toxic rows, in how many at least, and how much more likely there.
 LEAST_SHARE, LEAST_ROWS, LEAST_WEIGHT, MOST_WEIGHT = 0.002, 4, 3.0, 8.0
 BEGINNINGS = (4, 5, 6)
+# Words a task remembers.
+REMEMBERED = 500_000
 THRESHOLD = 0.3
 NEGATION_REACH = 3
 
@@ -126,17 +128,35 @@ def matched_clauses(text: str, weight: dict[str, float]) -> list[dict[str, float
     return out
 
 
-def features(texts: list[str], lexicon: dict[str, float]) -> np.ndarray:
-    """A row of FEATURES for each text. Each distinct word is looked up once."""
+class Lookup:
+    """Words looked up in a lexicon once; a task keeps it from one slice of texts to the next."""
+
+    def __init__(self, lexicon: dict[str, float]):
+        self.lexicon = lexicon
+        self.seen: set[str] = set()
+        self.weight: dict[str, float] = {}
+        self.marked = set(THREATS)
+
+    def learn(self, words: list[str]) -> None:
+        if len(self.seen) > REMEMBERED:
+            self.seen.clear()
+        for word in set(words).difference(self.seen):
+            self.seen.add(word)
+            w = max(self.lexicon.get(k, 0.0) for k in beginnings(word))
+            if w:
+                self.weight[word] = w
+                self.marked.add(word)
+
+
+def features(texts: list[str], lookup: Lookup) -> np.ndarray:
+    """A row of FEATURES for each text."""
     out = np.zeros((len(texts), len(FEATURES)))
-    known: dict[str, float] = {}
     for i, text in enumerate(texts):
         words = _WORD.findall(text.lower())
-        fresh = set(words) - known.keys()
-        known.update((w, max((lexicon.get(k, 0.0) for k in beginnings(w)), default=0.0)) for w in fresh)
-        hits = [w for w in words if known[w] or w in THREATS]
+        lookup.learn(words)
+        hits = [w for w in words if w in lookup.marked]
         if hits:
-            clauses = matched_clauses(text, known)
+            clauses = matched_clauses(text, lookup.weight)
             sums = {f: sum(c[f] for c in clauses) for f in FEATURES[:5]}
             out[i, :5] = [np.log1p(sums[f]) for f in FEATURES[:5]]
             out[i, 5] = np.log1p(len(clauses))
@@ -164,10 +184,10 @@ class Model:
     lexicon: dict[str, float]
     weights: tuple[float, ...]
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def score(self, texts: list[str], lookup: Lookup) -> np.ndarray:
         if not self.weights:
             return np.zeros(len(texts))
-        z = features(texts, self.lexicon) @ np.array(self.weights[:-1]) + self.weights[-1]
+        z = features(texts, lookup) @ np.array(self.weights[:-1]) + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -216,10 +236,11 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     names = [f"f{i}" for i in range(len(FEATURES))]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lookup = Lookup(lexicon)
         for frame in frames:
             texts = frame["text"].tolist()
             for a, b in slices([len(t) for t in texts]):
-                yield pd.DataFrame(features(texts[a:b], lexicon), columns=names).assign(toxic=frame["toxic"].iloc[a:b].to_numpy())
+                yield pd.DataFrame(features(texts[a:b], lookup), columns=names).assign(toxic=frame["toxic"].iloc[a:b].to_numpy())
 
     # A few numbers for each row of the bounded sample.
     table_ = rows.where("part = 3").mapInPandas(run, ", ".join(f"{n} double" for n in names) + ", toxic int").toPandas()
@@ -232,10 +253,11 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     """doc_id, held_out, score, predicted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(model.lexicon)
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for a, b in slices([len(t) for t in texts]):
-                scores = model.score(texts[a:b])
+                scores = model.score(texts[a:b], lookup)
                 columns = [*batch.slice(a, b - a).columns[:2], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
 
