@@ -217,7 +217,7 @@ def line_sets(text):
         line = line.strip(" \t\r")
         if len(line) >= fz.LEAST_CHARS:
             w = fz.WIDTH
-            out[no] = line, {line[i : i + w] for i in range(len(line)) if i == 0 or line[i - 1] == " " or (i >= w and " " not in line[i - w : i])}
+            out[no] = line, {line[i : i + w] for i in range(len(line)) if line[i] != " " and (i == 0 or line[i - 1] == " " or (i >= w and " " not in line[i - w : i]))}
     return out
 
 
