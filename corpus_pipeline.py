@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from charlake.llm.decontamination import clean_of
-from charlake.llm.fuzzy_lines import without_fuzzy_lines
+from charlake.llm.fuzzy_lines import char_shingles, without_fuzzy_lines
 from charlake.llm.ngram_join import one_of_each
 from charlake.llm.packing import pack_documents
 from charlake.llm.quality import clean_documents
@@ -30,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines much like an earlier line go, and documents that have no line left."""
-    return without_fuzzy_lines(docs)
+    return without_fuzzy_lines(docs, cut=char_shingles)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,3 +42,12 @@ def test_each_stage_takes_what_it_should(spark):
     assert ids(ql.clean_documents(docs)) == [0, 1, 3, 4]
     assert ids(nj.one_of_each(docs)) == [0, 2, 3, 4]
     assert ids(dec.clean_of(docs, bench)) == [0, 1, 2, 4]
+
+
+def test_line_dedup_finds_lines_with_one_character_changed(spark):
+    lines = [prose(i, 12) for i in range(20)]  # 90 to 110 characters
+    near = [line[:50] + "#" + line[51:] for line in lines]
+    far = [prose(i, 12) for i in range(50, 70)]
+    docs = documents(spark, ["\n".join(lines), "\n".join(near + far)])
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    assert kept == {0: "\n".join(lines), 1: "\n".join(far)}
