@@ -30,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines much like an earlier line go, and documents that have no line left."""
-    return without_fuzzy_lines(docs, cut=char_shingles)
+    return without_fuzzy_lines(docs, cut=char_shingles, least=1)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,3 +51,9 @@ def test_line_dedup_finds_lines_with_one_character_changed(spark):
     docs = documents(spark, ["\n".join(lines), "\n".join(near + far)])
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
     assert kept == {0: "\n".join(lines), 1: "\n".join(far)}
+
+
+def test_line_dedup_finds_short_equal_lines(spark):
+    docs = documents(spark, ["Click here\n\n" + prose(1, 12), prose(2, 12) + "\n\nClick here", "Click there\n今日は良い天気です。", "今日は良い天気です。"])
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
+    assert kept == {0: "Click here\n\n" + prose(1, 12), 1: prose(2, 12) + "\n", 2: "Click there\n今日は良い天気です。"}
