@@ -42,6 +42,18 @@ def sendable(keys: DataFrame, name: str) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= MAX_SENT else keys
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once, with numbers of their own from 0 in `_row`."""
+    rows = written(df.withColumn("_row", F.monotonically_increasing_id()), name)
+    # The upper bits are the partition's number: what the partitions before it hold takes their place.
+    part = F.shiftright("_row", 33)
+    starts, total = [], 0
+    for row in rows.groupBy(part.alias("part")).count().orderBy("part").collect():
+        starts += [total] * (row["part"] + 1 - len(starts))
+        total += row["count"]
+    return rows.withColumn("_row", F.get(long_array(starts), part.cast("int")) + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "components") -> DataFrame:
     """Connected components of a graph by distributed union-find: node, root (the smallest node of its component).
 

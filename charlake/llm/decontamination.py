@@ -25,7 +25,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from charlake.llm.common import sendable, slices
+from charlake.llm.common import numbered, sendable, slices
 from charlake.llm.registry import query, table
 
 ERROR_RATE = 0.08
@@ -203,9 +203,11 @@ def _search(items: list[Item]):
 
 
 def clean_of(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any item; rows with a NULL doc_id stay unless one of them has an item."""
-    found = sendable(contaminated(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct(), "contaminated")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """The documents without any item, each told apart by a row number of its own."""
+    rows = numbered(docs, "decontamination-docs")
+    found = contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark)
+    found = sendable(found.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return rows.join(found, "_row", "left_anti").select(*docs.columns)
 
 
 @query("op3_edit_matching")

@@ -1,7 +1,7 @@
 """The pipeline's stages on the given tables and on odd rows."""
 
 import corpus_pipeline
-from charlake.llm import decontamination as dec, ngram_join as nj, quality as ql
+from charlake.llm import decontamination as dec, fuzzy_lines as fz, ngram_join as nj, quality as ql
 from charlake.llm.packing import pack_documents
 from charlake.llm.tokens import vocabulary
 from tests.llm.rows import documents, odd_documents, prose
@@ -57,3 +57,16 @@ def test_line_dedup_finds_short_equal_lines(spark):
     docs = documents(spark, ["Click here\n\n" + prose(1, 12), prose(2, 12) + "\n\nClick here", "Click there\n今日は良い天気です。", "今日は良い天気です。"])
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}
     assert kept == {0: "Click here\n\n" + prose(1, 12), 1: prose(2, 12) + "\n", 2: "Click there\n今日は良い天気です。"}
+
+
+def test_documents_without_an_id_are_documents_of_their_own(spark):
+    a, b, c, d = (prose(i, 12) for i in range(4))
+    docs = spark.createDataFrame([(None, a), (None, a), (None, b), (7, c), (7, d), (7, c)], "doc_id long, text string")
+    kept = corpus_pipeline.line_dedup(spark, docs, SF).collect()
+    assert sorted(r["text"] for r in kept) == sorted([a, b, c, d])
+    report = sorted((r["doc_id"] or 0, r["n_removed"]) for r in fz.line_report(docs).collect())
+    assert report == [(0, 0), (0, 0), (0, 1), (7, 0), (7, 0), (7, 1)]
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    docs = spark.createDataFrame([(None, item), (None, b), (7, item), (7, c)], "doc_id long, text string")
+    assert sorted(r["text"] for r in corpus_pipeline.decontamination(spark, docs, SF).collect()) == sorted([b, c])
