@@ -13,8 +13,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from charlake.config import PROFILE_FIELDS, ChatConfig
+from charlake.functions.transcripts import questions_of
+from charlake.operators.conversations import asked_first, summaries
 from charlake.operators.parts import by_parts
-from charlake.schemas import FEEDBACK, ITEMS
+from charlake.schemas import FEEDBACK, ITEMS, SUMMARY
 
 CFG = ChatConfig(
     excluded_city_words=("cali", "oeste"),
@@ -24,7 +26,8 @@ CFG = ChatConfig(
     last_day=date(2024, 1, 27),
 )
 
-TURNS_PER_ITEM = 1_000
+# Turns in one cell of text. Values are of whole conversations.
+TURNS_PER_CELL = 1_000
 
 K = "CAST(replace(substr(props, 7), '}', '') AS INT)"
 
@@ -73,15 +76,13 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, segmento, messages: a conversation's turns in order, at most 1,000 in a row."""
-    message = F.struct("turn", "role", "text", F.lit(None).cast("timestamp").alias("ts"))
+    """conv_id, segmento, messages: a conversation's turns in order, at most 1,000 in a cell."""
+    return by_parts(turns(spark, sf_dir), ["conv_id"], ["turn", "role", "text"], TURNS_PER_CELL, "segmento", _messages)
 
-    def build(rows: DataFrame, group: list[str]) -> DataFrame:
-        return rows.groupBy(*group).agg(F.array_sort(F.collect_list(message)).alias("messages"))
 
-    return by_parts(
-        turns(spark, sf_dir), ["conv_id"], ["turn", "role", "text"], TURNS_PER_ITEM, "segmento", build
-    )
+def _messages(rows: DataFrame, group: list[str]) -> DataFrame:
+    message = F.struct("turn", "role", "text", F.lit(None).cast("timestamp").alias("ts"))
+    return rows.groupBy(*group).agg(F.array_sort(F.collect_list(message)).alias("messages"))
 
 
 def iso(ts: Column) -> Column:
@@ -108,11 +109,14 @@ def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations spread over the month, so that feedback falls before and after them."""
-    began = conversations(spark, sf_dir).join(
-        events(spark, sf_dir), F.col("conv_id") == F.col("event_id"), "left"
-    )
+    """Cells of conversations as stored items of their own, some microseconds apart."""
     ts = F.expr("ts + make_dt_interval(CAST(conv_id % 29 AS INT), 0, 0, CAST(segmento / 1000000 AS DECIMAL(18, 6)))")
+    return _begun(conversations(spark, sf_dir), spark, sf_dir, ts)
+
+
+def _begun(rows: DataFrame, spark: SparkSession, sf_dir: str, ts: Column, *more: str) -> DataFrame:
+    """Rows with a conv_id as items, spread over the month, so that feedback falls before and after them."""
+    began = rows.join(events(spark, sf_dir), F.col("conv_id") == F.col("event_id"), "left")
     return began.select(
         F.col("user_id").cast("string").alias("usuario_id"),
         F.concat(F.lit("CONVERSATION#"), iso(ts)).alias("sk"),
@@ -122,8 +126,34 @@ def conversation_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         profile().alias("profile"),
         F.col("messages").cast(ITEMS["messages"].dataType).alias("messages"),
         F.lit(None).cast(FEEDBACK).alias("feedback"),
+        *more,
+    )
+
+
+_BEGAN = "ts + make_dt_interval(CAST(conv_id % 29 AS INT))"
+
+
+def whole_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item per event and per conversation of any length, which has a summary in place of its messages."""
+    none = F.lit(None).cast(ITEMS["messages"].dataType).alias("messages")
+    talks = summaries(turns(spark, sf_dir), CFG.role_words, CFG.user_roles, CFG.reply_roles).select("*", none)
+    seen = event_items(spark, sf_dir).withColumn("resumen", F.lit(None).cast(SUMMARY))
+    return seen.unionByName(_begun(talks, spark, sf_dir, F.expr(_BEGAN), "resumen"))
+
+
+def text_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of `whole_items`, a row per cell of a conversation, with the questions first asked in it."""
+
+    def build(rows: DataFrame, group: list[str]) -> DataFrame:
+        return _messages(rows, group).withColumn("preguntas", questions_of(F.col("messages"), CFG.role_words))
+
+    cells = by_parts(
+        turns(spark, sf_dir), ["conv_id"], ["turn", "role", "text"], TURNS_PER_CELL, "segmento", build,
+        across=lambda parts: asked_first(parts, "conv_id", "segmento", "preguntas"),
     )
+    return _begun(cells, spark, sf_dir, F.expr(_BEGAN), "segmento", "preguntas")
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as they are stored, of bounded size."""
     return event_items(spark, sf_dir).unionByName(conversation_items(spark, sf_dir))

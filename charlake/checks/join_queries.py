@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from charlake.checks import sql as S
-from charlake.checks.fixture import CFG, event_items, events, items, table
+from charlake.checks.fixture import CFG, event_items, events, items, table, whole_items
 from charlake.checks.registry import query
 from charlake.config import PROFILE_FIELDS
 from charlake.operators import reports
 from charlake.operators.asof import asof_join
 from charlake.operators.joins import join_latest, without_names, without_names_table
-from charlake.plans.feedback_table import match_feedback, user_profiles, with_user_profile
+from charlake.plans.feedback_table import dropped_feedback, match_feedback, user_profiles, with_user_profile
 from charlake.sources.items import CONVERSATION, FEEDBACK, is_kind, is_other
 
 FIELDS = ("type", "comment", "option")
@@ -86,9 +86,9 @@ def asof_simple(spark, d):
 MATCH = (
     "conv AS (SELECT i.usuario_id, i.sk, i.item_ts, "
     f"{S.single_line('x.pregunta')} AS mensaje_usuario, {S.single_line('x.respuesta')} AS mensaje_bot "
-    "FROM items i JOIN exchange x ON x.conv_id = i.conv_id AND x.segmento = i.segmento "
+    "FROM items i JOIN whole x ON x.conv_id = i.conv_id "
     "WHERE i.usuario_id IS NOT NULL AND i.item_ts IS NOT NULL), "
-    "fbk AS (SELECT * FROM items WHERE kind = 'FEEDBACK' AND usuario_id IS NOT NULL AND item_ts IS NOT NULL), "
+    "fbk AS (SELECT * FROM items WHERE kind = 'FEEDBACK' AND usuario_id <> '' AND item_ts IS NOT NULL), "
     "hits AS (SELECT f.usuario_id, f.sk, "
     "arg_max(struct_pack(u := c.mensaje_usuario, b := c.mensaje_bot), (c.item_ts, c.sk)) FILTER (WHERE c.mensaje_usuario <> '') AS best, "
     "arg_min(struct_pack(u := c.mensaje_usuario, b := c.mensaje_bot), (c.item_ts, c.sk)) AS oldest "
@@ -97,11 +97,11 @@ MATCH = (
 )
 
 
-@query("feedback_asof", S.with_(S.EV, S.SEG, S.EXCHANGE, S.ITEMS, MATCH, select=(
+@query("feedback_asof", S.with_(S.EV, S.TURN, S.LAST, S.WHOLE_ITEMS, MATCH, select=(
     "SELECT usuario_id, sk, m.u AS mensaje_usuario, m.b AS mensaje_bot, m IS NOT NULL AS matched FROM matched"
 )))
 def feedback_asof(spark, d):
-    return match_feedback(items(spark, d), CFG).select("usuario_id", "sk", "mensaje_usuario", "mensaje_bot", "matched")
+    return match_feedback(whole_items(spark, d), CFG).select("usuario_id", "sk", "mensaje_usuario", "mensaje_bot", "matched")
 
 
 def _last(f: str) -> str:
@@ -122,11 +122,11 @@ PROFILED = (
 )
 
 
-@query("feedback_profile", S.with_(S.EV, S.SEG, S.EXCHANGE, S.ITEMS, MATCH, PROFILES, PROFILED, select=(
+@query("feedback_profile", S.with_(S.EV, S.TURN, S.LAST, S.WHOLE_ITEMS, MATCH, PROFILES, PROFILED, select=(
     f"SELECT usuario_id, sk, matched, {', '.join(PROFILE_FIELDS)} FROM profiled"
 )))
 def feedback_profile(spark, d):
-    rows = items(spark, d)
+    rows = whole_items(spark, d)
     full = with_user_profile(match_feedback(rows, CFG), user_profiles(rows))
     return full.select("usuario_id", "sk", "matched", *PROFILE_FIELDS)
 
@@ -141,15 +141,14 @@ def feedback_profile_latest(spark, d):
     return user_profiles(items(spark, d), mode="latest")
 
 
-@query("match_stats", S.with_(S.EV, S.SEG, S.EXCHANGE, S.ITEMS, MATCH, select=(
+@query("match_stats", S.with_(S.EV, S.TURN, S.LAST, S.WHOLE_ITEMS, MATCH, select=(
     "SELECT (SELECT count(*) FROM items WHERE kind = 'FEEDBACK') AS feedback, "
     "count(*) FILTER (WHERE m IS NOT NULL) AS con_conversacion, count(*) FILTER (WHERE m IS NULL) AS sin_conversacion, "
-    "(SELECT count(*) FROM items WHERE kind = 'FEEDBACK' AND (usuario_id IS NULL OR item_ts IS NULL)) AS descartados FROM matched"
+    "(SELECT count(*) FROM items WHERE kind = 'FEEDBACK' AND (usuario_id IS NULL OR usuario_id = '' OR item_ts IS NULL)) AS descartados FROM matched"
 )))
 def match_stats(spark, d):
     """Matched, unmatched and dropped feedback, each counted apart."""
-    rows = items(spark, d)
-    bad = F.col("usuario_id").isNull() | F.col("item_ts").isNull()
-    dropped = rows.where(is_kind(FEEDBACK) & bad).select(F.lit(None).cast("boolean").alias("matched"))
+    rows = whole_items(spark, d)
+    dropped = dropped_feedback(rows).select(F.lit(None).cast("boolean").alias("matched"))
     seen = match_feedback(rows, CFG).select("matched").unionByName(dropped)
     return reports.match_stats(seen)

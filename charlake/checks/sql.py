@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from charlake.checks.fixture import CFG, CREATED, FEEDBACK_VALUES, K, KIND, PROFILE, TURNS_PER_ITEM
+from charlake.checks.fixture import CFG, CREATED, FEEDBACK_VALUES, K, KIND, PROFILE, TURNS_PER_CELL
 
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -50,7 +50,7 @@ def tokens(x: str) -> str:
 EV = f"ev AS (SELECT event_id, user_id, ts, event_type, value, {K} AS k FROM events)"
 
 SEG = (
-    f"seg AS (SELECT conv_id, CAST((pos - 1) // {TURNS_PER_ITEM} AS INTEGER) AS segmento, pos, turn, role, text FROM ("
+    f"seg AS (SELECT conv_id, CAST((pos - 1) // {TURNS_PER_CELL} AS INTEGER) AS segmento, pos, turn, role, text FROM ("
     "SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM conversations))"
 )
 
@@ -130,6 +130,40 @@ ITEMS = (
 )
 
 
+_BEGAN = "ts + to_days(CAST(conv_id % 29 AS INTEGER))"
+
+# The same with one item per conversation, whatever its length.
+WHOLE_ITEMS = (
+    f"keyed AS (SELECT *, {KIND} AS kind FROM ev), "
+    f"items AS (SELECT CAST(user_id AS VARCHAR) AS usuario_id, kind || '#' || {iso('ts')} AS sk, kind, ts AS item_ts, "
+    f"{CREATED} AS created_at, {_PROFILE}, {_FEEDBACK}, CAST(NULL AS BIGINT) AS conv_id FROM keyed "
+    f"UNION ALL SELECT CAST(user_id AS VARCHAR), 'CONVERSATION#' || {iso(_BEGAN)}, 'CONVERSATION', {_BEGAN}, "
+    f"CASE WHEN k >= 5 THEN {_BEGAN} END, {_PROFILE}, NULL, NULL, NULL, conv_id "
+    "FROM (SELECT DISTINCT conv_id FROM conversations) s LEFT JOIN ev ON ev.event_id = s.conv_id)"
+)
+
+
+def count(x: str, word: str) -> str:
+    return f"((length({x}) - length(replace({x}, '{word}', ''))) // {len(word)})"
+
+
+# Turns by role of whole conversations, and how often words stand in their text.
+TALLY = (
+    "tally AS (SELECT conv_id, count(*) FILTER (WHERE who = 'user') AS n_user, count(*) FILTER (WHERE who = 'bot') AS n_bot, "
+    + ", ".join(f"sum({count(line, word)}) AS {name}" for name, line, word in (
+        ("dice_bot", "who || ': ' || txt", "bot"), ("dice_usuario", "who || ': ' || txt", "user"), ("dice_preguntas", "lower(who || ': ' || txt)", "user:"),
+    ))
+    + " FROM turn GROUP BY conv_id)"
+)
+
+# Of each cell of text the questions that were asked first there.
+ASKED_FIRST = (
+    "asked AS (SELECT conv_id, segmento, string_agg(txt, ' | ' ORDER BY pos) AS preguntas FROM ("
+    "SELECT conv_id, segmento, txt, pos, row_number() OVER (PARTITION BY conv_id, txt ORDER BY pos) AS nth "
+    "FROM msg WHERE who = 'user' AND txt <> '') WHERE nth = 1 GROUP BY conv_id, segmento)"
+)
+
+
 def matches(x: str, words: tuple[str, ...]) -> str:
     return f"coalesce(regexp_matches({x}, '(?i)({'|'.join(words)})'), false)"
 
@@ -140,7 +174,7 @@ _OTHERS = ("gerencia", "oficinas_asesoras", "subgerencia", "nivel_directivo")
 # Items with cleaned profile that pass the user table's filters; feedback passes by itself.
 KEPT = (
     "cleaned AS (SELECT usuario_id, sk, kind, item_ts, kind = 'FEEDBACK' AS es_feedback, CAST(created_at AS DATE) AS fecha, "
-    "fb_type, fb_comment, fb_option, conv_id, segmento, "
+    "fb_type, fb_comment, fb_option, conv_id, "
     f"CASE WHEN {blank('nombre')} THEN '{CFG.anonymous_label}' ELSE {strip('nombre')} END AS nombre, "
     f"{clean('ciudad')} AS c0, {', '.join(f'{clean(f)} AS {f}' for f in _OTHERS)} "
     "FROM items WHERE kind <> 'REGISTER' AND usuario_id IS NOT NULL), "

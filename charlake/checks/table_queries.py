@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from charlake.catalog.tables import FEEDBACK_VIEW, USER_VIEW, register_views
 from charlake.checks import sql as S
-from charlake.checks.fixture import CFG, items
+from charlake.checks.fixture import CFG, text_cells, whole_items
 from charlake.checks.join_queries import LATEST, MATCH, PROFILED, PROFILES
 from charlake.checks.registry import query
 from charlake.config import FEEDBACK_TABLE_COLUMNS, PROFILE_FIELDS
@@ -37,15 +37,13 @@ _USER_LEVEL = (
 )
 
 BASE = (
-    "base AS (SELECT k.*, coalesce(t.transcript, '') AS transcript, coalesce(a.preguntas, '') AS pregunta, "
-    f"CASE WHEN {_OWN} THEN greatest(coalesce(t.n_user, 0), coalesce(t.n_bot, 0), 1) END AS turnos, "
+    f"base AS (SELECT k.*, CASE WHEN {_OWN} THEN greatest(coalesce(t.n_user, 0), coalesce(t.n_bot, 0), 1) END AS turnos, "
     f"CASE WHEN {_OWN} THEN coalesce(t.n_user, 0) END AS n_preguntas, "
     f"CASE WHEN es_feedback THEN {_TEXT} END AS feedback_text "
-    "FROM kept k LEFT JOIN talk t ON t.conv_id = k.conv_id AND t.segmento = k.segmento "
-    "LEFT JOIN asked a ON a.conv_id = k.conv_id AND a.segmento = k.segmento)"
+    "FROM kept k LEFT JOIN tally t ON t.conv_id = k.conv_id)"
 )
 
-_ORDERED = "string_agg({0}, ' || ' ORDER BY item_ts, sk) FILTER (WHERE {0} <> '')"
+_ORDERED = "coalesce(string_agg({0}, ' || ' ORDER BY item_ts, sk), '')"
 
 
 def _part(order: str, rows: int) -> str:
@@ -54,10 +52,15 @@ def _part(order: str, rows: int) -> str:
 
 # Texts only are in cells; everything else is the user's.
 _TEXTS = (
-    f"spoken AS (SELECT *, {_part('item_ts, sk', CFG.items_per_row)} FROM base WHERE feedback_text IS NOT NULL OR transcript <> ''), "
-    f"texts AS (SELECT usuario_id, parte, coalesce({_ORDERED.format('transcript')}, '') AS conversacion_completa, "
-    f"coalesce({_ORDERED.format('feedback_text')}, '') AS feedback_total, coalesce({_ORDERED.format('pregunta')}, '') AS pregunta_conversacion "
-    "FROM spoken GROUP BY usuario_id, parte)"
+    "cell AS (SELECT b.usuario_id, b.item_ts, b.sk, b.conv_id, coalesce(t.segmento, 0) AS segmento, nullif(t.transcript, '') AS transcript, "
+    "nullif(a.preguntas, '') AS pregunta, CASE WHEN coalesce(t.segmento, 0) = 0 THEN b.feedback_text END AS feedback_text "
+    "FROM base b LEFT JOIN talk t ON t.conv_id = b.conv_id LEFT JOIN asked a ON a.conv_id = b.conv_id AND a.segmento = t.segmento), "
+    f"spoken AS (SELECT *, {_part('item_ts, sk, segmento', CFG.items_per_row)} FROM cell WHERE feedback_text IS NOT NULL OR transcript IS NOT NULL), "
+    "joined AS (SELECT usuario_id, parte, item_ts, sk, string_agg(transcript, ' | ' ORDER BY segmento) AS transcript, "
+    "max(feedback_text) AS feedback_text, string_agg(pregunta, ' | ' ORDER BY segmento) AS pregunta FROM spoken GROUP BY ALL), "
+    f"texts AS (SELECT usuario_id, parte, {_ORDERED.format('transcript')} AS conversacion_completa, "
+    f"{_ORDERED.format('feedback_text')} AS feedback_total, {_ORDERED.format('pregunta')} AS pregunta_conversacion "
+    "FROM joined GROUP BY usuario_id, parte)"
 )
 
 USERS = (
@@ -80,11 +83,13 @@ USERS = (
     "FROM who w JOIN sums s ON s.usuario_id = w.usuario_id LEFT JOIN cells c ON c.usuario_id = w.usuario_id)"
 )
 
-USER_TABLES = (S.EV, S.SEG, S.MSG, S.TALK, S.ASKED, S.ITEMS, S.KEPT, BASE, _USER_LEVEL, USERS)
+WHOLE = (S.EV, S.SEG, S.MSG, S.TALK, S.ASKED_FIRST, S.TURN, S.TALLY, S.WHOLE_ITEMS, S.KEPT)
 
+USER_TABLES = (*WHOLE, BASE, _USER_LEVEL, USERS)
 
-def users(spark, d):
-    return build_user_table(items(spark, d), CFG)
+
+def users(spark, d, **more):
+    return build_user_table(whole_items(spark, d), CFG, cells=text_cells(spark, d), **more)
 
 
 @query("user_rollup", S.with_(*USER_TABLES, select="SELECT * FROM users"))
@@ -92,17 +97,12 @@ def user_rollup(spark, d):
     return users(spark, d)
 
 
-_TALK = "coalesce(t.transcript, '')"
-_COUNT = "((length({0}) - length(replace({0}, '{1}', ''))) // {2})"
-
 # The user's last feedback stands on each conversation; counts come from the rendered text.
 BASE_LATEST = (
     "base AS (SELECT k.usuario_id, k.sk, k.item_ts, k.fecha, false AS es_feedback, k.nombre, k.ciudad, k.gerencia, k.oficinas_asesoras, "
-    "k.subgerencia, k.nivel_directivo, coalesce(t.transcript, '') AS transcript, coalesce(a.preguntas, '') AS pregunta, "
-    f"greatest({_COUNT.format(_TALK, 'bot', 3)}, {_COUNT.format(_TALK, 'user', 4)}, 1) AS turnos, "
-    f"{_COUNT.format(f'lower({_TALK})', 'user:', 5)} AS n_preguntas, l.f.t AS fb_type, l.f.c AS fb_comment, l.f.o AS fb_option, "
-    "k.kind FROM kept k LEFT JOIN talk t ON t.conv_id = k.conv_id AND t.segmento = k.segmento "
-    "LEFT JOIN asked a ON a.conv_id = k.conv_id AND a.segmento = k.segmento "
+    "k.subgerencia, k.nivel_directivo, k.conv_id, greatest(coalesce(t.dice_bot, 0), coalesce(t.dice_usuario, 0), 1) AS turnos, "
+    "coalesce(t.dice_preguntas, 0) AS n_preguntas, l.f.t AS fb_type, l.f.c AS fb_comment, l.f.o AS fb_option, "
+    "k.kind FROM kept k LEFT JOIN tally t ON t.conv_id = k.conv_id "
     "LEFT JOIN latest l ON l.usuario_id = k.usuario_id AND k.kind = 'CONVERSATION' WHERE NOT k.es_feedback)"
 )
 
@@ -112,7 +112,7 @@ USERS_LATEST = (
     "FROM given WHERE feedback_text IS NOT NULL GROUP BY usuario_id), "
     "sums AS (SELECT usuario_id, CAST(sum(turnos) AS INTEGER) AS numero_conversaciones, CAST(count(feedback_text) AS INTEGER) AS numero_feedback, "
     "CAST(sum(n_preguntas) AS INTEGER) AS numero_preguntas FROM given GROUP BY usuario_id), "
-    + _TEXTS.replace("FROM base", "FROM given") + ", "
+    + _TEXTS.replace("FROM base b", "FROM given b") + ", "
     "users AS (SELECT w.usuario_id, w.nombre, w.gerencia, w.ciudad, w.oficinas_asesoras, w.subgerencia, w.nivel_directivo, "
     "w.fecha_primera_conversacion, s.numero_conversaciones, coalesce(c.conversacion_completa, '') AS conversacion_completa, "
     "coalesce(c.feedback_total, '') AS feedback_total, s.numero_feedback, coalesce(c.pregunta_conversacion, '') AS pregunta_conversacion, "
@@ -123,11 +123,11 @@ USERS_LATEST = (
 
 
 @query("user_rollup_latest_feedback", S.with_(
-    S.EV, S.SEG, S.MSG, S.TALK, S.ASKED, S.ITEMS, S.KEPT, LATEST, BASE_LATEST, _USER_LEVEL, USERS_LATEST,
+    *WHOLE, LATEST, BASE_LATEST, _USER_LEVEL, USERS_LATEST,
     select="SELECT * FROM users",
 ))
 def user_rollup_latest_feedback(spark, d):
-    return build_user_table(items(spark, d), CFG, feedback="latest_on_each")
+    return users(spark, d, feedback="latest_on_each")
 
 
 @query("user_table_rendered", S.with_(*USER_TABLES, select=(
@@ -172,7 +172,7 @@ _PER_USER = (
 def drop_blank_transcripts(spark, d):
     """Users before and after, from the values alone."""
     spoken = F.col("con_transcript")
-    return user_values(items(spark, d), CFG).agg(
+    return user_values(whole_items(spark, d), CFG).agg(
         F.count(F.lit(1)).alias("antes"), F.count_if(spoken).alias("despues"), F.count_if(~spoken).alias("eliminados")
     )
 
@@ -183,10 +183,10 @@ def drop_blank_transcripts(spark, d):
     f"count(*) FILTER (WHERE nombre <> '{CFG.anonymous_label}') AS nombres_reales FROM per_user"
 )))
 def run_totals_query(spark, d):
-    return run_totals(user_values(items(spark, d), CFG), CFG.anonymous_label)
+    return run_totals(user_values(whole_items(spark, d), CFG), CFG.anonymous_label)
 
 
-FEEDBACK_TABLES = (S.EV, S.SEG, S.EXCHANGE, S.ITEMS, MATCH, PROFILES, PROFILED, (
+FEEDBACK_TABLES = (S.EV, S.TURN, S.LAST, S.WHOLE_ITEMS, MATCH, PROFILES, PROFILED, (
     "fbt AS (SELECT " + ", ".join(FEEDBACK_TABLE_COLUMNS) + f" FROM profiled WHERE NOT lower({S.strip('nombre')}) IN ("
     + ", ".join(f"'{n}'" for n in CFG.excluded_names) + "))"
 ))
@@ -194,7 +194,7 @@ FEEDBACK_TABLES = (S.EV, S.SEG, S.EXCHANGE, S.ITEMS, MATCH, PROFILES, PROFILED,
 
 @query("feedback_table", S.with_(*FEEDBACK_TABLES, select="SELECT * FROM fbt"))
 def feedback_table(spark, d):
-    return build_feedback_table(items(spark, d), CFG)
+    return build_feedback_table(whole_items(spark, d), CFG)
 
 
 @query("feedback_totals", S.with_(*FEEDBACK_TABLES, select=(
@@ -203,7 +203,7 @@ def feedback_table(spark, d):
     "count(*) FILTER (WHERE mensaje_usuario <> '') AS with_user_messages, count(*) FILTER (WHERE mensaje_bot <> '') AS with_bot_messages FROM fbt"
 )))
 def feedback_totals_query(spark, d):
-    return feedback_totals(build_feedback_table(items(spark, d), CFG))
+    return feedback_totals(build_feedback_table(whole_items(spark, d), CFG))
 
 
 @query("sql_user_report", S.with_(*USER_TABLES, TYPED, select=(
@@ -225,7 +225,7 @@ def sql_user_report(spark, d):
     "SELECT fecha, feedback, count(*) AS filas, count(DISTINCT usuario_id) AS usuarios FROM fbt GROUP BY fecha, feedback"
 )))
 def sql_feedback_report(spark, d):
-    register_views(feedback=build_feedback_table(items(spark, d), CFG))
+    register_views(feedback=build_feedback_table(whole_items(spark, d), CFG))
     return spark.sql(
         f"SELECT fecha, feedback, count(*) AS filas, count(DISTINCT usuario_id) AS usuarios FROM {FEEDBACK_VIEW} GROUP BY fecha, feedback"
     )

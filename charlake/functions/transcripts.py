@@ -12,6 +12,7 @@ from pyspark.sql import Column, functions as F
 
 from charlake.config import BOT_PREFIXES, DIALOGUE_SEPARATOR, MESSAGE_SEPARATOR, USER_PREFIXES
 from charlake.functions.text import count_of, is_blank, let, strip
+from charlake.schemas import SUMMARY
 
 # --- message arrays ---------------------------------------------------------
 
@@ -84,6 +85,18 @@ def last_exchange(messages: Column, user_roles: Sequence[str], reply_roles: Sequ
     return F.coalesce(asked["text"], F.lit("")), F.coalesce(reply["text"], F.lit(""))
 
 
+def summary_of(messages: Column, role_words: Mapping[str, str], user_roles: Sequence[str], reply_roles: Sequence[str]) -> Column:
+    """A `SUMMARY` of the messages of one row; what of it is not used is not computed."""
+    asked, replied = last_exchange(messages, user_roles, reply_roles)
+    text = render_messages(messages, role_words)
+    values = (
+        asked, replied, count_role(messages, "user", role_words), count_role(messages, "bot", role_words),
+        F.coalesce(F.size(messages), F.lit(0)), F.size(questions_of(messages, role_words)) > 0,
+        count_of(text, "bot"), count_of(text, "user"), count_of(F.lower(text), "user:"),
+    )
+    return F.struct(*[v.cast(f.dataType).alias(f.name) for v, f in zip(values, SUMMARY, strict=True)])
+
+
 # --- stored text forms ------------------------------------------------------
 
 _JSON_MESSAGE = (

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from charlake.functions.text import count_of
 from charlake.functions.transcripts import canonical_role, message_text
+from charlake.operators.skew import join_on
+from charlake.schemas import SUMMARY
 
 _PLACE = ("turn", "role", "text")
 
@@ -47,13 +49,33 @@ def question_counts(turns: DataFrame, role_words: Mapping[str, str]) -> DataFram
 
 
 def text_counts(turns: DataFrame, role_words: Mapping[str, str]) -> DataFrame:
-    """conv_id with what a count in the rendered transcript gives: `bot`, `user` and `user:`, and the user's turns.
+    """conv_id with what a count in the rendered transcript gives: `bot`, `user` and `user:`, and turns, messages and whether there is a question.
 
     Messages are counted one by one: no word can reach over the mark between two messages.
     """
     who = canonical_role(F.col("role"), role_words)
-    lines = turns.select("conv_id", who.alias("who"), F.concat(who, F.lit(": "), message_text(F.col("text"))).alias("line"))
+    said = turns.select("conv_id", who.alias("who"), message_text(F.col("text")).alias("text"))
+    lines = said.select("*", F.concat("who", F.lit(": "), "text").alias("line"))
     return lines.groupBy("conv_id").agg(
         F.sum(count_of(F.col("line"), "bot")).alias("bot"), F.sum(count_of(F.col("line"), "user")).alias("usuario"),
         F.sum(count_of(F.lower("line"), "user:")).alias("preguntas"), F.count_if(F.col("who") == "user").alias("turnos"),
+        F.count_if(F.col("who") == "bot").alias("turnos_bot"), F.count(F.lit(1)).alias("mensajes"),
+        F.bool_or((F.col("who") == "user") & (F.col("text") != "")).alias("con_preguntas"),
     )
+
+
+def summaries(turns: DataFrame, role_words: Mapping[str, str], user_roles: Sequence[str], reply_roles: Sequence[str]) -> DataFrame:
+    """conv_id, resumen: a `SUMMARY` of each conversation, reduced from its turns."""
+    ends = last_exchanges(turns, user_roles, reply_roles)
+    rows = text_counts(turns, role_words).join(ends, "conv_id", "left")
+    of = {"turnos_usuario": "turnos", "dice_bot": "bot", "dice_usuario": "usuario", "dice_preguntas": "preguntas"}
+    return rows.select("conv_id", F.struct(*[F.col(of.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in SUMMARY]).alias("resumen"))
+
+
+def asked_first(cells: DataFrame, key: str, part: str, questions: str) -> DataFrame:
+    """Of several cells of one key, each question only where it was asked first. A cell's questions are bounded, a key's are not."""
+    asked = cells.select(key, part, F.posexplode(questions).alias("_at", "_q"))
+    first = asked.groupBy(key, "_q").agg(F.min(F.struct(part, "_at")).alias("_p"))
+    kept = first.groupBy(key, F.col(f"_p.{part}").alias(part)).agg(F.array_sort(F.collect_list(F.struct("_p._at", "_q"))).alias("_kept"))
+    found = F.coalesce(F.transform("_kept", lambda e: e["_q"]), F.array().cast("array<string>"))
+    return join_on(cells, kept, [key, part], "left").withColumn(questions, found).drop("_kept")

@@ -11,7 +11,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from charlake.operators.skew import in_slices, join_on, split_hot, with_ordinal
+from charlake.operators.scratch import written
+from charlake.operators.skew import in_slices, split_hot, with_ordinal
 
 
 def by_parts(
@@ -21,11 +22,11 @@ def by_parts(
     rows_per_part: int,
     part: str,
     build: Callable[[DataFrame, list[str]], DataFrame],
-    per_key: Callable[[DataFrame], DataFrame] | None = None,
+    across: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """`build(rows, group_columns)` for every group, groups above the limit split by `part`.
 
-    `per_key(rows)` gives columns that must cover all parts of a key, by plain aggregates. Pass raw
+    `across(parts)` changes the built parts of the large groups where they depend on each other. Pass raw
     rows and do costly row work in `build`: large groups are scanned, sampled and written first.
     """
     small, large, slices = split_hot(df, keys, rows_per_part)
@@ -37,8 +38,4 @@ def by_parts(
         part, F.floor(F.col("_ordinal") / F.lit(rows_per_part)).cast("int")
     )
     parts = build(numbered.drop("_ordinal"), [*keys, part])
-    if per_key is not None:
-        shared = per_key(sliced)
-        parts = parts.drop(*[c for c in shared.columns if c not in keys])
-        parts = join_on(parts, shared, keys)
-    return whole.unionByName(parts)
+    return whole.unionByName(parts if across is None else across(written(parts, "parts")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from charlake.config import FEEDBACK_TABLE_COLUMNS, PROFILE_FIELDS, ChatConfig
 from charlake.functions.text import blank_to_empty, single_line
@@ -17,8 +17,11 @@ ORDER = ("item_ts", "sk")
 
 
 def exchanges(items: DataFrame, cfg: ChatConfig) -> DataFrame:
-    """Conversations with their last user message and its reply, on one line each."""
-    asked, replied = last_exchange(F.col("messages"), cfg.user_roles, cfg.reply_roles)
+    """Conversations with their last user message and its reply, on one line each: the item's summary has them, else its messages."""
+    if "resumen" in items.columns:
+        asked, replied = F.coalesce("resumen.pregunta", F.lit("")), F.coalesce("resumen.respuesta", F.lit(""))
+    else:
+        asked, replied = last_exchange(F.col("messages"), cfg.user_roles, cfg.reply_roles)
     return items.where(is_kind(CONVERSATION) & F.col("usuario_id").isNotNull()).select(
         "usuario_id", *ORDER,
         single_line(asked, cfg.max_message_chars).alias("mensaje_usuario"),
@@ -26,11 +29,19 @@ def exchanges(items: DataFrame, cfg: ChatConfig) -> DataFrame:
     )
 
 
+def matchable() -> Column:
+    """Whether a feedback has a user and a time; never NULL."""
+    return F.coalesce(F.col("usuario_id") != "", F.lit(False)) & F.col("item_ts").isNotNull()
+
+
+def dropped_feedback(items: DataFrame) -> DataFrame:
+    """The feedback that `match_feedback` leaves out."""
+    return items.where(is_kind(FEEDBACK) & ~matchable())
+
+
 def feedback_rows(items: DataFrame, cfg: ChatConfig) -> DataFrame:
     """Feedback with a user and a time; others match nothing and are dropped."""
-    return items.where(
-        is_kind(FEEDBACK) & F.col("usuario_id").isNotNull() & (F.col("usuario_id") != "") & F.col("item_ts").isNotNull()
-    ).select(
+    return items.where(is_kind(FEEDBACK) & matchable()).select(
         "usuario_id", *ORDER, F.to_date("created_at").alias("fecha"),
         F.coalesce("feedback.type", F.lit("")).alias("feedback"),
         single_line(F.col("feedback.comment"), cfg.max_message_chars).alias("comentario"),

@@ -15,6 +15,19 @@ PROFILE = T.StructType([T.StructField(name, T.StringType()) for name in PROFILE_
 
 FEEDBACK = T.StructType([T.StructField(name, T.StringType()) for name in ("type", "comment", "option")])
 
+# What the tables need of a conversation, whatever its length: its last exchange, turns by role, and how often words stand in its text.
+SUMMARY = T.StructType([
+    T.StructField("pregunta", T.StringType()),
+    T.StructField("respuesta", T.StringType()),
+    T.StructField("turnos_usuario", T.LongType()),
+    T.StructField("turnos_bot", T.LongType()),
+    T.StructField("mensajes", T.LongType()),
+    T.StructField("con_preguntas", T.BooleanType()),
+    T.StructField("dice_bot", T.LongType()),
+    T.StructField("dice_usuario", T.LongType()),
+    T.StructField("dice_preguntas", T.LongType()),
+])
+
 # One row per stored item. (usuario_id, sk) is its key.
 ITEMS = T.StructType([
     T.StructField("usuario_id", T.StringType()),

@@ -3,9 +3,11 @@
 import random
 from dataclasses import replace
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from charlake.checks import fixture
 from charlake.checks.fixture import CFG
 from charlake.config import ChatConfig
@@ -13,7 +15,10 @@ from charlake.operators.asof import asof_join
 from charlake.operators import skew
 from charlake.operators.skew import hot_keys, with_ordinal
 from charlake.plans import build_feedback_table, build_user_table
-from charlake.plans.feedback_table import match_feedback
+from charlake.functions.transcripts import summary_of
+from charlake.operators.conversations import summaries
+from charlake.plans.feedback_table import dropped_feedback, match_feedback
+from tests.compare import difference
 from tests.rows import at, feedback_matches, frame, item, plain
 
 OPEN = ChatConfig(first_day=None, excluded_city_words=())
@@ -95,7 +100,7 @@ def test_many_hot_keys_stay_a_frame(spark, monkeypatch):
 
 
 def test_user_in_parts_is_whole(spark, rows):
-    """Parts of at most ten items in time order; together they are the one row."""
+    """Cells of at most ten items in time order, which together are the one row's; values are the user's in each of them."""
     items = frame(spark, rows)
     whole = {r.usuario_id: r for r in build_user_table(items, OPEN).collect()}
     parts = {}
@@ -103,16 +108,14 @@ def test_user_in_parts_is_whole(spark, rows):
         parts.setdefault(r.usuario_id, []).append(r)
     assert set(parts) == set(whole) and {r.parte for r in whole.values()} == {0}
     counts = {}
-    for i in map(plain, rows):
-        counts[i.user] = counts.get(i.user, 0) + 1
+    for i in map(plain, rows):  # items with a text
+        counts[i.user] = counts.get(i.user, 0) + (i.kind == "FEEDBACK" or bool(i.messages))
     for user, row in whole.items():
         mine = sorted(parts[user], key=lambda r: r.parte)
-        assert [r.parte for r in mine] == list(range(-(-counts[user] // 10)))
+        assert [r.parte for r in mine] == list(range(max(1, -(-counts[user] // 10))))
         for column in ("conversacion_completa", "feedback_total", "pregunta_conversacion"):
             assert " || ".join(r[column] for r in mine if r[column]) == row[column]
-        for column in ("numero_conversaciones", "numero_feedback", "numero_preguntas"):
-            assert sum(r[column] for r in mine) == row[column]
-        for column in ("nombre", "ciudad", "fecha_primera_conversacion"):
+        for column in ("numero_conversaciones", "numero_feedback", "numero_preguntas", "feedback", "nombre", "ciudad", "fecha_primera_conversacion"):
             assert {r[column] for r in mine} == {row[column]}
 
 
@@ -128,7 +131,7 @@ def test_asof_keeps_equal_left_rows(spark):
 
 
 def test_long_conversation_goes_on_in_segments(spark, tmp_path):
-    n = 2 * fixture.TURNS_PER_ITEM + 500
+    n = 2 * fixture.TURNS_PER_CELL + 500
     talk = spark.range(n).select(F.lit(1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
                                  F.lit("user").alias("role"), F.concat(F.lit("t"), "id").alias("text"))
     other = spark.createDataFrame([(2, 0, "user", "x")], talk.schema)
@@ -143,7 +146,67 @@ def test_long_conversation_goes_on_in_segments(spark, tmp_path):
 
 def test_given_tables_in_parts(spark):
     """The checked queries' own items with every user in parts."""
-    items = fixture.items(spark, "/root/testdata/sf0.001")
-    whole = build_user_table(items, CFG).agg(F.sum("numero_conversaciones"), F.sum("numero_feedback")).first()
-    parts = build_user_table(items, replace(CFG, items_per_row=5)).agg(F.sum("numero_conversaciones"), F.sum("numero_feedback")).first()
-    assert whole == parts
+    d = "/root/testdata/sf0.001"
+    items, cells = fixture.whole_items(spark, d), fixture.text_cells(spark, d)
+
+    def of_users(cfg):
+        found = build_user_table(items, cfg, cells=cells).groupBy("usuario_id").agg(F.collect_set(F.struct("numero_conversaciones", "numero_feedback", "feedback", "nombre")).alias("values"), F.max("parte").alias("last"), F.count(F.lit(1)).alias("n"))
+        return {r.usuario_id: (r["values"], r["last"], r["n"]) for r in found.collect()}
+
+    whole, parts = of_users(CFG), of_users(replace(CFG, items_per_row=5))
+    assert {u: v[0] for u, v in whole.items()} == {u: v[0] for u, v in parts.items()} and all(len(v[0]) == 1 for v in parts.values())
+    assert max(v[1] for v in parts.values()) > 5 and all(last + 1 == n for _, last, n in parts.values())
+
+
+def long_talk(spark, folder):
+    """Given events, and a conversation of 2,500 turns with its last question at the end of a cell and the reply after it."""
+    d = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{d}/events.parquet").write.parquet(f"{folder}/events.parquet")
+    n = 2 * fixture.TURNS_PER_CELL + 500
+    role = F.when(F.col("id").isin(3, 1_500, 1_999), "user").otherwise("assistant")
+    text = F.when(F.col("id").isin(3, 1_500), "igual").when(F.col("id") == 1_999, "última").otherwise(F.concat(F.lit("b"), "id"))
+    talk = spark.range(n).select(F.lit(9).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    talk.union(spark.createDataFrame([(11, 0, "user", "corta"), (11, 1, "assistant", "sí")], talk.schema)).write.parquet(f"{folder}/conversations.parquet")
+    return str(folder)
+
+
+def test_a_long_conversation_is_one_item(spark, tmp_path):
+    """Its exchange, counts and questions do not hang on the cells its text is put into."""
+    d = long_talk(spark, tmp_path)
+    items, cells = fixture.whole_items(spark, d), fixture.text_cells(spark, d)
+    talk = items.where("resumen IS NOT NULL").orderBy(F.desc("resumen.mensajes")).first()
+    s = talk.resumen
+    assert (s.pregunta, s.respuesta, s.turnos_usuario, s.turnos_bot, s.mensajes, s.con_preguntas) == ("última", "b2000", 3, 2_497, 2_500, True)
+    assert [(r.segmento, r.preguntas) for r in cells.where(F.col("sk") == talk.sk).orderBy("segmento").collect()] == [(0, ["igual"]), (1, ["última"]), (2, [])]
+    open_ = replace(OPEN, items_per_row=2)
+    mine = build_user_table(items, open_, cells=cells).where(F.col("usuario_id") == talk.usuario_id).orderBy("parte").collect()
+    assert {r.numero_conversaciones for r in mine} == {mine[0].numero_conversaciones} and mine[0].numero_conversaciones >= 2_497
+    text = " | ".join(r.conversacion_completa for r in mine if r.conversacion_completa)
+    assert text.count("bot: b") == 2_497 and sum(r.pregunta_conversacion.count("igual") for r in mine) == 1
+    later = [r for r in match_feedback(items, OPEN).where(F.col("usuario_id") == talk.usuario_id).collect() if r.matched and r.item_ts >= talk.item_ts]
+    assert all((r.mensaje_usuario, r.mensaje_bot) == ("última", "b2000") for r in later)
+
+
+@pytest.mark.parametrize("name", ["feedback_asof", "feedback_table", "match_stats", "user_rollup", "user_rollup_latest_feedback", "typed_user_table"])
+def test_queries_on_a_long_conversation(spark, tmp_path, name):
+    d = long_talk(spark, tmp_path)
+    con = duckdb.connect()
+    for t in ("events", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet/*.parquet'")
+    assert difference(queries()[name](spark, d), con, oracle_sql()[name]) is None
+
+
+def test_summary_of_messages_is_that_of_turns(spark, rows):
+    """Row by row or from turns, and the tables are the same either way."""
+    items = frame(spark, rows)
+    spoken = items.where("size(messages) > 0").withColumn("conv_id", F.xxhash64("usuario_id", "sk"))
+    turns = spoken.select("conv_id", F.explode("messages").alias("m")).select("conv_id", "m.turn", "m.role", "m.text")
+    own = spoken.select("conv_id", summary_of(F.col("messages"), OPEN.role_words, OPEN.user_roles, OPEN.reply_roles).alias("resumen"))
+    assert values(own) == values(summaries(turns, OPEN.role_words, OPEN.user_roles, OPEN.reply_roles))
+
+
+def test_feedback_without_user_or_time_is_counted(spark):
+    """Feedback with an empty user id, no user or no time is dropped and counted as such."""
+    rows = [item(u, "FEEDBACK", t, feedback=("like", "c", "o")) for u, t in (("u", at(1)), ("", at(2)), (None, at(3)), ("u", None))]
+    items = frame(spark, rows)
+    assert match_feedback(items, OPEN).count() == 1 and dropped_feedback(items).count() == 3

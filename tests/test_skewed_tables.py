@@ -25,7 +25,7 @@ def skewed(tmp_path_factory):
 
 @pytest.mark.parametrize("name", [
     "user_rollup", "user_rollup_latest_feedback", "run_totals", "feedback_asof", "asof_simple", "last_exchange", "last_exchange_cell",
-    "user_questions", "question_count", "question_coverage", "turn_count_text", "tokens_by_role", "feedback_answers",
+    "feedback_table", "match_stats", "typed_user_table", "user_questions", "question_count", "question_coverage", "turn_count_text", "tokens_by_role", "feedback_answers",
 ])
 def test_skewed(spark, skewed, name):
     result = queries()[name](spark, skewed)
