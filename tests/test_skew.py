@@ -210,3 +210,30 @@ def test_feedback_without_user_or_time_is_counted(spark):
     rows = [item(u, "FEEDBACK", t, feedback=("like", "c", "o")) for u, t in (("u", at(1)), ("", at(2)), (None, at(3)), ("u", None))]
     items = frame(spark, rows)
     assert match_feedback(items, OPEN).count() == 1 and dropped_feedback(items).count() == 3
+
+
+def test_no_text_below_the_window(spark, rows):
+    """What is sorted and windowed are keys, times and numbers; the texts come back by number."""
+    from charlake.operators import asof
+
+    right = spark.createDataFrame([("k", 1, "a", "x" * 50)], "k string, t int, id string, body string")
+    left = spark.createDataFrame([("k", 2, 7, "y" * 50)], "k string, t int, id int, note string")
+    joined = asof_join(left, right, ["k"], "t", ["body"], tie="id", left_tie="id")
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    window = plan[plan.index("Window"):]
+    scans = [line for line in joined._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert any("_payload" not in s and "_row" not in s for s in scans) and "_hit" in window
+    columns = asof._matches(joined.sparkSession.createDataFrame([], "_by0 string, _ts int, _tie string, _side int, _hit long, _any long, _left long"), ["_by0"], 10).columns
+    assert columns == ["_by0", "_ts", "_tie", "_side", "_hit", "_any", "_left", "_last", "_first"]
+    assert joined.first().asDict() == {"k": "k", "t": 2, "id": 7, "note": "y" * 50, "body": "x" * 50, "matched": True}
+
+
+def test_asof_with_any_column_names_and_repeated_rows(spark):
+    """Columns named as the join's own, a payload named as the key's side, rows that are all equal, NULL preference."""
+    names = "_row string, t int, _left int, _right int, _ts int, _payload string, matched int, _hit int, v string"
+    left = spark.createDataFrame([("k", 5, 1, 2, 3, "p", 4, 5, "l")] * 3, names)
+    right = spark.createDataFrame([("k", 4, None, 2, 3, "r", 4, 5, None), ("k", 3, None, 2, 3, "q", 4, 5, "w")] * 2, names)
+    got = asof_join(left, right.withColumnRenamed("_payload", "found"), ["_row"], "t", ["found"], tie="_right", left_tie="_left", prefer=F.col("v") == "w").drop("matched").collect()
+    assert len(got) == 3 and {r["found"] for r in got} == {"q"} and {r["_payload"] for r in got} == {"p"}
+    any_ = asof_join(left.drop("matched"), right.withColumnRenamed("_payload", "found"), ["_row"], "t", ["found"], tie="_right", left_tie="_left", prefer=F.lit(None).cast("boolean"), fallback="oldest").collect()
+    assert [(r["found"], r["matched"]) for r in any_] == [("q", True)] * 3
