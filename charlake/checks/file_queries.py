@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 
 from charlake.catalog.tables import register_parquet, sync_table
 from charlake.checks import sql as S
-from charlake.checks.fixture import CFG, items, iso
+from charlake.checks.fixture import CFG, items, iso, whole_items
 from charlake.checks.registry import query
 from charlake.checks.table_queries import FEEDBACK_TABLES, TYPED, USER_TABLES, users
 from charlake.config import PROFILE_FIELDS
-from charlake.operators.scratch import new_path
+from charlake.operators.scratch import new_path, written
 from charlake.plans import build_feedback_table, render_user_table
 from charlake.schemas import USER_CSV
 from charlake.sources.files import file_inventory, manifest, read_csv, read_evolved, write_csv, write_feedback, write_parquet, write_verified
 from charlake.sources.items import read_items, read_plain_items, read_typed_export
+from charlake.sources.quarantine import ingest_csv
 from charlake.streaming.csv_ingest import start_csv_ingest
+from charlake.streaming.csv_upsert import read_current, start_csv_upsert
 
 _ITEM_ROWS = S.with_(S.EV, S.SEG, S.ITEMS, (
     "sizes AS (SELECT conv_id, segmento, CAST(count(*) AS INTEGER) AS n FROM seg GROUP BY ALL)"
@@ -118,7 +120,7 @@ def csv_roundtrip(spark, d):
     "SELECT count(*) AS filas, 13 AS columnas, true AS filas_iguales, true AS valores_iguales, true AS esquema_igual FROM fbt"
 )))
 def parquet_roundtrip(spark, d):
-    table = build_feedback_table(items(spark, d), CFG)
+    table = build_feedback_table(whole_items(spark, d), CFG)
     return write_verified(table, new_path(spark, "feedback"))
 
 
@@ -155,7 +157,7 @@ def file_inventory_query(spark, d):
 @query("feedback_sink", S.with_(*FEEDBACK_TABLES, select="SELECT feedback, count(*) AS filas FROM fbt GROUP BY feedback"))
 def feedback_sink(spark, d):
     """The feedback table written under its fixed name and read back."""
-    path = write_feedback(build_feedback_table(items(spark, d), CFG), new_path(spark, "feedback"), "both")
+    path = write_feedback(build_feedback_table(whole_items(spark, d), CFG), new_path(spark, "feedback"), "both")
     return spark.read.parquet(path).groupBy("feedback").agg(F.count(F.lit(1)).alias("filas"))
 
 
@@ -166,7 +168,7 @@ def feedback_sink(spark, d):
 def schema_evolution_merge(spark, d):
     """Likes are written with one more column than the rest; both read as one table."""
     columns = ["usuario_id", "fecha", "feedback", "mensaje_usuario"]
-    table = build_feedback_table(items(spark, d), CFG).select(*columns)
+    table = build_feedback_table(whole_items(spark, d), CFG).select(*columns)
     path = new_path(spark, "evolving")
     write_parquet(table.where("feedback <> 'like'"), f"{path}/v=1")
     write_parquet(table.where("feedback = 'like'").withColumn("canal", F.lit("web")), f"{path}/v=2")
@@ -181,7 +183,7 @@ def schema_evolution_merge(spark, d):
 )))
 def catalog_table(spark, d):
     """A catalogue table over a folder that gets files with one more column: altered in place, then read by SQL."""
-    table = build_feedback_table(items(spark, d), CFG).select("usuario_id", "feedback")
+    table = build_feedback_table(whole_items(spark, d), CFG).select("usuario_id", "feedback")
     path, name = new_path(spark, "catalogued"), f"chat_feedback_{uuid.uuid4().hex}"
     write_parquet(table.where("feedback <> 'like'"), path)
     assert sync_table(spark, name, path)["added"] == ["usuario_id", "feedback"]
@@ -205,3 +207,55 @@ def incremental_csv_ingest(spark, d):
     )
 
 
+
+
+_EVEN = "numero_feedback % 2 = 0"
+
+
+def _deliveries(spark, d) -> tuple[str, str]:
+    """All users in an old form with a further part, then those with an even number of feedbacks as they are."""
+    path = new_path(spark, "deliveries")
+    rows = written(render_user_table(users(spark, d), CFG), "delivered")
+    old = rows.withColumn("nombre", F.lit("viejo"))
+    write_csv(old.union(old.where("parte = '0'").withColumn("parte", F.lit("99"))), f"{path}/2024-01-01")
+    return path, written(rows.where(_EVEN), "newer")
+
+
+@query("csv_upsert", S.with_(*USER_TABLES, TYPED, select=(
+    f"SELECT usuario_id, nombre, parte, numero_feedback, token_pregunta FROM typed WHERE coalesce(numero_feedback, 0) % 2 = 0 "
+    f"UNION ALL SELECT usuario_id, 'viejo', parte, numero_feedback, token_pregunta FROM typed WHERE coalesce(numero_feedback, 0) % 2 = 1 "
+    f"UNION ALL SELECT usuario_id, 'viejo', 99, numero_feedback, token_pregunta FROM typed WHERE coalesce(numero_feedback, 0) % 2 = 1 AND parte = 0"
+)))
+def csv_upsert(spark, d):
+    """Two overlapping deliveries through the stream: a user is what the last delivery says, and a third run finds nothing new."""
+    path, newer = _deliveries(spark, d)
+    out, checkpoint = new_path(spark, "upserted"), new_path(spark, "upsert-checkpoint")
+    start_csv_upsert(spark, path, out, checkpoint, CFG).awaitTermination()
+    write_csv(newer, f"{path}/2024-02-01")
+    for _ in range(2):
+        start_csv_upsert(spark, path, out, checkpoint, CFG).awaitTermination()
+    return read_current(spark, out).select("usuario_id", "nombre", "parte", "numero_feedback", "token_pregunta")
+
+
+@query("csv_quarantine", S.with_(*USER_TABLES, select=(
+    "SELECT CASE WHEN numero_feedback % 7 = 6 THEN 'sin usuario' WHEN numero_feedback % 3 = 1 THEN 'valor: numero_conversaciones' "
+    "WHEN conversacion_completa = '' THEN 'sin conversación' ELSE '' END AS motivo, CAST(count(*) AS BIGINT) AS filas FROM users GROUP BY 1 "
+    "UNION ALL SELECT 'mal formado', count(*) FROM users HAVING count(*) > 0"
+)))
+def csv_quarantine(spark, d):
+    """Rows with too few columns, without a user, with an unreadable number or without a conversation are kept apart and counted."""
+    rows = written(render_user_table(users(spark, d), CFG), "delivered")
+    path = new_path(spark, "dirty")
+    given = F.col("numero_feedback").cast("int")
+    write_csv(
+        rows.withColumn("usuario_id", F.when(given % 7 != 6, F.col("usuario_id")))
+        .withColumn("numero_conversaciones", F.when(given % 3 == 1, F.lit("muchas")).otherwise(F.col("numero_conversaciones"))), f"{path}/all"
+    )
+    write_csv(rows.select("usuario_id", "nombre", "gerencia"), f"{path}/short")
+    out, bad = new_path(spark, "typed"), new_path(spark, "quarantine")
+    found = ingest_csv(spark, f"{path}/*", out, bad, CFG)
+    n_typed, n_bad = spark.read.parquet(out).count(), spark.read.parquet(bad).count()
+    sums = dict(found.groupBy((F.col("motivo") == "").alias("typed")).agg(F.sum("filas")).collect())
+    # The counts hold only if the two sinks have as many rows.
+    assert (sums.get(True, 0), sums.get(False, 0)) == (n_typed, n_bad)
+    return found

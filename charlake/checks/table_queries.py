@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from charlake.catalog.tables import FEEDBACK_VIEW, USER_VIEW, register_views
@@ -159,6 +160,24 @@ def typed_user_table(spark, d):
     return type_user_table(render_user_table(users(spark, d), CFG), CFG)
 
 
+# A caller's tokenizer: words between blanks.
+def word_counter():
+    @F.pandas_udf("int")
+    def words(texts: pd.Series) -> pd.Series:
+        return texts.str.count("[^ ]+")
+
+    return words
+
+
+@query("typed_user_table_udf", S.with_(*USER_TABLES, TYPED.replace(S.tokens("m.txt"), "len(regexp_extract_all(m.txt, '[^ ]+'))"), select=(
+    "SELECT usuario_id, parte, token_pregunta, token_respuesta FROM typed"
+)))
+def typed_user_table_udf(spark, d):
+    """Tokens by a caller's pandas UDF in place of the estimate."""
+    typed = type_user_table(render_user_table(users(spark, d), CFG), CFG, word_counter())
+    return typed.select("usuario_id", "parte", "token_pregunta", "token_respuesta")
+
+
 _PER_USER = (
     "per_user AS (SELECT usuario_id, any_value(nombre) AS nombre, any_value(numero_conversaciones) AS numero_conversaciones, any_value(feedback) AS feedback, "
     "bool_or(conversacion_completa <> '') AS con_transcript, bool_or(pregunta_conversacion <> '') AS con_preguntas FROM users GROUP BY usuario_id)"

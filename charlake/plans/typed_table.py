@@ -24,8 +24,8 @@ def type_user_table(
 ) -> DataFrame:
     """Typed columns plus `token_pregunta` and `token_respuesta`; rows without a transcript are dropped.
 
-    A filter and two selects, so it runs in the scan's own stage. `tokenizer` takes a text column
-    and gives its tokens, in place of the estimate. Without a transcript column the token columns are NULL.
+    A filter and two selects, so it runs in the scan's own stage. `tokenizer` gives the tokens of a text in place
+    of the estimate: a function of a column, or a UDF of any scalar kind, which gets the texts of many rows at once. Without a transcript column the token columns are NULL.
     """
     if TRANSCRIPT not in users.columns:
         missing = F.lit(None).cast("int")

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-_CSV = {"header": "true", "quote": '"', "escape": '"', "sep": ","}
+CSV = {"header": "true", "quote": '"', "escape": '"', "sep": ","}
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
     """Quoted CSV with a header. A multi-line file is read by one task; write several, or turn it off."""
-    return spark.read.schema(schema).options(**_CSV, multiLine=str(multi_line).lower()).csv(path)
+    return spark.read.schema(schema).options(**CSV, multiLine=str(multi_line).lower()).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 20_000) -> None:
     """One file per task, split again above `rows_per_file` so that later reads spread out."""
-    df.write.mode("overwrite").options(**_CSV, maxRecordsPerFile=rows_per_file).csv(path)
+    df.write.mode("overwrite").options(**CSV, maxRecordsPerFile=rows_per_file).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
