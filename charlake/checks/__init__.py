@@ -2,6 +2,7 @@
 
 from charlake.checks import (  # noqa: F401  (importing registers the queries)
     aggregate_queries,
+    attribute_queries,
     feedback_queries,
     file_queries,
     join_queries,

@@ -9,6 +9,7 @@ from charlake.functions.dates import parse_timestamp
 from charlake.schemas import ITEMS
 
 REGISTER, CONVERSATION, FEEDBACK = "REGISTER", "CONVERSATION", "FEEDBACK"
+FEEDBACK_FIELDS = ("type", "comment", "option")
 
 
 def read_items(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
@@ -88,9 +89,17 @@ def read_plain_items(spark: SparkSession, path: str) -> DataFrame:
 
 def undecodable(spark: SparkSession, path: str) -> DataFrame:
     """How many lines there are, and how many are no JSON object with a `PK`, wrapped or not, or have an attribute that says nothing."""
-    lines = spark.read.text(path)
-    key = F.coalesce(*[F.get_json_object("value", f"$.{p}PK{t}") for p in ("Item.", "") for t in (".S", "")])
-    return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(key.isNull()).alias("undecodable"))
+    item = F.coalesce(F.get_json_object("value", "$.Item"), F.col("value"))
+    lines = spark.read.text(path).select(item.alias("item"))
+    key = F.coalesce(*[F.get_json_object("item", f"$.PK{t}") for t in (".S", "")])
+    silent = F.lit(False)
+    for name, decode in (("UserData", profile_from_text), ("Conversation", messages_from_text), ("Feedback", feedback_from_text)):
+        value = F.get_json_object("item", f"$.{name}")
+        given = value.isNotNull() & F.get_json_object("item", f"$.{name}.NULL").isNull()
+        found = decode(F.coalesce(*[F.get_json_object("item", f"$.{name}.{t}") for t in _TAGS], value))
+        said = F.size(found) > 0 if name == "Conversation" else F.coalesce(*[found[f] for f in (PROFILE_FIELDS if name == "UserData" else FEEDBACK_FIELDS)]).isNotNull()
+        silent = silent | (given & ~F.coalesce(said, F.lit(False)))
+    return lines.agg(F.count(F.lit(1)).alias("lines"), F.count_if(key.isNull() | silent).alias("undecodable"))
 
 
 def _lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -130,7 +139,7 @@ def profile_from_text(c: Column) -> Column:
 
 def feedback_from_text(c: Column) -> Column:
     """The feedback from a JSON object text, NULL for no feedback."""
-    return F.when(c.isNotNull(), _fields(c, ("type", "comment", "option")))
+    return F.when(c.isNotNull(), _fields(c, FEEDBACK_FIELDS))
 
 
 def messages_from_text(c: Column) -> Column:
