@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from charlake.catalog.tables import register_parquet, sync_table
 from charlake.checks import sql as S
-from charlake.checks.fixture import CFG, items, iso, whole_items
+from charlake.checks.fixture import CFG, items, iso, table, whole_items
 from charlake.checks.registry import query
 from charlake.checks.table_queries import FEEDBACK_TABLES, TYPED, USER_TABLES, users
 from charlake.config import PROFILE_FIELDS
 from charlake.operators.scratch import new_path, written
 from charlake.plans import build_feedback_table, render_user_table
 from charlake.schemas import USER_CSV
+from charlake.sources.evolution import read_widened
 from charlake.sources.files import file_inventory, manifest, read_csv, read_evolved, write_csv, write_feedback, write_parquet, write_verified
 from charlake.sources.items import read_items, read_plain_items, read_typed_export
 from charlake.sources.quarantine import ingest_csv
@@ -188,7 +189,7 @@ def catalog_table(spark, d):
     write_parquet(table.where("feedback <> 'like'"), path)
     assert sync_table(spark, name, path)["added"] == ["usuario_id", "feedback"]
     table.where("feedback = 'like'").withColumn("canal", F.lit("web")).write.mode("append").parquet(path)
-    assert sync_table(spark, name, path) == {"added": ["canal"], "changed": [], "deleted": []}
+    assert sync_table(spark, name, path) == {"added": ["canal"], "changed": [], "deleted": [], "clashing": []}
     return spark.sql(f"SELECT feedback, count(*) AS filas, count(canal) AS con_canal FROM {name} GROUP BY feedback")
 
 
@@ -259,3 +260,28 @@ def csv_quarantine(spark, d):
     # The counts hold only if the two sinks have as many rows.
     assert (sums.get(True, 0), sums.get(False, 0)) == (n_typed, n_bad)
     return found
+
+
+@query("schema_widening", (
+    "SELECT event_id, CAST(user_id AS BIGINT) AS user_id, CAST(value AS DOUBLE) AS value, CASE WHEN event_type = 'click' THEN CAST(event_id % 7 AS VARCHAR) ELSE event_type END AS mark, "
+    "CASE WHEN event_type <> 'click' THEN true END AS flag FROM events"
+))
+def schema_widening(spark, d):
+    """Clicks were written with narrower numbers and a number where others have a text: one table, and the catalogue follows."""
+    rows, path = table(spark, d, "events"), new_path(spark, "widening")
+    clicks = rows.where("event_type = 'click'").select(
+        "event_id", F.col("user_id").cast("int").alias("user_id"), F.col("value").cast("double").alias("value"), (F.col("event_id") % 7).cast("int").alias("mark")
+    )
+    others = rows.where("event_type <> 'click'").select(
+        "event_id", F.col("user_id").cast("long").alias("user_id"), F.col("value").cast("double").alias("value"), F.col("event_type").alias("mark"), F.lit(True).alias("flag")
+    )
+    name = f"chat_events_{uuid.uuid4().hex}"
+    write_parquet(clicks, f"{path}/v=1")
+    sync_table(spark, name, f"{path}/v=1")
+    write_parquet(others, f"{path}/v=2")
+    found, evolution = read_widened(spark, f"{path}/v=1", f"{path}/v=2")
+    assert evolution.widened == {"user_id": ("bigint", "int")} and evolution.clashes == {"mark": ("int", "string")}
+    others.drop("mark").write.mode("append").parquet(f"{path}/v=1")
+    assert sync_table(spark, name, f"{path}/v=1") == {"added": ["flag"], "changed": ["user_id"], "deleted": [], "clashing": []}
+    assert spark.table(name).agg(F.count("user_id")).first()[0] == found.count()
+    return found
