@@ -104,10 +104,10 @@ class ChatConfig:
     max_message_chars: int | None = None  # whole messages
     zero_as_null: bool = True
 
-    # A cell of text holds at most this many items; further ones go on in the user's next row.
-    # An item is at most 400 KB in the store, so a cell stays below 200 MB.
+    # A cell of text holds at most this many items, and these bytes and one item more; further ones go on in the user's next row.
     items_per_row: int = 500
     answers_per_row: int = 10_000
+    bytes_per_row: int = 1 << 27
     # A user with more rows than this is matched in time slices, not in one task.
     rows_per_window: int = 1_000_000
 

@@ -41,6 +41,12 @@ def render_messages(messages: Column, role_words: Mapping[str, str]) -> Column:
     return F.coalesce(F.array_join(lines, MESSAGE_SEPARATOR), F.lit(""))
 
 
+def text_bytes(messages: Column) -> Column:
+    """Bytes of the rendered messages, or a little more; 0 for none."""
+    sizes = F.transform(messages, lambda m: F.coalesce(F.octet_length(m["role"]), F.lit(0)) + F.coalesce(F.octet_length(m["text"]), F.lit(0)) + 8)
+    return F.coalesce(F.aggregate(sizes, F.lit(0).cast("long"), lambda total, n: total + n), F.lit(0))
+
+
 def texts_of(messages: Column, role: str, role_words: Mapping[str, str]) -> Column:
     """The non-empty texts of one role, in turn order."""
     mine = F.filter(messages, lambda m: canonical_role(m["role"], role_words) == role)

@@ -29,12 +29,13 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame | None, int]:
-    """The keys with more than `limit` rows and how many rows they have together; (None, 0) if there are none.
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int, weight: Column | None = None) -> tuple[DataFrame | None, int]:
+    """The keys with more than `limit` rows (or weight) and how many rows they have together; (None, 0) if there are none.
 
     The list comes to the driver only up to `MAX_BROADCAST_KEYS` keys; a longer one stays a frame.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    total = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), total.alias("_w")).where(F.col("_w") > limit).drop("_w")
     found = counts.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not found:
         return None, 0
@@ -44,9 +45,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame
     return counts.drop("_n"), counts.agg(F.sum("_n")).first()[0]
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None, int]:
+def split_hot(df: DataFrame, keys: Sequence[str], limit: int, weight: Column | None = None) -> tuple[DataFrame, DataFrame | None, int]:
     """Rows of the small keys, rows of the large keys or None, and the slices the large ones need."""
-    hot, rows = hot_keys(df.select(*keys), keys, limit)
+    hot, rows = hot_keys(df, keys, limit, weight)
     if hot is None:
         return df, None, 0
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -67,15 +68,19 @@ def _earlier(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def with_ordinal(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Number each key's rows from 0 in the slices' order: rank in the slice plus the earlier slices' rows."""
-    sizes = sliced.groupBy(*keys, SLICE).count()
-    starts = sizes.select(*keys, SLICE, F.coalesce(F.sum("count").over(_earlier(keys)), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order))
+def with_ordinal(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, weight: Column | None = None) -> DataFrame:
+    """Number each key's rows from 0 in the slices' order, or give the weight of the rows before each.
+
+    A row's number is what its slice has before it plus what the key's earlier slices have.
+    """
+    weighed = sliced.withColumn("_weight", F.lit(1).cast("long") if weight is None else weight.cast("long"))
+    sizes = weighed.groupBy(*keys, SLICE).agg(F.sum("_weight").alias("_all"))
+    starts = sizes.select(*keys, SLICE, F.coalesce(F.sum("_all").over(_earlier(keys)), F.lit(0)).alias("_start"))
+    before = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        join_on(sliced.withColumn("_rank", rank), starts, [*keys, SLICE])
-        .withColumn(name, F.col("_start") + F.col("_rank") - 1)
-        .drop("_start", "_rank", SLICE)
+        join_on(weighed.withColumn("_before", F.coalesce(F.sum("_weight").over(before), F.lit(0))), starts, [*keys, SLICE])
+        .withColumn(name, F.col("_start") + F.col("_before"))
+        .drop("_start", "_before", "_weight", SLICE)
     )
 
 

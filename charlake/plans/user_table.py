@@ -11,6 +11,7 @@ from charlake.functions.text import blank_to_empty, drop_parenthesis, empty_to,
 from charlake.operators.aggregates import first_non_blank
 from charlake.operators.joins import join_latest
 from charlake.operators.parts import by_parts
+from charlake.operators.scratch import written
 from charlake.schemas import ITEMS
 from charlake.sources.items import CONVERSATION, FEEDBACK, REGISTER, holds_kind
 
@@ -167,7 +168,7 @@ def _answers(items: DataFrame, cfg: ChatConfig) -> DataFrame:
         ordered = F.array_sort(F.collect_list(F.struct("orden", *ORDER, "valor")))
         return rows.groupBy(*group).agg(F.array_join(F.transform(ordered, lambda e: e["valor"]), MESSAGE_SEPARATOR).alias("respuesta_feedback"))
 
-    return by_parts(first, ["usuario_id"], ["orden", *ORDER], cfg.answers_per_row, PART, build)
+    return by_parts(first, ["usuario_id"], ["orden", *ORDER], cfg.answers_per_row, PART, build, size=F.octet_length("valor"), bytes_per_part=cfg.bytes_per_row)
 
 
 def _build_each_once(items: DataFrame, cfg: ChatConfig, cells: DataFrame | None) -> DataFrame:
@@ -180,9 +181,12 @@ def _build_each_once(items: DataFrame, cfg: ChatConfig, cells: DataFrame | None)
             F.when(F.col("es_feedback"), _feedback_text()).alias("feedback_text"),
         ), group)
 
-    # Rows without any text have no place in a cell, so no part is empty.
+    # Rows without any text have no place in a cell, so no part is empty. They are written once, to be weighed and then put together.
     spoken = entries(_known(_text_rows(items, cells)), cfg).where(F.col("es_feedback") | (F.size("messages") > 0))
-    texts = by_parts(spoken, ["usuario_id"], PLACE, cfg.items_per_row, PART, build)
+    columns = ("usuario_id", *PLACE, "es_feedback", "messages", *FEEDBACK_FIELDS, *(() if cells is None else ("preguntas",)))
+    size = tr.text_bytes(F.col("messages")) + F.when(F.col("es_feedback"), F.octet_length(_feedback_text())).otherwise(0)
+    spoken = written(spoken.select(*columns, size.alias("_bytes")), "texts")
+    texts = by_parts(spoken, ["usuario_id"], PLACE, cfg.items_per_row, PART, build, size=F.col("_bytes"), bytes_per_part=cfg.bytes_per_row)
     parts = texts.join(_answers(items, cfg), ["usuario_id", PART], "full")
     return user_values(items, cfg).select(*_VALUES).join(parts, "usuario_id", "left")
 
@@ -215,7 +219,9 @@ def _build_latest_on_each(items: DataFrame, cfg: ChatConfig, cells: DataFrame |
         "usuario_id", *PLACE, *(() if cells is None else ("preguntas",)), _transcript(cfg),
         F.when(said & (F.col("segmento") == 0), _feedback_text()).alias("feedback_text"),
     ).where((F.col("transcript") != "") | F.col("feedback_text").isNotNull())
-    texts = by_parts(spoken, ["usuario_id"], PLACE, cfg.items_per_row, PART, build)
+    size = F.octet_length("transcript") + F.coalesce(F.octet_length("feedback_text"), F.lit(0))
+    spoken = written(spoken.withColumn("_bytes", size), "texts")
+    texts = by_parts(spoken, ["usuario_id"], PLACE, cfg.items_per_row, PART, build, size=F.col("_bytes"), bytes_per_part=cfg.bytes_per_row)
     return values.select(*_VALUES, "respuesta_feedback").join(texts, "usuario_id", "left")
 
 

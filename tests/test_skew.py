@@ -237,3 +237,36 @@ def test_asof_with_any_column_names_and_repeated_rows(spark):
     assert len(got) == 3 and {r["found"] for r in got} == {"q"} and {r["_payload"] for r in got} == {"p"}
     any_ = asof_join(left.drop("matched"), right.withColumnRenamed("_payload", "found"), ["_row"], "t", ["found"], tie="_right", left_tie="_left", prefer=F.lit(None).cast("boolean"), fallback="oldest").collect()
     assert [(r["found"], r["matched"]) for r in any_] == [("q", True)] * 3
+
+
+@pytest.mark.parametrize("feedback", ["each_once", "latest_on_each"])
+def test_cells_by_bytes(spark, feedback):
+    """Items of 400 KB: no cell is above its limit and one item more, parts have no gap and are the whole together."""
+    rows = [item("u", "CONVERSATION", at(i), messages=[("user", f"p{i:03d} " + "x" * 400_000), ("bot", f"r{i}")]) for i in range(20)]
+    rows += [item("u", "CONVERSATION", at(100), messages=[("user", "y" * 3_000_000)]), item("u", "FEEDBACK", at(200), feedback=("like", "bien", "o"))]
+    rows += [item("v", "CONVERSATION", at(i), messages=[("user", f"corta {i}")]) for i in range(30)]
+    limit = 1_600_000
+    items = frame(spark, rows)
+    whole = {r.usuario_id: r for r in build_user_table(items, OPEN, feedback=feedback).collect()}
+    parts = {}
+    for r in build_user_table(items, replace(OPEN, bytes_per_row=limit), feedback=feedback).collect():
+        parts.setdefault(r.usuario_id, []).append(r)
+    assert len(parts["v"]) == 1 and len(parts["u"]) >= 6
+    mine = sorted(parts["u"], key=lambda r: r.parte)
+    assert [r.parte for r in mine] == list(range(len(mine)))
+    assert all(len(r.conversacion_completa) <= limit + 400_100 for r in mine if "y" * 100 not in r.conversacion_completa)
+    for column in ("conversacion_completa", "feedback_total", "pregunta_conversacion"):
+        assert " || ".join(r[column] for r in mine if r[column]) == whole["u"][column]
+    assert {r.numero_conversaciones for r in mine} == {21}
+
+
+def test_weights_run_on_over_slices(spark):
+    """The weight before each row, in slices, is a plain running sum."""
+    rows = [("a" if i % 3 else "b", i * 7919 % 1000, i, i % 11) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k string, t int, id int, w int")
+    got = {(r.k, r.id): r.n for r in with_ordinal(skew.in_slices(df, ["k"], ["t", "id"], 8), ["k"], ["t", "id"], "n", F.col("w")).collect()}
+    for key in "ab":
+        total = 0
+        for _, i, w in sorted((t, i, w) for k, t, i, w in rows if k == key):
+            assert got[key, i] == total
+            total += w
