@@ -16,7 +16,7 @@ from charlake.operators.scratch import new_path, written
 from charlake.plans import build_feedback_table, render_user_table
 from charlake.schemas import USER_CSV
 from charlake.sources.evolution import read_widened
-from charlake.sources.files import file_inventory, manifest, read_csv, read_evolved, write_csv, write_feedback, write_parquet, write_verified
+from charlake.sources.files import file_inventory, manifest, read_csv, read_evolved, write_csv, write_feedback, write_manifests, write_parquet, write_verified
 from charlake.sources.items import read_items, read_plain_items, read_typed_export
 from charlake.sources.quarantine import ingest_csv
 from charlake.streaming.csv_ingest import start_csv_ingest
@@ -144,6 +144,25 @@ def output_manifest(spark, d):
     ])
 
 
+@query("manifest_parts", S.with_(*USER_TABLES, select="SELECT true AS todos_listados, true AS una_vez, true AS acotados, true AS en_indice, count(*) AS filas FROM users"))
+def manifest_parts(spark, d):
+    """Manifests of at most four files each: their URIs are the inventory, each once, and the index counts them."""
+    path, out = new_path(spark, "users-csv"), new_path(spark, "manifests")
+    write_csv(render_user_table(users(spark, d), CFG), path, rows_per_file=10)
+    index = write_manifests(spark, path, out, files_per_manifest=4)
+    doc = F.from_json("value", "fileLocations array<struct<URIs:array<string>>>")
+    listed = spark.read.text(f"{out}/manifests", wholetext=True).select("numero", F.explode(doc["fileLocations"][0]["URIs"]).alias("uri"))
+    sizes = listed.groupBy("numero").agg(F.count(F.lit(1)).alias("n")).join(index, "numero")
+    kept = file_inventory(spark, path).select("uri").join(listed, "uri", "full")
+    rows = read_csv(spark, path, USER_CSV).agg(F.count(F.lit(1)).alias("filas"))
+    parts = [
+        kept.agg(F.bool_and(F.col("numero").isNotNull()).alias("todos_listados"), (F.count(F.lit(1)) == F.countDistinct("uri")).alias("una_vez")),
+        sizes.agg(F.bool_and(F.col("n") <= 4).alias("acotados"), F.bool_and(F.col("n") == F.col("archivos")).alias("en_indice")), rows,
+    ]
+    together = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    return together.agg(*[F.max(c).alias(c) for c in ("todos_listados", "una_vez", "acotados", "en_indice", "filas")])
+
+
 @query("file_inventory", S.with_(*USER_TABLES, select="SELECT 'csv' AS extension, count(*) AS filas, CAST(0 AS BIGINT) AS vacios FROM users"))
 def file_inventory_query(spark, d):
     """The rows of all listed files together. File names differ from run to run."""

@@ -14,6 +14,7 @@ from charlake.functions.text import blank_to_empty, drop_parenthesis, matches_an
 from charlake.functions.tokens import estimate_tokens, quarter_tokens
 from charlake.functions.transcripts import canonical_role, infer_question
 from charlake.operators.reports import sample_rows
+from charlake.operators.rules import with_inferred_question
 from charlake.operators.shape import enforce_columns, typed_columns
 from charlake.plans.user_table import clean_profile, with_default_city
 from charlake.schemas import TYPED_SCALAR
@@ -222,6 +223,21 @@ def infer_question_rules(spark, d):
     return replies.select("conv_id", "turn", infer_question(F.col("text"), _RULES).alias("pregunta"))
 
 
+@query("infer_question_table", (
+    "WITH rules AS (SELECT item_id AS prioridad, lower(regexp_extract(text, '([A-Za-z]{4})[^A-Za-z]*$', 1)) AS patron FROM benchmark), "
+    "good AS (SELECT * FROM rules WHERE patron <> ''), "
+    "hits AS (SELECT c.conv_id, c.turn, min(g.prioridad) AS p FROM conversations c JOIN good g ON contains(lower(c.text), g.patron) WHERE c.role = 'assistant' GROUP BY ALL) "
+    "SELECT c.conv_id, CAST(c.turn AS INTEGER) AS turn, CASE WHEN length(trim(c.text)) >= 10 THEN 'regla ' || h.p END AS pregunta "
+    "FROM conversations c LEFT JOIN hits h ON h.conv_id = c.conv_id AND h.turn = c.turn WHERE c.role = 'assistant'"
+))
+def infer_question_table(spark, d):
+    """Rules from a table, one for each benchmark item: the end of its last word."""
+    word = F.lower(F.regexp_extract("text", "([A-Za-z]{4})[^A-Za-z]*$", 1))
+    rules = table(spark, d, "benchmark").select(F.col("item_id").alias("prioridad"), F.nullif(word, F.lit("")).alias("patron"), F.concat(F.lit("regla "), F.col("item_id").cast("string")).alias("pregunta"))
+    replies = turns(spark, d).where(F.col("role") == "assistant")
+    return with_inferred_question(replies, "text", rules).select("conv_id", "turn", "pregunta")
+
+
 @query("token_estimate", f"SELECT doc_id, {S.tokens('text')} AS tokens FROM documents")
 def token_estimate(spark, d):
     return table(spark, d, "documents").select("doc_id", estimate_tokens(F.col("text")).alias("tokens"))

@@ -72,6 +72,9 @@ USER_TABLE_TYPES = {
     "feedback": "feedback", "respuesta_feedback": "answer", "parte": "number",
 }
 
+# Question rules that may come as a table.
+MAX_RULES = 10_000
+
 FEEDBACK_CLASSES = ("like", "dislike", "mixed")
 
 # --- Settings ---------------------------------------------------------------

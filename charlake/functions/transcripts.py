@@ -181,6 +181,41 @@ def infer_question(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return let(F.lower(c), first_match)
 
 
+# A character no text holds (private use); it is no letter, digit or blank.
+_FILLER = "\ue000"
+
+
+def rule_number(text: Column, patterns: Sequence[str]) -> Column:
+    """The number from 1 of the first pattern that is found in the text, 0 for none: one expression for any number of patterns.
+
+    The text gets a filler in front. The alternatives are tried in order; each looks for its pattern behind the filler and
+    then takes as many filler characters as its number, so the match's length names the rule. A pattern may begin
+    with `^`; other signs for the text's beginning are not known in it.
+    """
+    if not patterns:
+        return F.lit(0)
+    n = len(patterns)
+
+    def alternative(i: int, pattern: str) -> str:
+        found = f"(?<={_FILLER})(?:{pattern[1:]})" if pattern.startswith("^") else f"(?s:.*?)(?:{pattern})"
+        return f"(?={_FILLER}{{{n}}}{found}){_FILLER}{{{i}}}"
+
+    together = "|".join(alternative(i, p) for i, p in enumerate(patterns, 1))
+    padded = F.concat(F.lit(_FILLER * n), F.replace(text, F.lit(_FILLER), F.lit("")))
+    return F.length(F.regexp_extract(padded, f"(?U)\\A(?:{together})", 0))
+
+
+def infer_question_of_many(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """As `infer_question`, for rules that come as a table: the plan does not grow with their number."""
+    labels = F.array(*[F.lit(label) for _, label in rules]) if rules else F.array(F.lit(None).cast("string"))
+
+    def first_match(text: Column) -> Column:
+        found = let(rule_number(text, [p for p, _ in rules]), lambda n: F.when(n > 0, F.get(labels, n - 1)))
+        return F.when(F.length(strip(text)) >= 10, found)
+
+    return let(F.lower(c), first_match)
+
+
 def _questions_of_dialogue(dialogue: Column) -> Column:
     segments = F.transform(F.split(dialogue, r" \| "), strip)
     asked = F.filter(segments, lambda s: F.lower(s).startswith("user:"))

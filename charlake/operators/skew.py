@@ -24,6 +24,8 @@ SLICE = "_slice"
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal keys, where NULL equals NULL as it does in a group-by."""
+    if not keys:
+        raise ValueError("a join needs keys")
     other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     same = [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys]
     return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])

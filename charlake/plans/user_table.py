@@ -243,8 +243,11 @@ def build_user_table(items: DataFrame, cfg: ChatConfig = ChatConfig(), feedback:
     """
     if feedback not in ("each_once", "latest_on_each"):
         raise ValueError(f"unknown feedback mode: {feedback}")
-    if cells is not None and "resumen" not in items.columns:
-        raise ValueError("items need a resumen where their messages are in cells")
+    if cells is not None:
+        if "resumen" not in items.columns:
+            raise ValueError("items need a resumen where their messages are in cells")
+        # Without their messages items are narrow; they are worked out once for values, answers and texts.
+        items = written(items.select("*"), "items")
     rows = (_build_each_once if feedback == "each_once" else _build_latest_on_each)(items, cfg, cells)
     texts = ("conversacion_completa", "feedback_total", "pregunta_conversacion", "respuesta_feedback")
     filled = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in texts} | {PART: F.coalesce(PART, F.lit(0))})

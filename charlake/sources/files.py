@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from charlake.operators.scratch import written
+from charlake.operators.skew import in_slices, with_ordinal
+
 CSV = {"header": "true", "quote": '"', "escape": '"', "sep": ","}
 
 
@@ -76,14 +79,36 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*.csv") -> DataF
     )
 
 
+def _document() -> Column:
+    """An import manifest of a group's files."""
+    listed = F.array(F.struct(F.array_sort(F.collect_list("uri")).alias("URIs")))
+    settings = F.struct(F.lit("CSV").alias("format"), F.lit("true").alias("containsHeader"))
+    return F.to_json(F.struct(listed.alias("fileLocations"), settings.alias("globalUploadSettings"))).alias("manifest")
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The import manifest of the CSV files as one JSON document. An error if there are none."""
+    """The import manifest of the CSV files as one JSON document, for folders of few files. An error if there are none."""
     files = file_inventory(spark, path)
     if files.isEmpty():
         raise ValueError(f"no CSV files in {path}")
-    listed = F.array(F.struct(F.array_sort(F.collect_list("uri")).alias("URIs")))
-    settings = F.struct(F.lit("CSV").alias("format"), F.lit("true").alias("containsHeader"))
-    return files.agg(
-        F.count(F.lit(1)).alias("archivos"),
-        F.to_json(F.struct(listed.alias("fileLocations"), settings.alias("globalUploadSettings"))).alias("manifest"),
-    )
+    return files.agg(F.count(F.lit(1)).alias("archivos"), _document())
+
+
+def write_manifests(spark: SparkSession, path: str, out_dir: str, files_per_manifest: int = 1_000) -> DataFrame:
+    """Import manifests of bounded size, one JSON file each below `out_dir/manifests`, and their index, also written there.
+
+    Files are taken in the order of their URIs, numbered in range slices, so no task sees all of them. The index has
+    a row per manifest: numero, archivos, bytes, primero and ultimo (URIs). An error if there are no files.
+    """
+    files = file_inventory(spark, path)
+    if files.isEmpty():
+        raise ValueError(f"no CSV files in {path}")
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = with_ordinal(in_slices(files.select("uri", "bytes"), [], ["uri"], slices), [], ["uri"], "_place")
+    rows = ordered.withColumn("numero", F.call_function("div", F.col("_place"), F.lit(files_per_manifest).cast("long")))
+    made = written(rows.groupBy("numero").agg(
+        F.count(F.lit(1)).alias("archivos"), F.sum("bytes").alias("bytes"), F.min("uri").alias("primero"), F.max("uri").alias("ultimo"), _document(),
+    ), "manifests")
+    made.select("numero", "manifest").write.mode("overwrite").partitionBy("numero").text(f"{out_dir}/manifests")
+    made.drop("manifest").write.mode("overwrite").json(f"{out_dir}/index")
+    return made.drop("manifest")
