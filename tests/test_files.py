@@ -137,7 +137,7 @@ def test_manifests_in_pieces(spark, tmp_path):
     """Exact pieces in the order of the URIs; an empty folder is an error."""
     from charlake.sources.files import file_inventory, write_manifests
 
-    spark.range(23).repartition(23).write.option("header", True).csv(str(tmp_path / "csv"))
+    spark.range(0, 23, 1, 23).write.option("header", True).csv(str(tmp_path / "csv"))
     index = {r.numero: r for r in write_manifests(spark, str(tmp_path / "csv"), str(tmp_path / "out"), 5).collect()}
     uris = sorted(r.uri for r in file_inventory(spark, str(tmp_path / "csv")).collect())
     assert [index[i].archivos for i in range(5)] == [5, 5, 5, 5, 3] and len(index) == 5 and len(uris) == 23
