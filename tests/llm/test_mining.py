@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from charlake.llm import language, phrases, ranking
 from charlake.llm.registry import QUERIES, ship
-from tests.llm.rows import DOCS, EXTRA, documents, empty, odd_documents, prose
+from tests.llm.rows import EXTRA, documents, empty, odd_documents, prose
 
 CLASH = EXTRA + ", f long, w1 string, flags int, item int, _item long, terms string, rank int, lang_pred string, luck long, slice string, place int, level long, held_out int"
 
@@ -242,7 +242,3 @@ def test_schema(spark, name):
         "op13_ball_tree": "item_id bigint, rank int, doc_id bigint, score bigint",
     }
     assert ", ".join(f"{c} {t}" for c, t in QUERIES[name](spark, "/root/testdata/sf0.001").dtypes) == want[name]
-
-
-def test_tables_of_documents_only(spark):
-    assert set(DOCS.split(", ")) >= {"doc_id long", "text string", "lang string"}
