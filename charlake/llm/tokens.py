@@ -3,7 +3,8 @@
 Both vocabularies cut a text before they merge anything: the byte-level one always cuts before a space
 that a non-space follows, the word one at all white space. So ids of a text are the ids of its pieces
 between those cuts, one after another, and a piece seen before need not be encoded again. Texts where
-that rule does not plainly hold (a space before white space, control separators) are encoded whole.
+that rule does not plainly hold (a space before white space, control separators, the vocabulary's own marks such as
+an end of text) are encoded whole, by the library's defaults.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        # Strings the vocabulary has whole, whatever stands around them.
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = kind
         # What is put between pieces that are encoded together; it must come out as one id that no piece has.
         self.mark = "\n" if kind == "bytes" else "7"
@@ -82,6 +84,8 @@ class Encoder:
         self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
 
     def _pieces(self, text: str) -> list[str] | None:
+        if any(s in text for s in self.special):
+            return None
         if self.kind == "words":
             return None if _ODD_SEPARATORS.search(text) else text.split()
         if _SPACE_THEN_WHITE.search(text) or "\0" in text:

@@ -188,7 +188,6 @@ def plain_ids(text, name, end):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary(name))
-    tokenizer.encode_special_tokens = True
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
@@ -491,3 +490,15 @@ def test_slices_and_whole_groups():
     assert list(slices([3, 3, 9, 1, 1], 5)) == [(0, 1), (1, 2), (2, 3), (3, 5)] and list(slices([])) == []
     frames = [pd.DataFrame({"k": k}) for k in ([1, 1, 2], [2, 2], [2, 3], [], [4])]
     assert [f["k"].tolist() for f in whole_groups(iter(frames), ["k"])] == [[1, 1], [2, 2, 2, 2], [3], [4]]
+
+
+@pytest.mark.parametrize("name,kind", [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "bytes")])
+def test_marks_of_the_vocabulary(name, kind):
+    """Strings the vocabulary has whole, alone, inside words and between blanks, as an untouched tokenizer gives them."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary(name)
+    plain, mine = Tokenizer.from_file(path), Encoder(path, kind)
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b", "<|endoftext|>", "<|endoftext|>\n<|endoftext|> x", "<|startoftext|> the end", "< |endoftext|>", "<|ENDOFTEXT|>", "the end of text", "a <|endof text|>"]
+    for found, text in zip(mine.encode(texts * 2), texts * 2, strict=True):
+        assert found.tolist() == plain.encode(text, add_special_tokens=False).ids, text
