@@ -214,9 +214,8 @@ def line_sets(text):
     out = {}
     for no, line in enumerate((text or "").split("\n")):
         line = line.strip(" \t\r")
-        if len(line) >= fz.LEAST_CHARS:
-            w = fz.WIDTH
-            out[no] = line, {line[i : i + w] for i in range(len(line)) if line[i] != " " and (i == 0 or line[i - 1] == " " or (i >= w and " " not in line[i - w : i]))}
+        if line:
+            out[no] = line, {line[i : i + fz.CHARS] for i in range(max(len(line) - fz.CHARS, 0) + 1)}
     return out
 
 
