@@ -7,8 +7,8 @@ not - and a clause's score sums what was emitted. A document's sums go through a
 weights are fitted as well, so how much a negation takes away is measured, not assumed.
 
 Learning uses labelled rows only, at most `TOXIC_ROWS` and `CLEAN_ROWS` of them, drawn by a hash of doc_id;
-rows with crc32(doc_id) mod 4 = 2 are never used. The lexicon comes from three quarters of these rows and the
-scope weights from the rest. A lexicon entry occurs in `LEAST_SHARE` of the toxic rows at least, so
+rows with crc32(doc_id) mod 4 = 2 are never used. The lexicon comes from all of these rows; the
+scope weights from each of `PARTS` parts in turn, seen through the lexicon of the other parts, so a part may lack a class. A lexicon entry occurs in `LEAST_SHARE` of the toxic rows at least, so
 there are at most (words in a toxic text) / LEAST_SHARE entries however large the tables are. Scoring reads
 whole texts where they lie, without a shuffle. Without toxic or clean labels every score is 0.
 
@@ -19,7 +19,7 @@ never labelled. Equal rows are all scored. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,10 +30,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from charlake.llm.common import slices
 from charlake.llm.registry import query, table
+from charlake.operators.scratch import written
 
 # Bounds of the labelled sample.
 TOXIC_ROWS = 20_000
 CLEAN_ROWS = 40_000
+PARTS = 4
 # A lexicon entry: how common among toxic rows, in how many at least, and how much more likely there.
 LEAST_SHARE, LEAST_ROWS, LEAST_WEIGHT, MOST_WEIGHT = 0.002, 4, 3.0, 8.0
 BEGINNINGS = (4, 5, 6)
@@ -196,55 +198,64 @@ def held_out() -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """text, toxic, part (0 to 3) of the labelled sample, equal texts once. The sample's ids are bounded, so they are broadcast."""
+    """text, toxic, part (0 to 3) of the labelled sample, equal texts once, toxic if one of them is. The sample's ids are bounded, so they are broadcast."""
     usable = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     luck = F.xxhash64(F.col("doc_id").cast("long"))
     toxic = usable.where("toxic = 1").orderBy(luck, "doc_id").limit(TOXIC_ROWS)
     clean = usable.where("toxic = 0").orderBy(luck, "doc_id").limit(CLEAN_ROWS)
     rows = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(toxic.union(clean)), "doc_id")
-    return rows.select("text", "toxic", F.pmod(F.xxhash64("text"), F.lit(4)).alias("part")).dropDuplicates(["text"])
+    return rows.select("text", "toxic", F.pmod(F.xxhash64("text"), F.lit(PARTS)).alias("part")).groupBy("text", "part").agg(F.max("toxic").alias("toxic"))
 
 
-def learn_lexicon(rows: DataFrame) -> dict[str, float]:
-    """Words and beginnings with the log odds of standing in toxic texts."""
+def learn_lexicons(rows: DataFrame) -> list[dict[str, float]]:
+    """Words and beginnings with the log odds of standing in toxic texts: of all rows but a part's for each part, then of all rows."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts, toxic = frame["text"].tolist(), frame["toxic"].tolist()
+            texts, cells = frame["text"].tolist(), (2 * frame["part"] + frame["toxic"]).tolist()
             for a, b in slices([len(t) for t in texts]):
-                counts: tuple[Counter, Counter] = (Counter(), Counter())
-                for text, y in zip(texts[a:b], toxic[a:b], strict=True):
-                    words = set(_WORD.findall(text.lower()))
-                    counts[y].update({k for w in words for k in beginnings(w)})
-                    counts[y][""] += 1  # the number of texts
-                keys = list(counts[0].keys() | counts[1].keys())
-                yield pd.DataFrame({"key": keys, "toxic": [counts[1][k] for k in keys], "clean": [counts[0][k] for k in keys]})
-
-    sums = rows.mapInPandas(run, "key string, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-    totals = rows.agg(F.sum(F.col("toxic")), F.sum(1 - F.col("toxic"))).first()
-    t_all, c_all = totals[0] or 0, totals[1] or 0
-    if not t_all or not c_all:
-        return {}
-    weight = F.log((F.col("t") + 0.5) / (t_all + 1)) - F.log((F.col("c") + 0.5) / (c_all + 1))
-    found = sums.where(F.col("key") != "").where(F.col("t") >= max(LEAST_ROWS, LEAST_SHARE * t_all)).select("key", weight.alias("w")).where(F.col("w") >= LEAST_WEIGHT)
-    return {r["key"]: min(r["w"], MOST_WEIGHT) for r in found.collect()}
+                counts: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(2 * PARTS, np.int64))
+                for text, cell in zip(texts[a:b], cells[a:b], strict=True):
+                    for key in {"", *(k for w in set(_WORD.findall(text.lower())) for k in beginnings(w))}:  # "": the number of texts
+                        counts[key][cell] += 1
+                table_ = pd.DataFrame(list(counts.values()), columns=cells_)
+                table_.insert(0, "key", list(counts))
+                yield table_
+
+    cells_ = [f"n{i}" for i in range(2 * PARTS)]
+    sums = rows.mapInPandas(run, "key string, " + ", ".join(f"{n} long" for n in cells_)).groupBy("key").agg(*[F.sum(n).alias(n) for n in cells_])
+    sums = written(sums, "toxic-words")
+    totals = sums.where("key = ''").first()
+    weights = []
+    for out in range(PARTS + 1):
+        used = [p for p in range(PARTS) if p != out]
+        t, c = (sum((F.col(f"n{2 * p + y}") for p in used), F.lit(0)) for y in (1, 0))
+        t_all, c_all = (sum(totals[f"n{2 * p + y}"] for p in used) if totals else 0 for y in (1, 0))
+        weight = F.log((t + 0.5) / (t_all + 1)) - F.log((c + 0.5) / (c_all + 1))
+        enough = t >= max(LEAST_ROWS, LEAST_SHARE * t_all)
+        weights.append(F.when(enough & (weight >= LEAST_WEIGHT), F.least(weight, F.lit(float(MOST_WEIGHT)))) if t_all and c_all else F.lit(None).cast("double"))
+    found = sums.where("key <> ''").select("key", *[w.alias(f"w{i}") for i, w in enumerate(weights)])
+    found = found.where(F.coalesce(*[F.col(f"w{i}") for i in range(PARTS + 1)]).isNotNull()).collect()
+    return [{r["key"]: r[f"w{i}"] for r in found if r[f"w{i}"] is not None} for i in range(PARTS + 1)]
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
-    rows = training_rows(docs, labels, text)
-    lexicon = learn_lexicon(rows.where("part < 3"))
+    """The lexicon of all rows, and scope weights from each part's texts under the lexicon of the others, so that none is weighed by words it taught."""
+    rows = written(training_rows(docs, labels, text), "toxic-rows")
+    *without, lexicon = learn_lexicons(rows)
     names = [f"f{i}" for i in range(len(FEATURES))]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lookup = Lookup(lexicon)
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for a, b in slices([len(t) for t in texts]):
-                yield pd.DataFrame(features(texts[a:b], lookup), columns=names).assign(toxic=frame["toxic"].iloc[a:b].to_numpy())
+        lookups = [Lookup(words) for words in without]
+        for whole in frames:
+            for part, frame in whole.groupby("part"):
+                texts = frame["text"].tolist()
+                for a, b in slices([len(t) for t in texts]):
+                    yield pd.DataFrame(features(texts[a:b], lookups[int(part)]), columns=names).assign(toxic=frame["toxic"].iloc[a:b].to_numpy())
 
     # A few numbers for each row of the bounded sample.
-    table_ = rows.where("part = 3").mapInPandas(run, ", ".join(f"{n} double" for n in names) + ", toxic int").toPandas()
-    if not lexicon or table_["toxic"].nunique() < 2:
+    table_ = rows.mapInPandas(run, ", ".join(f"{n} double" for n in names) + ", toxic int").toPandas()
+    if table_["toxic"].nunique() < 2:
         return Model(lexicon, ())
     return Model(lexicon, tuple(fit(table_[names].to_numpy(), table_["toxic"].to_numpy(float))))
 
