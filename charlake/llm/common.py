@@ -42,16 +42,27 @@ def sendable(keys: DataFrame, name: str) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= MAX_SENT else keys
 
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written once, with numbers of their own from 0 in `_row`."""
-    rows = written(df.withColumn("_row", F.monotonically_increasing_id()), name)
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as it takes to be no column of the frame's, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered(df: DataFrame, name: str, row: str) -> DataFrame:
+    """The rows, written once, with numbers of their own from 0 in the new column `row`."""
+    rows = written(df.withColumn(row, F.monotonically_increasing_id()), name)
     # The upper bits are the partition's number: what the partitions before it hold takes their place.
-    part = F.shiftright("_row", 33)
+    part = F.shiftright(row, 33)
     starts, total = [], 0
-    for row in rows.groupBy(part.alias("part")).count().orderBy("part").collect():
-        starts += [total] * (row["part"] + 1 - len(starts))
-        total += row["count"]
-    return rows.withColumn("_row", F.get(long_array(starts), part.cast("int")) + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)))
+    for found in rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():
+        starts += [total] * (found["part"] + 1 - len(starts))
+        total += found["n"]
+    return rows.withColumn(row, F.get(long_array(starts), part.cast("int")) + F.col(row).bitwiseAND(F.lit((1 << 33) - 1)))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "components") -> DataFrame:

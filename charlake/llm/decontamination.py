@@ -9,8 +9,8 @@ The items are the stated query set. They are taken in blocks of bounded size; ea
 tasks and held against all documents, whole, where they lie. Nothing is shuffled and no pairs are made but
 the matches themselves.
 
-Items with fewer than `LEAST_CHARS` characters in words (NULL ones too) are in too many texts to tell anything and match
-nothing. NULL text: empty. NULL ids and equal rows are kept as they are. Empty tables give an empty result. Other
+Items with fewer than `LEAST_CHARS` characters in words have no edits to spare: they are found as they are, as whole
+words. Items without a word (NULL ones too) match nothing. NULL text: empty. NULL ids and equal rows are kept as they are. Empty tables give an empty result. Other
 columns do not matter.
 """
 
@@ -25,7 +25,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from charlake.llm.common import numbered, sendable, slices
+from charlake.llm.common import numbered, sendable, slices, unused
 from charlake.llm.registry import query, table
 
 ERROR_RATE = 0.08
@@ -120,6 +120,11 @@ class Searcher:
         found = []
         for number, starts in begins.items():
             item = self.items[number]
+            if len(item.text) < LEAST_CHARS:
+                at = min((s for s in starts if _in_whole_words(text, s, s + len(item.text))), default=None)
+                if at is not None:
+                    found.append((number, 0, at, at + len(item.text)))
+                continue
             exact = text.find(item.text) if any(text.startswith(item.text, s) for s in starts if s >= 0) else -1
             match = (0, exact, exact + len(item.text)) if exact >= 0 else self._near(text, number, sorted(starts))
             if match:
@@ -149,6 +154,10 @@ class Searcher:
         return best
 
 
+def _in_whole_words(text: str, start: int, end: int) -> bool:
+    return (start == 0 or text[start - 1] == " ") and (end == len(text) or text[end] == " ")
+
+
 def _original(text: str, start: int, end: int) -> tuple[int, int]:
     """Code points of the original text that a passage of its normal form covers, in whole words."""
     at, first, last = 0, None, 0
@@ -169,8 +178,8 @@ def items_in_blocks(benchmark: DataFrame, text: str = "text", rate: float = ERRO
     block, size = [], 0
     for row in benchmark.select(F.col("item_id").cast("long"), F.col(text).alias("text")).where(F.col(text).isNotNull()).toLocalIterator():
         item = normal(row["text"])
-        if len(item) >= LEAST_CHARS:
-            block.append(Item(row["item_id"], item, budget(len(item), rate)))
+        if item:
+            block.append(Item(row["item_id"], item, budget(len(item), rate) if len(item) >= LEAST_CHARS else 0))
             size += len(item)
             if size >= BLOCK_CHARS:
                 yield block
@@ -204,10 +213,11 @@ def _search(items: list[Item]):
 
 def clean_of(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any item, each told apart by a row number of its own."""
-    rows = numbered(docs, "decontamination-docs")
-    found = contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark)
-    found = sendable(found.select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
-    return rows.join(found, "_row", "left_anti").select(*docs.columns)
+    (row,) = unused(docs, "_row")
+    rows = numbered(docs, "decontamination-docs", row)
+    found = contaminated(rows.select(F.col(row).alias("doc_id"), "text"), benchmark)
+    found = sendable(found.select(F.col("doc_id").alias(row)).distinct(), "contaminated")
+    return rows.join(found, row, "left_anti").select(*docs.columns)
 
 
 @query("op3_edit_matching")

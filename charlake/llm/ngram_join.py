@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from charlake.llm.common import components, same_rows, sendable, slices, whole_groups
+from charlake.llm.common import components, numbered, same_rows, sendable, slices, unused, whole_groups
 from charlake.llm.registry import query, table
 from charlake.operators.scratch import written
 
@@ -267,11 +267,11 @@ def _counted_links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": node[at[:, 0]], "other": pd.array(node[at[:, 1]], "Int64"), "links": 0})
 
 
-def similar_texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, node (number of its text), class_id (smallest doc_id of the texts linked to each other), n_links (other texts it is linked to), n_copies (other rows of the same text)."""
+def _text_classes(docs: DataFrame, text: str, *further: str) -> DataFrame:
+    """doc_id, further columns, node, root (the smallest node of the class), class_id, n_links, n_copies."""
     body = F.coalesce(F.col(text), F.lit(""))
-    source = docs.select("doc_id", body.alias("text"), text_key(F.col(text)).alias("node"))
-    keys = written(source.select("doc_id", "node"), "join-keys")
+    source = docs.select("doc_id", *further, body.alias("text"), text_key(F.col(text)).alias("node"))
+    keys = written(source.select("doc_id", *further, "node"), "join-keys")
     rows = source.select("node", "text").mapInArrow(_signature_rows, "node long, bands array<long>, sig binary")
     texts = written(rows.groupBy("node").agg(F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig")), "signatures")
 
@@ -297,21 +297,26 @@ def similar_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     of_text = of_text.join(classes, "node", "left").join(links, "node", "left")
     of_text = of_text.withColumn("root", F.coalesce("root", "node"))
     named = of_text.groupBy("root").agg(F.min("least").alias("class_id"))
-    result = of_text.join(named, "root").select("node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("rows") - 1).alias("n_copies"))
-    return keys.join(result, "node").select("doc_id", "node", "class_id", "n_links", "n_copies")
+    result = of_text.join(named, "root").select("node", "root", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.col("rows") - 1).alias("n_copies"))
+    return keys.join(result, "node").select("doc_id", *further, "node", "root", "class_id", "n_links", "n_copies")
+
+
+def similar_texts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, node (number of its text), class_id (smallest doc_id of the texts linked to each other), n_links (other texts it is linked to), n_copies (other rows of the same text)."""
+    return _text_classes(docs, text).drop("root")
 
 
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The document with the smallest doc_id of each class, once if its row is repeated; a class without a doc_id stays whole."""
-    found = written(similar_texts(docs, text), "join-classes")
-    named = found.select(F.col("doc_id").alias("_doc"), F.col("node").alias("_node"), "class_id")
-    gone = sendable(named.where("class_id IS NOT NULL AND NOT (_doc <=> class_id)").select("_doc", "_node").distinct(), "join-gone")
-    repeated = sendable(named.where("_doc IS NOT NULL").groupBy("_doc", "_node").count().where("count > 1").select("_doc", "_node"), "join-repeated")
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (text_key(F.col(text)) == F.col("_node"))
-    kept = docs.join(gone, same, "left_anti")
-    if repeated.isEmpty():
-        return kept
-    return kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", text]))
+    """The row with the smallest doc_id of each class, the first of several with that doc_id, or with none."""
+    (row,) = unused(docs, "_row")
+    docs = numbered(docs, "join-docs", row)
+    plain = docs.select("doc_id", F.col(row).alias("_row"), F.col(text).alias("text"))
+    found = written(_text_classes(plain, "text", "_row").select("doc_id", "_row", "root"), "join-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = found.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = sendable(first.select("root", F.col("first._row").alias("kept")), "join-kept")
+    gone = sendable(found.join(first, "root").where("_row <> kept").select(F.col("_row").alias(row)), "join-gone")
+    return docs.join(gone, row, "left_anti").drop(row)
 
 
 _SQL = f"""

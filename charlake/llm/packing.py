@@ -8,7 +8,8 @@ by how much of it the block's examples ask for. A block is a bounded number of r
 holds, so blocks are packed side by side, and a block leaves about one sequence badly filled.
 
 NULL text: empty, so the end id alone. NULL doc_id and equal rows: packed like others. An empty table
-gives an empty result. Other columns do not matter. An example over a limit by itself raises an error.
+gives an empty result. Other columns stay, but for
+`sequence_id` and `offset`, which are the result's. An example over a limit by itself raises an error.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from charlake.llm.common import slices
+from charlake.llm.common import slices, unused
 from charlake.llm.registry import query, table
 from charlake.llm.tokens import encoder, vocabulary
 from charlake.operators.scratch import written
@@ -86,23 +87,24 @@ def pack(examples: DataFrame, limits: dict[str, int], block_rows: int = BLOCK_RO
 
     `limits` gives a limit for each demand column; the first one counts the tokens. NULL demands count as 0.
     """
-    rows = written(examples.withColumn("_row", F.monotonically_increasing_id()), "packing")
+    row, of_block, *needs = unused(examples, "_row", "_block", *(f"_need_{i}" for i in range(len(limits))))
+    rows = written(examples.withColumn(row, F.monotonically_increasing_id()), "packing")
     blocks = max(1, -(-rows.count() // block_rows))
     fields = [f for f in examples.schema if f.name not in ("sequence_id", "offset")]
-    names, needs = [f.name for f in fields], [f"_need_{i}" for i in range(len(limits))]
+    names = [f.name for f in fields]
 
     def run(block: pa.Table) -> pa.Table:
-        block = block.sort_by("_row")
+        block = block.sort_by(row)
         demands = np.column_stack([block.column(c).to_numpy() for c in needs])
         bins = pack_vectors(demands, list(limits.values()))
-        ids = _FIRST_PACKED + (block.column("_block")[0].as_py() << 24) + bins
+        ids = _FIRST_PACKED + (block.column(of_block)[0].as_py() << 24) + bins
         before = pd.Series(demands[:, 0]).groupby(bins).cumsum().to_numpy() - demands[:, 0]
         return block.select(names).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(before))
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "sequence_id long, offset long"])
     demand = [F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(n) for c, n in zip(limits, needs, strict=True)]
-    placed = rows.select(*names, *demand, "_row", F.pmod(F.xxhash64("_row"), F.lit(blocks)).alias("_block"))
-    return placed.groupBy("_block").applyInArrow(run, schema)
+    placed = rows.select(*names, *demand, row, F.pmod(F.xxhash64(row), F.lit(blocks)).alias(of_block))
+    return placed.groupBy(of_block).applyInArrow(run, schema)
 
 
 def pack_documents(docs: DataFrame, path: str, kind: str = "words", end_id: int = 1, capacity: int = CAPACITY, max_segments: int = MAX_SEGMENTS, max_loss: int | None = None, text: str = "text") -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from charlake.llm.common import unused
 from charlake.llm.registry import query, table
 
 # Pattern for each kind, as the engine's expressions (possessive, so no text makes them slow)
@@ -141,12 +142,13 @@ def with_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     base = F.concat(*[spans_of(k, body) for k in BASE])
     more = F.concat(*[spans_of(k, body) for k in MORE])
+    (further,) = unused(docs, "_more")
     free = F.filter(
-        F.col("_more"),
+        F.col(further),
         lambda m: (m["score"] >= KEEP) & ~F.exists(F.col("_pii"), lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
     )
-    found = docs.withColumns({"_pii": base, "_more": F.filter(more, lambda s: s["score"] >= KEEP)})
-    return found.withColumn("_pii", F.when(F.size("_more") == 0, F.col("_pii")).otherwise(F.concat("_pii", free))).drop("_more")
+    found = docs.withColumns({"_pii": base, further: F.filter(more, lambda s: s["score"] >= KEEP)})
+    return found.withColumn("_pii", F.when(F.size(further) == 0, F.col("_pii")).otherwise(F.concat("_pii", free))).drop(further)
 
 
 def masked(docs: DataFrame, text: str = "text") -> DataFrame:

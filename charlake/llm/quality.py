@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from charlake.llm.common import slices
+from charlake.llm.common import slices, unused
 from charlake.llm.registry import query, table
 
 # Fixed values of the rules.
@@ -128,16 +128,17 @@ def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     names = [f.split()[0] for f in _SCHEMA.split(", ")]
     docs = docs.drop(*[c for c in (*_RESULTS, "base_failed", "kept") if c != text])
     at = docs.columns.index(text)
+    inner = unused(docs, *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             for a, b in slices([len(t) for t in texts]):
                 fresh = pa.RecordBatch.from_pandas(_rows(texts[a:b]), preserve_index=False)
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *fresh.columns], [*batch.schema.names, *names])
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, *fresh.columns], [*batch.schema.names, *inner])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), _SCHEMA])
-    rows = docs.mapInArrow(run, schema).withColumnsRenamed({n: n.removeprefix("_") for n in names})
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *(f"{i} {f.split()[1]}" for i, f in zip(inner, _SCHEMA.split(", "), strict=True))])
+    rows = docs.mapInArrow(run, schema).withColumnsRenamed({i: n.removeprefix("_") for i, n in zip(inner, names, strict=True)})
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEATED_PERCENT)
     return rows.withColumn("base_failed", failed).withColumn(
         "kept", ~failed & (F.col("lost_chars") * 100 <= F.col("word_chars") * LOST_PERCENT)

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from charlake.llm import decontamination as dec, fuzzy_lines as fz, ngram_join as nj, packing as pk, pii, quality as ql, sharding as sh, toxicity as tx, warc
 from charlake.llm.common import components, slices, whole_groups
 from charlake.llm.registry import ship
-from charlake.llm.token_files import read_documents, read_tokens, write_tokens
+from charlake.llm import tokens
+from charlake.llm.token_files import read_documents, read_tokens, task_number, write_tokens
 from charlake.llm.tokens import Encoder, vocabulary
-from tests.llm.rows import documents, empty, odd_documents, prose
+from tests.llm.rows import INNER, documents, empty, odd_documents, prose
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -65,6 +66,16 @@ def test_pii_mask(spark):
     assert row["text"] == "mail <email> or <ip>!"
 
 
+def test_pii_odd(spark, odd):
+    report = pii.pii_report(odd)
+    assert report.count() == odd.count() and report.where("doc_id IS NULL").count() == 2
+    assert report.where("doc_id = 0").first()["spans"] == "" and report.where("doc_id = 4").count() == 3
+    assert pii.pii_report(empty(spark)).count() == 0 and pii.masked(empty(spark)).columns == empty(spark).columns
+    docs = spark.createDataFrame([(1, "mail x@y.zz, SSN 123-45-6789", 5, 6)], "doc_id long, text string, _more long, _MORE_ long")
+    row = pii.masked(docs).first()
+    assert row.asDict() == {"doc_id": 1, "text": "mail <email>, SSN <ssn>", "_more": 5, "_MORE_": 6}
+
+
 # Shards
 
 
@@ -147,6 +158,13 @@ def test_items_in_several_blocks(spark, monkeypatch):
     assert sorted(map(tuple, dec.contaminated(docs, bench).collect())) == one and len(one) == 2
 
 
+def test_short_items_are_found_as_whole_words(spark):
+    bench = spark.createDataFrame([(1, "Red fox!"), (2, "..."), (3, "fox")], "item_id long, text string")
+    docs = documents(spark, ["a red  FOX ran", "a red foxes ran", "fox", "bored fox", "redfox"])
+    got = sorted((r["doc_id"], r["item_id"], r["distance"], r["start"], r["end"]) for r in dec.contaminated(docs, bench).collect())
+    assert got == [(0, 1, 0, 2, 10), (0, 3, 0, 7, 10), (2, 3, 0, 0, 3), (3, 3, 0, 6, 9)]
+
+
 def test_decontamination_odd(spark, odd):
     bench = spark.createDataFrame([(None, prose(2, 60)), (1, None)], "item_id long, text string")
     assert [(r["doc_id"], r["item_id"]) for r in dec.contaminated(odd, bench).collect()] == [(6, None)]
@@ -172,6 +190,33 @@ def test_pack_vectors_refuses_what_fits_nowhere():
         pk.pack_vectors(np.array([[51, 1, 1]]), [50, 3, 20])
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 50), st.just(1), st.integers(0, 20)), min_size=1, max_size=40))
+def test_pack_vectors_against_a_plain_packer(demands):
+    limits, n = [50, 6, 20], len(demands)
+    weights = [sum(d[k] / limits[k] for d in demands) / n for k in range(3)]
+    left, bins, now = list(range(n)), {}, 0
+    while left:
+        rest = list(limits)
+        while fits := [i for i in left if all(demands[i][k] <= rest[k] for k in range(3))]:
+            pull = {i: sum(demands[i][k] / limits[k] * weights[k] * rest[k] / limits[k] for k in range(3)) for i in fits}
+            best = next(i for i in fits if pull[i] >= max(pull.values()) - 1e-12)
+            bins[best] = now
+            left.remove(best)
+            rest = [r - d for r, d in zip(rest, demands[best], strict=True)]
+        now += 1
+    mine = pk.pack_vectors(np.array(demands), limits)
+    # The order inside a sequence may differ where pulls are equal but for rounding, not how full sequences are.
+    assert abs(int(mine.max()) + 1 - now) <= 1 and sorted(bins) == list(range(n))
+
+
+def test_little_padding(spark):
+    luck = random.Random(8)
+    rows = spark.createDataFrame([(i, luck.randint(1, 900)) for i in range(3_000)], "doc_id long, tokens long")
+    packed = pk.pack(rows, {"tokens": 2_048}).toPandas()
+    assert packed["tokens"].sum() / (packed["sequence_id"].nunique() * 2_048) > 0.98
+
+
 def test_dot_product_mixes_demands():
     # Half want tokens, half want loss; a packing by tokens alone would need more sequences.
     demands = np.array([[40, 1, 2]] * 20 + [[10, 1, 18]] * 20)
@@ -407,6 +452,14 @@ def test_join_odd(spark, odd):
     assert nj.similar_texts(empty(spark)).count() == 0 and nj.one_of_each(empty(spark)).count() == 0
 
 
+def test_one_row_of_each_class_without_ids(spark):
+    a, b = prose(1, 80), prose(2, 80)
+    near = a.replace("a", "o", 1)
+    docs = spark.createDataFrame([(None, a), (None, near), (None, a), (None, b), (3, b), (3, b + " end"), (4, b)], "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in nj.one_of_each(docs).collect()]
+    assert len(kept) == 2 and {k for k, _ in kept} == {None, 3}
+
+
 def test_pruning_bounds():
     least = nj.least_equal()
     assert least[16] < least[96] and least[96] / 96 < nj.THRESHOLD
@@ -429,6 +482,14 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.read_archives(warc.write_archives(pages.where("false"), f"file://{tmp_path}/none")).count() == 0
 
 
+def test_archives_of_repeated_rows_and_clashing_columns(spark, tmp_path):
+    body = "<p>" + "x" * 900 + "</p>"
+    rows = [(7, "u", body, 1, "s"), (7, "u", body, 2, "t"), (3, None, body, None, None), (1, "u", None, 1, "s")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, sha1 int, body string")
+    got = sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.read_archives(warc.write_archives(pages, f"file://{tmp_path}/again")).collect())
+    assert got == [(1, "response", None), (3, "revisit", 7), (7, "response", None), (7, "response", None)]
+
+
 def test_broken_archives_are_refused():
     import io
 
@@ -454,6 +515,23 @@ def test_encoder_gives_the_tokenizers_ids(name, kind):
         assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize(("name", "kind"), [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
+def test_encoder_forgets(monkeypatch, name, kind):
+    monkeypatch.setattr(tokens, "REMEMBERED", 60)
+    coder, luck = Encoder(vocabulary(name), kind), random.Random(2)
+    for _ in range(40):
+        texts = [prose(luck.randrange(200), 15) + " the The THE ÄÖ" for _ in range(3)]
+        for text, ids in zip(texts, coder.encode(texts), strict=True):
+            assert ids.tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(coder.codes) < 60 + 3 * 100 and len(coder.starts) == len(coder.lengths) == len(coder.met) == len(coder.codes)
+
+
+def test_files_follow_by_number(spark):
+    names = ["part-100000-a-c000.orc", "part-99999-a-c000.orc", "part-00007-a-c000.orc"]
+    rows = spark.createDataFrame([(n,) for n in names], "f string").orderBy(task_number(F.col("f"))).collect()
+    assert [r["f"] for r in rows] == names[::-1]
+
+
 def test_token_files_round_trip(spark, odd, tmp_path):
     folder = str(tmp_path / "tokens")
     write_tokens(odd, folder, vocabulary("byte_bpe_50k.json"), "bytes", 0)
@@ -477,6 +555,16 @@ def test_token_files_round_trip(spark, odd, tmp_path):
 # Shared helpers
 
 
+def test_columns_with_inner_names_keep_their_values(spark, odd):
+    own = {r["doc_id"]: [r[c] for c in INNER] for r in odd.where("doc_id IS NOT NULL").collect()}
+    bench = spark.createDataFrame([(1, prose(2, 60))], "item_id long, text string")
+    packed = pk.pack(odd.withColumn("tokens", F.lit(5)), {"tokens": 20})
+    results = [fz.without_fuzzy_lines(odd), nj.one_of_each(odd), dec.clean_of(odd, bench), ql.with_quality(odd), ql.clean_documents(odd), pii.with_pii(odd), pii.masked(odd), packed]
+    for result in results:
+        rows = result.where("doc_id IS NOT NULL").collect()
+        assert rows and all([r[c] for c in INNER] == own[r["doc_id"]] for r in rows)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 200), (200, 150), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
