@@ -4,18 +4,20 @@ Both vocabularies cut a text before they merge anything: the byte-level one alwa
 that a non-space follows, the word one at all white space. So ids of a text are the ids of its pieces
 between those cuts, one after another, and a piece seen before need not be encoded again. Texts where
 that rule does not plainly hold (a space before white space, control separators, the vocabulary's own marks such as
-an end of text) are encoded whole, by the library's defaults.
+an end of text) are encoded whole, by the library's defaults. The word vocabulary lowers all letters, so words are looked
+up with A-Z lowered.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
 from itertools import chain
 
 import numpy as np
 
-# Pieces a worker remembers between texts, and pieces encoded in one call.
+# Pieces a worker remembers between texts (beyond it, the half met most often stays), and pieces encoded in one call.
 REMEMBERED = 500_000
 AT_ONCE = 256
 
@@ -40,6 +42,7 @@ class Encoder:
     """ids of texts with one vocabulary file; `kind` is "bytes" or "words", as the file cuts its texts."""
 
     def __init__(self, path: str, kind: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -50,12 +53,22 @@ class Encoder:
         self.mark = "\n" if kind == "bytes" else "7"
         self.between = "\n" if kind == "bytes" else " 7 "
         (self.mark_id,) = self._whole([self.mark])[0]
-        self._forget()
+        self.codes = _Codes()
+        self.starts, self.lengths, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self.ids = np.zeros(0, np.uint32)
 
     def _forget(self) -> None:
+        """Pieces met again since the last time stay, the half met most often at most."""
+        kept = np.sort(np.argsort(-self.met, kind="stable")[: REMEMBERED // 2])
+        kept = kept[self.met[kept] > 1]
+        pieces = list(self.codes)
         self.codes = _Codes()
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.codes.update((pieces[k], i) for i, k in enumerate(kept.tolist()))
+        starts, self.lengths = self.starts[kept], self.lengths[kept]
+        ends = np.cumsum(self.lengths)
+        self.starts = ends - self.lengths
+        self.ids = self.ids[np.arange(self.lengths.sum()) + np.repeat(starts - self.starts, self.lengths)]
+        self.met = np.zeros(len(kept), np.int64)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -82,8 +95,11 @@ class Encoder:
             size += len(ids)
         self.ids = np.concatenate(found)
         self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
+        self.met = np.concatenate([self.met, np.zeros(len(pieces), np.int64)])
 
     def _pieces(self, text: str) -> list[str] | None:
+        if self.kind == "words":
+            text = text.encode().lower().decode()  # A-Z alone
         if any(s in text for s in self.special):
             return None
         if self.kind == "words":
@@ -105,6 +121,7 @@ class Encoder:
         if self.codes.new:
             new, self.codes.new = self.codes.new, []
             self._learn(new)
+        self.met += np.bincount(codes, minlength=len(self.met))
         lengths = self.lengths[codes]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
