@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from charlake.llm.common import sendable
 from charlake.llm.registry import query, table
 from charlake.operators.scratch import new_path, written
 
@@ -84,9 +85,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     body = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), body.alias("body"), F.sha1(body).alias("sha1"))
     shared = F.octet_length("body") >= LEAST_SHARED
-    # Digests alone are summed up; only those that several pages share come back to the pages.
+    # Digests alone are summed up; only those that several pages share come back to the pages. A list of them that is
+    # short enough is sent to where the pages lie, so that no body moves and a hot payload stays spread.
     last = rows.where(shared).groupBy("sha1").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    joined = rows.join(last, "sha1", "left")
+    joined = rows.join(sendable(last, "shared-payloads"), "sha1", "left")
     response = F.when(shared & ~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
     joined = joined.select("page_id", "url", "body", response.alias("response"))
 
