@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Shuffle files go at the end of a query while this is set.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Folders made for local sessions that name none, by application.
 _made: dict[str, str] = {}
@@ -30,7 +32,16 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame written once as Parquet and read back, so that every later use sees the same rows."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The frame written once as Parquet and read back, so that every later use sees the same rows.
+
+    The shuffle files of the write go at its end: nothing reads them again, as the rows are in the shared folder.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
