@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter
@@ -17,6 +18,7 @@ from charlake.llm.registry import ship
 from charlake.llm import tokens
 from charlake.llm.token_files import read_documents, read_tokens, task_number, write_tokens
 from charlake.llm.tokens import Encoder, vocabulary
+from charlake.operators.scratch import scratch_root
 from tests.llm.rows import INNER, documents, empty, odd_documents, prose
 
 
@@ -300,6 +302,48 @@ def test_fuzzy_lines_against_all_pairs(spark):
         assert kept.get(d, "") in (left, "")
 
 
+def test_fuzzy_lines_delete_superseded_tables(spark):
+    before = set(os.listdir(scratch_root(spark)))
+    lines = [prose(i, 25) for i in range(4)]
+    texts = [line.replace(" ", f" {i}", 1) for line in lines for i in range(5)] + lines
+    kept = fz.without_fuzzy_lines(documents(spark, texts))
+    left = Counter(name.rsplit("-", 1)[0] for name in set(os.listdir(scratch_root(spark))) - before)
+    gone = {f"line-{name}" for name in "signatures entries buckets texts pairs near leads links".split()}
+    assert not gone & left.keys() and left["lines"] == 2 and left["line-docs"] == 1
+    assert kept.count() == 4
+
+
+def test_fuzzy_lines_whose_sizes_are_not_near(spark):
+    """Longer and longer lines share buckets with ones that they cannot be linked to, and links among the others are found."""
+    whole = prose(7, 60)
+    lines = [whole[: 60 + 20 * i] for i in range(16)]
+    lines += [line[:-9] + "?!" for line in lines]
+    sets = [s for _, s in line_sets("\n".join(lines)).values()]
+    group = list(range(len(lines)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if len(x & y) / len(x | y) >= fz.SIMILARITY:
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    rows = fz.line_report(documents(spark, lines)).collect()
+    assert {r["doc_id"] for r in rows if r["n_removed"]} == {i for i, g in enumerate(group) if g != i} and 1 < len(set(group)) < len(lines)
+
+
+def test_no_similarity_is_worked_out_for_sizes_that_are_not_near(spark, monkeypatch):
+    asked, compared = [], fz._compared
+
+    def noted(pairs, texts):
+        asked.append(pairs.count())
+        return compared(pairs, texts)
+
+    monkeypatch.setattr(fz, "_compared", noted)
+    # All hashes of the shorter line are in the longer one: 22 and 29 shingles, with a run of four in common.
+    short = "abcdefghijklmnopqrstuvwxyz"
+    assert fz.line_report(documents(spark, [short, short + "0123456"])).where("n_removed > 0").isEmpty()
+    shared = fz.signatures(spark.createDataFrame([(1, short), (2, short + "0123456")], "h long, line string"))
+    assert shared.select(F.explode("bands").alias("key")).groupBy("key").count().where("count > 1").count() > 0
+    assert asked == [0]
+
+
 def test_fuzzy_lines_odd(spark, odd):
     report = fz.line_report(odd)
     assert report.count() == odd.count()
