@@ -99,16 +99,17 @@ def write_manifests(spark: SparkSession, path: str, out_dir: str, files_per_mani
 
     Files are taken in the order of their URIs, numbered in range slices, so no task sees all of them. The index has
     a row per manifest: numero, archivos, bytes, primero and ultimo (URIs). An error if there are no files.
+    The files are asked for their sizes once, and many tasks write the manifests, as each is a file to be made.
     """
-    files = file_inventory(spark, path)
+    files = written(file_inventory(spark, path).select("uri", "bytes"), "inventory")
     if files.isEmpty():
         raise ValueError(f"no CSV files in {path}")
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = with_ordinal(in_slices(files.select("uri", "bytes"), [], ["uri"], slices), [], ["uri"], "_place")
+    ordered = with_ordinal(in_slices(files, [], ["uri"], slices), [], ["uri"], "_place")
     rows = ordered.withColumn("numero", F.call_function("div", F.col("_place"), F.lit(files_per_manifest).cast("long")))
     made = written(rows.groupBy("numero").agg(
         F.count(F.lit(1)).alias("archivos"), F.sum("bytes").alias("bytes"), F.min("uri").alias("primero"), F.max("uri").alias("ultimo"), _document(),
     ), "manifests")
-    made.select("numero", "manifest").write.mode("overwrite").partitionBy("numero").text(f"{out_dir}/manifests")
+    made.select("numero", "manifest").repartition(slices, "numero").write.mode("overwrite").partitionBy("numero").text(f"{out_dir}/manifests")
     made.drop("manifest").write.mode("overwrite").json(f"{out_dir}/index")
     return made.drop("manifest")

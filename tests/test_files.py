@@ -145,3 +145,13 @@ def test_manifests_in_pieces(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(ValueError, match="no CSV files"):
         write_manifests(spark, str(tmp_path / "empty"), str(tmp_path / "none"))
+
+
+def test_many_tasks_write_manifests(spark, tmp_path):
+    from charlake.sources.files import write_manifests
+
+    spark.range(0, 64, 1, 64).write.option("header", True).csv(str(tmp_path / "csv"))
+    index = write_manifests(spark, str(tmp_path / "csv"), str(tmp_path / "out"), 2).collect()
+    made = list((tmp_path / "out" / "manifests").glob("numero=*/part-*"))
+    assert len(index) == len(made) == 32 and sum(r.archivos for r in index) == 64
+    assert len({p.name.split("-")[1] for p in made}) > 2
