@@ -344,6 +344,28 @@ def test_no_similarity_is_worked_out_for_sizes_that_are_not_near(spark, monkeypa
     assert asked == [0]
 
 
+def test_lines_alike_by_chance_share_few_bands(spark):
+    """Of a million pairs with a similarity of about 0.06, next to none become candidates, as their number grows with the square of the lines."""
+    luck = random.Random(5)
+    lines = [(i, "".join(luck.choices("abcd", k=130))) for i in range(1_500)]
+    keys = fz.signatures(spark.createDataFrame(lines, "h long, line string").repartition(2)).select("h", F.explode("bands").alias("key"))
+    assert keys.groupBy("key").agg(F.count_distinct("h").alias("n")).where("n > 1").count() < 8
+
+
+def test_near_lines_of_any_length_share_a_band(spark):
+    luck = random.Random(6)
+    pairs = []
+    for i in range(600):
+        line = "".join(luck.choices("abcdefghijklmnopqrstuvwxyz", k=luck.randint(5, 110)))
+        pairs.append((2 * i, line))
+        # A quarter more shingles at the end leave a similarity of 0.8 or more.
+        n = max(len(line) - 4, 1)
+        pairs.append((2 * i + 1, line + "".join(luck.choices("0123456789", k=n // 4)) if len(line) >= 9 else line))
+    keys = fz.signatures(spark.createDataFrame(pairs, "h long, line string").repartition(2)).select("h", F.explode("bands").alias("key"))
+    found = keys.groupBy("key", F.floor(F.col("h") / 2).alias("pair")).agg(F.count_distinct("h").alias("n")).where("n > 1").select("pair").distinct().count()
+    assert found >= 599
+
+
 def test_fuzzy_lines_odd(spark, odd):
     report = fz.line_report(odd)
     assert report.count() == odd.count()
