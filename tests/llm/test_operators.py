@@ -313,6 +313,20 @@ def test_fuzzy_lines_delete_superseded_tables(spark):
     assert kept.count() == 4
 
 
+def test_fuzzy_lines_compare_a_pair_in_one_bucket(spark):
+    """Two lines that share buckets 1 and 2 are compared in bucket 1 only: what its first line rules out is not counted again in 2."""
+    lines = {h: prose(3, 20) + f" {h}" for h in (10, 11, 12)}
+    texts = spark.createDataFrame(list(lines.items()), "h long, line string")
+
+    def found(js):
+        rows = [(key, 5, h, 100, j[h], h, True) for key, j in js.items() for h in j]
+        return sorted(map(tuple, fz._other_links(spark.createDataFrame(rows, "key long, first long, h long, n int, j double, root long, apart boolean"), texts).collect()))
+
+    apart, near = {10: 0.1, 11: 0.7}, {10: 0.5, 11: 0.6}
+    assert found({1: apart, 2: near}) == [] and found({1: near, 2: apart}) == [(10, 11)]
+    assert found({1: near, 2: near | {12: 0.5}}) == [(10, 11), (10, 12), (11, 12)]
+
+
 def test_fuzzy_lines_whose_sizes_are_not_near(spark):
     """Longer and longer lines share buckets with ones that they cannot be linked to, and links among the others are found."""
     whole = prose(7, 60)
