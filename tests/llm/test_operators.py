@@ -358,6 +358,46 @@ def test_no_similarity_is_worked_out_for_sizes_that_are_not_near(spark, monkeypa
     assert asked == [0]
 
 
+def lines_of_a_family(n, changed):
+    """A line n times, each with so many of its words replaced by ones of its own."""
+    luck, out = random.Random(3), []
+    for i in range(n):
+        words = prose(11, 60).split()
+        for at in luck.sample(range(60), changed):
+            words[at] = f"{luck.randrange(10**8):08d}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_bits_rule_out_far_lines_only(spark):
+    """No pair of 0.8 or more is ruled out, whatever the lines, and pairs that are far below are."""
+    luck = random.Random(8)
+    lines = [line for changed in (2, 4, 6, 12) for line in lines_of_a_family(12, changed)] + ["abcd" * 60, "abcd" * 600, "", "a", "今日は良い天気です。", "x" * 30_000]
+    lines += ["".join(luck.choices("abcdefgh ", k=9_000)) + "#" * luck.randint(0, 2_000) for _ in range(4)]
+    sets = [{line[i : i + fz.CHARS] for i in range(max(len(line) - fz.CHARS, 0) + 1)} for line in lines]
+    marks = fz._marks(spark.createDataFrame([*enumerate(lines)], "h long, line string"))
+    pairs = [(a, b, len(sets[a]) + len(sets[b])) for b in range(len(lines)) for a in range(b)]
+    kept = {tuple(r) for r in fz._hopeful(spark.createDataFrame(pairs, "a long, b long, total long"), marks).collect()}
+    j = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b, _ in pairs}
+    assert {p for p in j if j[p] >= fz.SIMILARITY} <= kept and sum(j[p] >= fz.SIMILARITY for p in j) > 20
+    far = [p for p in j if j[p] < 0.65 and max(map(len, (sets[p[0]], sets[p[1]]))) < 700]
+    assert len(far) > 300 and not kept & set(far)
+
+
+def test_elections_compare_no_far_lines(spark, monkeypatch):
+    """Of a family whose lines are all far from each other but share buckets, next to none are compared but with a bucket's first line."""
+    asked, compared = [], fz._compared
+
+    def noted(pairs, texts):
+        asked.append(pairs.count())
+        return compared(pairs, texts)
+
+    monkeypatch.setattr(fz, "_compared", noted)
+    lines = lines_of_a_family(60, 8)
+    assert fz.line_report(documents(spark, lines)).where("n_removed > 0").isEmpty()
+    assert len(asked) > 1 and sum(asked[1:]) * 20 < asked[0]
+
+
 def test_lines_alike_by_chance_share_few_bands(spark):
     """Of a million pairs with a similarity of about 0.06, next to none become candidates, as their number grows with the square of the lines."""
     luck = random.Random(5)
